@@ -82,3 +82,39 @@ DISTINCT_USERS_PRODUCTS = with_(RATINGS) + """
 SELECT DISTINCT 'user' AS kind, userId AS id FROM ratings
 UNION ALL
 SELECT DISTINCT 'product' AS kind, productId AS id FROM ratings"""
+
+
+# --- ItemCF -------------------------------------------------------------------
+# Reference semantics: raw self-join of rating rows on userId, self pairs removed.
+COOC = """
+cnt AS (SELECT productId, count(*) AS n FROM ratings GROUP BY productId),
+joined AS (SELECT a.productId AS product1, b.productId AS product2
+           FROM ratings a JOIN ratings b ON a.userId = b.userId),
+co AS (SELECT product1, product2, CAST(count(*) AS BIGINT) AS cocount,
+              CAST(c1.n AS BIGINT) AS count1, CAST(c2.n AS BIGINT) AS count2
+       FROM joined JOIN cnt c1 ON c1.productId = product1 JOIN cnt c2 ON c2.productId = product2
+       WHERE product1 <> product2
+       GROUP BY product1, product2, c1.n, c2.n)"""
+
+
+def itemcf_lists(k: int, name: str = "itemcf") -> str:
+    """CTE ``{name}`` (productId, rank, otherId, score) over ``co``."""
+    return f"""
+{name} AS (
+  SELECT productId, CAST(rank AS INTEGER) AS rank, otherId, score FROM (
+    SELECT product1 AS productId, product2 AS otherId,
+           round(cocount / sqrt(count1 * count2), 6) AS score,
+           row_number() OVER (PARTITION BY product1
+                              ORDER BY round(cocount / sqrt(count1 * count2), 6) DESC, product2) AS rank
+    FROM co) WHERE rank <= {k})"""
+
+
+COOCCURRENCE_COUNTS = with_(RATINGS, COOC) + """
+SELECT product1, product2, cocount, count1, count2 FROM co"""
+
+ITEMCF_TOP10 = with_(RATINGS, COOC, itemcf_lists(10)) + """
+SELECT productId, rank, otherId, score FROM itemcf"""
+
+ITEMCF_RECS_ARRAY = with_(RATINGS, COOC, itemcf_lists(10)) + """
+SELECT r.productId, t.rank, t.otherId, t.score
+FROM (SELECT DISTINCT productId FROM ratings) r LEFT JOIN itemcf t ON t.productId = r.productId"""

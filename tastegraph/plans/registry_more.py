@@ -1 +1,27 @@
 """Further registered queries (similarity, ALS, real-time, serving, streams)."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from tastegraph.operators import itemcf, topk
+from tastegraph.plans import oracle_sql as Q
+from tastegraph.plans.registry import register
+from tastegraph.sources import tables
+
+
+# --- ItemCF -------------------------------------------------------------------
+@register("cooccurrence_counts", Q.COOCCURRENCE_COUNTS)
+def q_cooccurrence_counts(spark, sf_dir):
+    return itemcf.cooccurrence(tables.ratings(spark, sf_dir))
+
+
+@register("itemcf_top10", Q.ITEMCF_TOP10)
+def q_itemcf_top10(spark, sf_dir):
+    return itemcf.itemcf_top(tables.ratings(spark, sf_dir), k=10)
+
+
+@register("itemcf_recs_array", Q.ITEMCF_RECS_ARRAY)
+def q_itemcf_recs_array(spark, sf_dir):
+    lists = itemcf.itemcf_recs(tables.ratings(spark, sf_dir), k=10)
+    return topk.explode_ranked(lists, "productId", item_name="otherId", outer=True)
