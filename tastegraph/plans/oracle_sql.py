@@ -118,3 +118,32 @@ SELECT productId, rank, otherId, score FROM itemcf"""
 ITEMCF_RECS_ARRAY = with_(RATINGS, COOC, itemcf_lists(10)) + """
 SELECT r.productId, t.rank, t.otherId, t.score
 FROM (SELECT DISTINCT productId FROM ratings) r LEFT JOIN itemcf t ON t.productId = r.productId"""
+
+
+# --- content-based (exact vocabulary TF-IDF) -----------------------------------
+def content_exact(doc_cte: str, threshold: float = 0.4) -> str:
+    """Ranked neighbours over a CTE ``docs(productId, tags)``."""
+    return doc_cte + f""",
+toks AS (SELECT productId, unnest(string_split_regex(lower(replace(tags, '|', ' ')), '\\s+')) AS term FROM docs),
+tf AS (SELECT productId, term, count(*) AS tf FROM toks WHERE term <> '' GROUP BY productId, term),
+m AS (SELECT count(*) AS m FROM docs),
+dfreq AS (SELECT term, count(*) AS df FROM tf GROUP BY term),
+w AS (SELECT tf.productId, tf.term, tf.tf * ln((m.m + 1.0) / (dfreq.df + 1.0)) AS w
+      FROM tf JOIN dfreq ON tf.term = dfreq.term CROSS JOIN m),
+nz AS (SELECT productId, term, w FROM w WHERE w <> 0),
+norms AS (SELECT productId, sqrt(sum(w * w)) AS norm FROM nz GROUP BY productId),
+unit AS (SELECT nz.productId, nz.term, nz.w / norms.norm AS w FROM nz JOIN norms ON nz.productId = norms.productId),
+dots AS (SELECT a.productId AS productId, b.productId AS otherId, sum(a.w * b.w) AS sim
+         FROM unit a JOIN unit b ON a.term = b.term AND a.productId <> b.productId
+         GROUP BY a.productId, b.productId),
+content AS (
+  SELECT productId,
+         CAST(row_number() OVER (PARTITION BY productId ORDER BY round(sim, 6) DESC, otherId) AS INTEGER) AS rank,
+         otherId, round(sim, 6) AS score
+  FROM dots WHERE sim > {threshold})"""
+
+
+CONTENT_SIMILAR_EXACT = "WITH " + content_exact(
+    PRODUCTS + ", docs AS (SELECT productId, tags FROM products)"
+) + """
+SELECT productId, rank, otherId, score FROM content"""

@@ -25,3 +25,17 @@ def q_itemcf_top10(spark, sf_dir):
 def q_itemcf_recs_array(spark, sf_dir):
     lists = itemcf.itemcf_recs(tables.ratings(spark, sf_dir), k=10)
     return topk.explode_ranked(lists, "productId", item_name="otherId", outer=True)
+
+
+# --- content-based -------------------------------------------------------------
+from tastegraph.operators import content  # noqa: E402
+
+
+@register("content_similar_exact", Q.CONTENT_SIMILAR_EXACT)
+def q_content_similar_exact(spark, sf_dir):
+    return content.content_similar(tables.products(spark, sf_dir), variant="exact")
+
+
+@register("content_similar_hashed")
+def q_content_similar_hashed(spark, sf_dir):
+    return content.content_similar(tables.products(spark, sf_dir), variant="hashed")
