@@ -56,6 +56,16 @@ def epoch_seconds(ts: Column | str, dtype: T.DataType | None = None) -> Column:
     ).cast("long")
 
 
+def round6(x: Column | str) -> Column:
+    """Round to 6 places with the same IEEE arithmetic in any engine.
+
+    ``floor(x * 1e6 + 0.5 + 1e-6) / 1e6``: decimal midpoints (frequent when
+    scores and similarities carry few digits) round up deterministically, and
+    last-bit noise from summation order cannot flip the result.
+    """
+    return F.floor(col_(x) * 1e6 + 0.5 + 1e-6) / 1e6
+
+
 # F2 ---------------------------------------------------------------------------
 def cooccurrence_sim(cocount: Column | str, count1: Column | str, count2: Column | str) -> Column:
     """co / sqrt(n1 * n2); counts are >= 1 so there is no zero division."""

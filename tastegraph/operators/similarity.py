@@ -111,7 +111,7 @@ def sparse_cosine(
 
 # --- dense ---------------------------------------------------------------------
 def _block_topk(k: int, threshold: float | None):
-    def fn(key, pdf: pd.DataFrame) -> pd.DataFrame:
+    def fn(key, pdf):
         i, j = int(key[0]), int(key[1])
         left = pdf[pdf["side"] == 0]
         right = left if i == j else pdf[pdf["side"] == 1]

@@ -147,3 +147,86 @@ CONTENT_SIMILAR_EXACT = "WITH " + content_exact(
     PRODUCTS + ", docs AS (SELECT productId, tags FROM products)"
 ) + """
 SELECT productId, rank, otherId, score FROM content"""
+
+
+# --- evaluation ---------------------------------------------------------------
+RMSE_OF_MEAN_PREDICTOR = with_(RATINGS, AVERAGES) + """,
+pred AS (SELECT DISTINCT r.userId, r.productId, a.avg AS prediction
+         FROM ratings r JOIN averages a ON a.productId = r.productId)
+SELECT round(sqrt(avg((r.score - p.prediction) * (r.score - p.prediction))), 6) AS rmse,
+       CAST(count(*) AS BIGINT) AS n
+FROM ratings r JOIN pred p ON p.userId = r.userId AND p.productId = r.productId"""
+
+
+# --- rating history -------------------------------------------------------------
+NEWEST_FIRST = '"timestamp" DESC, seq DESC, productId DESC, score DESC'
+
+RECENT_K = with_(HISTORY) + f"""
+SELECT userId, CAST(pos AS INTEGER) AS pos, productId, score, "timestamp", seq FROM (
+  SELECT h.*, row_number() OVER (PARTITION BY userId ORDER BY {NEWEST_FIRST}) AS pos FROM history h)
+WHERE pos <= 21"""
+
+QUEUE_ITEMS = with_(RATING_EVENTS) + f"""
+SELECT userId, CAST(pos AS INTEGER) AS pos,
+       CAST(productId AS VARCHAR) || ':' || CAST(score AS VARCHAR) AS item, productId, score
+FROM (SELECT e.*, row_number() OVER (PARTITION BY userId ORDER BY {NEWEST_FIRST}) AS pos
+      FROM rating_events e)
+WHERE pos <= 40"""
+
+RATING_LATEST = with_(HISTORY) + """
+SELECT userId, productId, score, "timestamp", versions FROM (
+  SELECT userId, productId, score, "timestamp",
+         CAST(count(*) OVER (PARTITION BY userId, productId) AS BIGINT) AS versions,
+         row_number() OVER (PARTITION BY userId, productId ORDER BY "timestamp" DESC, seq DESC, score DESC) AS rn
+  FROM history)
+WHERE rn = 1"""
+
+RATING_EXISTS = with_(RATINGS, RATING_EVENTS) + """,
+keys AS (SELECT DISTINCT userId, productId FROM ratings)
+SELECT e.userId, e.productId, e.score, e."timestamp", e.seq, (k.userId IS NOT NULL) AS "exists"
+FROM rating_events e LEFT JOIN keys k ON k.userId = e.userId AND k.productId = e.productId"""
+
+SCORE_NORMALISED = """
+SELECT CAST(event_id AS BIGINT) AS event_id, CAST(event_id % 10 + 1 AS INTEGER) AS raw,
+       round((event_id % 10 + 1) / 2.0, 2) AS score
+FROM events"""
+
+
+# --- real-time scoring over ItemCF top-20 lists ------------------------------------
+def realtime_ctes(threshold: float, recent_k: int = 21, limit: int = 20) -> str:
+    return f"""
+trig AS (SELECT userId, productId, score, "timestamp", seq FROM (
+           SELECT e.*, row_number() OVER (PARTITION BY userId ORDER BY "timestamp" DESC, seq DESC) AS rn
+           FROM rating_events e) WHERE rn = 1),
+seen AS (SELECT DISTINCT userId, productId FROM history),
+cand0 AS (SELECT t.userId, s.otherId AS cand, s.score AS sim
+          FROM trig t JOIN sims s ON s.productId = t.productId
+          WHERE NOT EXISTS (SELECT 1 FROM seen WHERE seen.userId = t.userId AND seen.productId = s.otherId)),
+cands AS (SELECT userId, CAST(crank AS INTEGER) AS rank, cand, sim FROM (
+            SELECT c.*, row_number() OVER (PARTITION BY userId ORDER BY round(sim, 6) DESC, cand) AS crank
+            FROM cand0 c) WHERE crank <= {limit}),
+rec AS (SELECT userId, productId, score FROM (
+          SELECT h.*, row_number() OVER (PARTITION BY userId ORDER BY {NEWEST_FIRST}) AS pos
+          FROM history h WHERE userId IN (SELECT userId FROM trig)) WHERE pos <= {recent_k}),
+trip AS (SELECT c.userId, c.cand, r.score AS s, s2.score AS sim2
+         FROM cands c JOIN rec r ON r.userId = c.userId
+         JOIN sims s2 ON s2.productId = c.cand AND s2.otherId = r.productId
+         WHERE s2.score > {threshold}),
+agg AS (SELECT userId, cand,
+               floor((avg(sim2 * s) + log10(greatest(count(*) FILTER (WHERE s > 3), 1))
+                      - log10(greatest(count(*) FILTER (WHERE s <= 3), 1))) * 1e6 + 0.5 + 1e-6) / 1e6 AS score
+        FROM trip GROUP BY userId, cand),
+realtime AS (SELECT userId,
+                    CAST(row_number() OVER (PARTITION BY userId ORDER BY round(score, 6) DESC, cand) AS INTEGER) AS rank,
+                    cand AS productId, round(score, 6) AS score
+             FROM agg)"""
+
+
+REALTIME_SIMS = COOC + "," + itemcf_lists(20, "sims")
+REALTIME_ITEMCF_THRESHOLD = 0.05
+
+CANDIDATES = with_(HISTORY, REALTIME_SIMS, realtime_ctes(REALTIME_ITEMCF_THRESHOLD)) + """
+SELECT userId, rank, cand AS productId, sim FROM cands"""
+
+REALTIME_SCORES = with_(HISTORY, REALTIME_SIMS, realtime_ctes(REALTIME_ITEMCF_THRESHOLD)) + """
+SELECT userId, rank, productId, score FROM realtime"""

@@ -39,3 +39,108 @@ def q_content_similar_exact(spark, sf_dir):
 @register("content_similar_hashed")
 def q_content_similar_hashed(spark, sf_dir):
     return content.content_similar(tables.products(spark, sf_dir), variant="hashed")
+
+
+# --- ALS ----------------------------------------------------------------------
+from tastegraph.operators import factors, tuning  # noqa: E402
+
+_MODELS: dict = {}
+
+
+def _als_model(spark, sf_dir):
+    """One fitted default model per (application, input) within a process."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _MODELS:
+        _MODELS[key] = factors.fit_als(tables.ratings(spark, sf_dir))
+    return _MODELS[key]
+
+
+@register("als_user_recs")
+def q_als_user_recs(spark, sf_dir):
+    return factors.user_recs(_als_model(spark, sf_dir), k=factors.USER_LIST_SIZE)
+
+
+@register("als_item_similar")
+def q_als_item_similar(spark, sf_dir):
+    return factors.item_similar(_als_model(spark, sf_dir))
+
+
+@register("als_grid")
+def q_als_grid(spark, sf_dir):
+    return tuning.als_grid(tables.ratings(spark, sf_dir))
+
+
+@register("als_rmse")
+def q_als_rmse(spark, sf_dir):
+    return tuning.als_rmse(tables.ratings(spark, sf_dir)).select(
+        F.round("rmse", 6).alias("rmse"), F.col("n").cast("long").alias("n")
+    )
+
+
+@register("rmse_of_mean_predictor", Q.RMSE_OF_MEAN_PREDICTOR)
+def q_rmse_of_mean_predictor(spark, sf_dir):
+    r = tables.ratings(spark, sf_dir)
+    return tuning.rmse(r, tuning.mean_predictor(r)).select(
+        F.round("rmse", 6).alias("rmse"), F.col("n").cast("long").alias("n")
+    )
+
+
+# --- rating history and real-time scoring ------------------------------------------
+from tastegraph.functions import scalar as S  # noqa: E402
+from tastegraph.operators import ratings as R  # noqa: E402
+from tastegraph.operators import realtime  # noqa: E402
+
+# The real-time query scores against ItemCF top-20 lists; co-occurrence
+# similarities are small (they peak near 0.26 at sf0.01), so this input uses a
+# 0.05 cut while 0.4 stays the default for factor-based lists.
+REALTIME_SIM_LIST = 20
+REALTIME_ITEMCF_THRESHOLD = Q.REALTIME_ITEMCF_THRESHOLD
+
+
+@register("recent_k", Q.RECENT_K)
+def q_recent_k(spark, sf_dir):
+    return R.recent_k(tables.rating_history(spark, sf_dir), R.RECENT_K)
+
+
+@register("queue_items", Q.QUEUE_ITEMS)
+def q_queue_items(spark, sf_dir):
+    return R.queue_items(tables.rating_events(spark, sf_dir), R.QUEUE_CAPACITY)
+
+
+@register("rating_latest", Q.RATING_LATEST)
+def q_rating_latest(spark, sf_dir):
+    return R.latest_scores(tables.rating_history(spark, sf_dir))
+
+
+@register("rating_exists", Q.RATING_EXISTS)
+def q_rating_exists(spark, sf_dir):
+    return R.rating_exists(tables.rating_events(spark, sf_dir), tables.ratings(spark, sf_dir))
+
+
+@register("score_normalised", Q.SCORE_NORMALISED)
+def q_score_normalised(spark, sf_dir):
+    ev = tables.read_table(spark, sf_dir, "events").select("event_id")
+    raw = (F.col("event_id") % 10 + 1).cast("int")
+    return ev.select(F.col("event_id").cast("long"), raw.alias("raw"), S.half_star(raw).alias("score"))
+
+
+def itemcf_sims(spark, sf_dir, k: int = REALTIME_SIM_LIST):
+    """Stored-list view of ItemCF: edge table (productId, otherId, sim) of the top-k lists."""
+    top = itemcf.itemcf_top(tables.ratings(spark, sf_dir), k=k)
+    return top.select("productId", "otherId", F.col("score").alias("sim"))
+
+
+@register("candidates", Q.CANDIDATES)
+def q_candidates(spark, sf_dir):
+    hist = tables.rating_history(spark, sf_dir)
+    trig = realtime.newest_event_per_user(tables.rating_events(spark, sf_dir))
+    return realtime.candidates(trig, itemcf_sims(spark, sf_dir), hist).select(
+        "userId", "rank", "productId", F.round("sim", 6).alias("sim")
+    )
+
+
+@register("realtime_scores", Q.REALTIME_SCORES)
+def q_realtime_scores(spark, sf_dir):
+    hist = tables.rating_history(spark, sf_dir)
+    trig = realtime.newest_event_per_user(tables.rating_events(spark, sf_dir))
+    return realtime.recommend(trig, itemcf_sims(spark, sf_dir), hist, threshold=REALTIME_ITEMCF_THRESHOLD)
