@@ -230,3 +230,70 @@ SELECT userId, rank, cand AS productId, sim FROM cands"""
 
 REALTIME_SCORES = with_(HISTORY, REALTIME_SIMS, realtime_ctes(REALTIME_ITEMCF_THRESHOLD)) + """
 SELECT userId, rank, productId, score FROM realtime"""
+
+
+# --- served queries -------------------------------------------------------------
+YEARMONTH = """CAST(year(make_timestamp("timestamp" * 1000000)) * 100
+                  + month(make_timestamp("timestamp" * 1000000)) AS INTEGER)"""
+
+INFO = """
+info AS (SELECT p.productId, p.name, p.imageUrl, p.categories, p.tags,
+                coalesce(a.avg, 0.0) AS score
+         FROM products p LEFT JOIN averages a ON a.productId = p.productId)"""
+
+
+def hydrated(key: str, lists: str = "lists") -> str:
+    return f"""
+SELECT l.{key}, l.rank, l.productId, l.recScore, i.name, i.imageUrl, i.categories, i.tags,
+       round(i.score, 6) AS score
+FROM {lists} l JOIN info i ON i.productId = l.productId"""
+
+
+SERVED_RATE_MORE = with_(RATINGS, PRODUCTS, AVERAGES, INFO) + """,
+cnt AS (SELECT productId, count(*) AS count FROM ratings GROUP BY productId),
+lists AS (SELECT 'rate' AS list,
+                 CAST(row_number() OVER (ORDER BY count DESC, productId) AS INTEGER) AS rank,
+                 productId, CAST(count AS DOUBLE) AS recScore
+          FROM cnt QUALIFY rank <= 20)""" + hydrated("list")
+
+SERVED_HOT = with_(RATINGS, PRODUCTS, AVERAGES, INFO) + f""",
+monthly AS (SELECT productId, yearmonth, count(*) AS count
+            FROM (SELECT productId, {YEARMONTH} AS yearmonth FROM ratings)
+            GROUP BY productId, yearmonth),
+latest AS (SELECT m.* FROM monthly m
+           JOIN (SELECT productId, max(yearmonth) AS ym FROM monthly GROUP BY productId) x
+             ON x.productId = m.productId AND x.ym = m.yearmonth),
+lists AS (SELECT 'hot' AS list,
+                 CAST(row_number() OVER (ORDER BY yearmonth DESC, count DESC, productId) AS INTEGER) AS rank,
+                 productId, CAST(count AS DOUBLE) AS recScore
+          FROM latest QUALIFY rank <= 20)""" + hydrated("list")
+
+SERVED_ITEMCF = with_(RATINGS, PRODUCTS, AVERAGES, INFO, COOC, itemcf_lists(10)) + """,
+lists AS (SELECT productId AS sourceId, rank, otherId AS productId, score AS recScore FROM itemcf)""" + hydrated(
+    "sourceId"
+)
+
+SERVED_CONTENT = "WITH " + content_exact(
+    PRODUCTS + ", docs AS (SELECT productId, tags FROM products)"
+) + "," + RATINGS + "," + AVERAGES + "," + INFO + """,
+lists AS (SELECT productId AS sourceId, rank, otherId AS productId, score AS recScore FROM content)""" + hydrated(
+    "sourceId"
+)
+
+SERVED_STREAM = with_(HISTORY, PRODUCTS, AVERAGES, INFO, REALTIME_SIMS, USERS,
+                      realtime_ctes(REALTIME_ITEMCF_THRESHOLD)) + """,
+lists AS (SELECT u.username, r.userId, r.rank, r.productId, r.score AS recScore
+          FROM realtime r JOIN (SELECT username, min(userId) AS userId FROM users GROUP BY username) u
+            ON u.userId = r.userId)
+SELECT l.username, l.userId, l.rank, l.productId, l.recScore, i.name, i.imageUrl, i.categories, i.tags,
+       round(i.score, 6) AS score
+FROM lists l JOIN info i ON i.productId = l.productId"""
+
+PRODUCT_INFO = with_(RATINGS, PRODUCTS, AVERAGES, INFO) + """
+SELECT productId, name, imageUrl, categories, tags, round(score, 6) AS score FROM info"""
+
+SEARCH_PATTERN = "hot (ring|plate)|^blue"
+
+PRODUCT_SEARCH = with_(RATINGS, PRODUCTS, AVERAGES, INFO) + f"""
+SELECT productId, name, imageUrl, categories, tags, round(score, 6) AS score FROM info
+WHERE regexp_matches(name, '{SEARCH_PATTERN}')"""

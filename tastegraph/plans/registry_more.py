@@ -144,3 +144,74 @@ def q_realtime_scores(spark, sf_dir):
     hist = tables.rating_history(spark, sf_dir)
     trig = realtime.newest_event_per_user(tables.rating_events(spark, sf_dir))
     return realtime.recommend(trig, itemcf_sims(spark, sf_dir), hist, threshold=REALTIME_ITEMCF_THRESHOLD)
+
+
+# --- served queries -------------------------------------------------------------
+from tastegraph.operators import stats  # noqa: E402
+from tastegraph.plans import serving  # noqa: E402
+
+SERVED_N = 20
+
+
+def _catalogue(spark, sf_dir):
+    r = tables.ratings(spark, sf_dir)
+    return r, tables.products(spark, sf_dir), stats.average_products(r)
+
+
+@register("served_rate_more", Q.SERVED_RATE_MORE)
+def q_served_rate_more(spark, sf_dir):
+    r, p, a = _catalogue(spark, sf_dir)
+    return serving.hydrate(serving.most_rated(stats.rate_more_products(r), SERVED_N), p, a, "list")
+
+
+@register("served_hot", Q.SERVED_HOT)
+def q_served_hot(spark, sf_dir):
+    r, p, a = _catalogue(spark, sf_dir)
+    return serving.hydrate(serving.hot(stats.rate_more_recently_products(r), SERVED_N), p, a, "list")
+
+
+@register("served_itemcf", Q.SERVED_ITEMCF)
+def q_served_itemcf(spark, sf_dir):
+    r, p, a = _catalogue(spark, sf_dir)
+    return serving.hydrate(serving.product_lists(itemcf.itemcf_top(r, k=10)), p, a, "sourceId")
+
+
+@register("served_content", Q.SERVED_CONTENT)
+def q_served_content(spark, sf_dir):
+    r, p, a = _catalogue(spark, sf_dir)
+    return serving.hydrate(serving.product_lists(content.content_similar(p, "exact")), p, a, "sourceId")
+
+
+@register("served_stream", Q.SERVED_STREAM)
+def q_served_stream(spark, sf_dir):
+    r, p, a = _catalogue(spark, sf_dir)
+    recs = q_realtime_scores(spark, sf_dir)
+    users = tables.users(spark, sf_dir)
+    lists = serving.resolve_users(users.select("username"), users).join(recs, "userId")
+    out = serving.hydrate(serving.user_lists(lists.select("userId", "rank", "productId", "score")), p, a, "userId")
+    return serving.resolve_users(users.select("username"), users).join(out, "userId").select(
+        "username", *out.columns
+    )
+
+
+@register("served_offline")
+def q_served_offline(spark, sf_dir):
+    r, p, a = _catalogue(spark, sf_dir)
+    users = tables.users(spark, sf_dir)
+    recs = q_als_user_recs(spark, sf_dir)
+    out = serving.hydrate(serving.user_lists(recs), p, a, "userId")
+    return serving.resolve_users(users.select("username"), users).join(out, "userId").select(
+        "username", *out.columns
+    )
+
+
+@register("product_info", Q.PRODUCT_INFO)
+def q_product_info(spark, sf_dir):
+    r, p, a = _catalogue(spark, sf_dir)
+    return serving.product_info(p, a)
+
+
+@register("product_search", Q.PRODUCT_SEARCH)
+def q_product_search(spark, sf_dir):
+    r, p, a = _catalogue(spark, sf_dir)
+    return serving.search(p, a, Q.SEARCH_PATTERN)
