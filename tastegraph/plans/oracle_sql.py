@@ -297,3 +297,38 @@ SEARCH_PATTERN = "hot (ring|plate)|^blue"
 PRODUCT_SEARCH = with_(RATINGS, PRODUCTS, AVERAGES, INFO) + f"""
 SELECT productId, name, imageUrl, categories, tags, round(score, 6) AS score FROM info
 WHERE regexp_matches(name, '{SEARCH_PATTERN}')"""
+
+
+# --- logs, messages, loaders, layout -----------------------------------------------
+LOG_MESSAGES = """
+SELECT CAST(event_id AS BIGINT) AS seq,
+       concat_ws('|', CAST(user_id AS INTEGER), CAST(json_extract_string(props, '$.k') AS INTEGER),
+                 round((event_id % 10 + 1) / 2.0, 2), CAST(floor(epoch(ts)) AS BIGINT)) AS message
+FROM events WHERE event_type IN ('view', 'click', 'purchase')"""
+
+MESSAGE_PARSE = with_(RATING_EVENTS) + """
+SELECT userId, productId, score, "timestamp", seq FROM rating_events"""
+
+USER_IDS = """
+SELECT CAST(c_custkey AS INTEGER) AS userId, c_name AS username,
+       CAST(CASE WHEN length(c_name) = 0 THEN 0 ELSE (
+         WITH x AS (SELECT list_reduce(list_transform(string_split(c_name, ''), lambda c: unicode(c)::BIGINT),
+                                       lambda h, u: (h * 31 + u) % 4294967296, 0::BIGINT) AS h)
+         SELECT CASE WHEN h >= 2147483648 THEN h - 4294967296 ELSE h END FROM x) END AS INTEGER) AS hashedId
+FROM customer"""
+
+LOAD_PRODUCTS_TEXT = with_(PRODUCTS) + """
+SELECT productId, name, '' AS imageUrl, categories, tags FROM products"""
+
+LOAD_RATINGS_TEXT = RATINGS_TYPED
+
+LAYOUT_BUCKETED_LOOKUP = with_(RATINGS, USERS) + """
+SELECT u.userId, u.username, CAST(count(*) AS BIGINT) AS n, round(avg(r.score), 6) AS avg_score
+FROM ratings r JOIN users u ON u.userId = r.userId
+GROUP BY u.userId, u.username"""
+
+STREAM_RECENT_QUEUE = with_(RATING_EVENTS) + f"""
+SELECT userId, CAST(pos AS INTEGER) AS pos, productId, score
+FROM (SELECT e.*, row_number() OVER (PARTITION BY userId ORDER BY {NEWEST_FIRST}) AS pos
+      FROM rating_events e)
+WHERE pos <= 40"""

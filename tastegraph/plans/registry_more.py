@@ -215,3 +215,127 @@ def q_product_info(spark, sf_dir):
 def q_product_search(spark, sf_dir):
     r, p, a = _catalogue(spark, sf_dir)
     return serving.search(p, a, Q.SEARCH_PATTERN)
+
+
+# --- logs, messages, user ids, loaders, layout ------------------------------------
+from tastegraph.session import scratch_path  # noqa: E402
+from tastegraph.sources import sinks, text  # noqa: E402
+from tastegraph.streaming import logs  # noqa: E402
+
+LOG_CHUNKS = 3  # micro-batches the registered streams replay the event log in
+
+
+@register("log_extract", Q.LOG_MESSAGES)
+def q_log_extract(spark, sf_dir):
+    msgs = logs.extract_messages(tables.log_lines(spark, sf_dir))
+    return msgs.where(F.col("message").isNotNull())
+
+
+@register("message_parse", Q.MESSAGE_PARSE)
+def q_message_parse(spark, sf_dir):
+    parsed = logs.parse_messages(logs.extract_messages(tables.log_lines(spark, sf_dir)))
+    return logs.good_ratings(parsed)
+
+
+@register("user_ids", Q.USER_IDS)
+def q_user_ids(spark, sf_dir):
+    cust = tables.read_table(spark, sf_dir, "customer").select("c_custkey", "c_name")
+    return cust.select(
+        F.col("c_custkey").cast("int").alias("userId"),
+        F.col("c_name").alias("username"),
+        S.java_string_hash("c_name").alias("hashedId"),
+    )
+
+
+@register("load_products_text", Q.LOAD_PRODUCTS_TEXT)
+def q_load_products_text(spark, sf_dir):
+    path = scratch_path(spark, "products-text")
+    text.write_products_text(tables.products(spark, sf_dir), path)
+    prods, _ = text.read_products_text(spark, path, mode="failfast")
+    return prods
+
+
+@register("load_ratings_text", Q.LOAD_RATINGS_TEXT)
+def q_load_ratings_text(spark, sf_dir):
+    path = scratch_path(spark, "ratings-text")
+    text.write_ratings_text(tables.ratings(spark, sf_dir), path)
+    rates, _ = text.read_ratings_text(spark, path, mode="failfast")
+    return rates
+
+
+LAYOUT_BUCKETS = 8
+
+
+@register("layout_bucketed_lookup", Q.LAYOUT_BUCKETED_LOOKUP)
+def q_layout_bucketed_lookup(spark, sf_dir):
+    base = scratch_path(spark, "bucketed")
+    rt = sinks.write_bucketed(tables.ratings(spark, sf_dir), f"{base}/ratings", "userId", LAYOUT_BUCKETS)
+    ut = sinks.write_bucketed(
+        tables.users(spark, sf_dir).select("userId", "username"), f"{base}/users", "userId", LAYOUT_BUCKETS
+    )
+    # Both sides bucketed by userId with equal bucket counts: the join and the
+    # aggregation reuse the bucketing, no exchange.
+    j = spark.table(rt).join(spark.table(ut), "userId")
+    return j.groupBy("userId", "username").agg(
+        F.count(F.lit(1)).alias("n"), F.round(F.avg("score"), 6).alias("avg_score")
+    )
+
+
+# --- streams -------------------------------------------------------------------------
+from tastegraph.streaming import queue as squeue  # noqa: E402
+from tastegraph.streaming import recs as srecs  # noqa: E402
+
+
+def _event_log(spark, sf_dir, base):
+    return logs.write_log_files(tables.log_lines(spark, sf_dir), f"{base}/logs", LOG_CHUNKS)
+
+
+@register("stream_log_filter", Q.LOG_MESSAGES)
+def q_stream_log_filter(spark, sf_dir):
+    base = scratch_path(spark, "stream-logfilter")
+    src = _event_log(spark, sf_dir, base)
+    q = logs.start_log_filter(spark, src, f"{base}/messages", f"{base}/quarantine")
+    q.awaitTermination()
+    return spark.read.parquet(f"{base}/messages").select("seq", "message")
+
+
+@register("stream_recent_queue", Q.STREAM_RECENT_QUEUE)
+def q_stream_recent_queue(spark, sf_dir):
+    base = scratch_path(spark, "stream-queue")
+    src = _event_log(spark, sf_dir, base)
+    parsed = logs.good_ratings(srecs.rating_stream_from_logs(spark, src))
+    q = squeue.start_queue_stream(spark, parsed, f"{base}/queues")
+    q.awaitTermination()
+    return squeue.read_queues(spark, f"{base}/queues")
+
+
+@register("stream_recs", Q.REALTIME_SCORES)
+def q_stream_recs(spark, sf_dir):
+    base = scratch_path(spark, "stream-recs")
+    tables.ratings(spark, sf_dir).write.mode("overwrite").parquet(f"{base}/ratings")
+    itemcf_sims(spark, sf_dir).write.mode("overwrite").parquet(f"{base}/sims")
+    src = _event_log(spark, sf_dir, base)
+    parsed = srecs.rating_stream_from_logs(spark, src)
+    q = srecs.start_recs_stream(
+        spark,
+        parsed,
+        f"{base}/ratings",
+        f"{base}/sims",
+        f"{base}/streamrecs",
+        f"{base}/delta",
+        quarantine_dir=f"{base}/quarantine",
+        threshold=REALTIME_ITEMCF_THRESHOLD,
+    )
+    q.awaitTermination()
+    return srecs.read_stream_recs(spark, f"{base}/streamrecs")
+
+
+@register("stream_rating_upsert", Q.RATING_LATEST)
+def q_stream_rating_upsert(spark, sf_dir):
+    base = scratch_path(spark, "stream-upsert")
+    src = _event_log(spark, sf_dir, base)
+    q = srecs.start_upsert_stream(spark, srecs.rating_stream_from_logs(spark, src), f"{base}/delta")
+    q.awaitTermination()
+    stored = tables.ratings(spark, sf_dir)
+    hist = srecs.history_upto(spark, stored, sinks.KeyedSnapshots(f"{base}/delta", "userId"), 1 << 62)
+    return R.latest_scores(hist)

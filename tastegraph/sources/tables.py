@@ -112,9 +112,11 @@ def log_lines(spark: SparkSession, base: str) -> DataFrame:
         S.half_star(F.col("event_id") % 10 + 1),
         ts,
     )
-    rating_line = F.concat(ts.cast("string"), F.lit(" INFO rest - "), F.lit(S.RATING_LOG_MARKER), msg)
+    # The bracketed number is the line's arrival sequence (a log offset).
+    head = F.concat(ts.cast("string"), F.lit(" ["), F.col("event_id").cast("string"), F.lit("]"))
+    rating_line = F.concat(head, F.lit(" INFO rest - "), F.lit(S.RATING_LOG_MARKER), msg)
     noise_line = F.concat(
-        ts.cast("string"),
+        head,
         F.lit(" WARN events - "),
         F.col("event_type"),
         F.lit(" user="),
