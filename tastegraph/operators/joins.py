@@ -1,0 +1,19 @@
+"""Join helpers: size-checked broadcast.
+
+``broadcast()`` is applied only behind a bounded row-count probe: the side is
+broadcast when it has at most ``max_rows`` rows, otherwise the join stays a
+shuffle join (and adaptive execution may still pick a broadcast at runtime
+from measured sizes).
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+BROADCAST_MAX_ROWS = 1_000_000
+
+
+def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
+    n = df.limit(max_rows + 1).count()
+    return F.broadcast(df) if n <= max_rows else df

@@ -8,10 +8,11 @@ holding both directions and no self pairs:
   (half the join rows) and mirrored afterwards. Weights are summed per pair with
   map-side partial aggregation, so the shuffle carries partial sums, not join rows.
   *Hot keys* (a user who rated a large share of the catalogue, a term in a third
-  of all products) are salted: their left side is split into slices by a hash of
-  the item and their right side is replicated per slice, so no single task pairs
-  a whole hot group. The hot-key list is broadcast with a proven bound: at most
-  ``max_hot`` rows (the largest keys); smaller keys take the normal path exactly.
+  of all products) are salted by their pair work d*d: their left side is split
+  into slices by a hash of the item and their right side is replicated per
+  slice, so no single task pairs a whole hot group. The hot-key list is
+  broadcast with a proven bound: at most ``max_hot`` rows (the largest keys);
+  smaller keys take the unsalted path, still exact.
 * **Dense** (ALS factors): unit vectors are hashed into blocks; each pair of
   blocks ``(i, j), i <= j`` meets in one ``applyInPandas`` group holding two
   bounded blocks; a matrix product yields cosines and only the top-k per row per
@@ -29,34 +30,56 @@ from pyspark.sql import types as T
 from tastegraph.schemas import EDGE
 
 # Defaults sized for a large cluster; tests pass small values to exercise salting.
-HOT_KEY_ROWS = 20_000  # a key with more entries than this is salted
-SALT_CHUNK = 4_000  # left-side entries per salt slice of a hot key
+PAIRS_PER_TASK = 2_000_000  # join rows one task may produce; a key whose pairs exceed it is salted
 MAX_HOT_KEYS = 10_000  # broadcast bound on the hot-key list
+MAX_PAIR_PARTITIONS = 200_000  # ceiling on the pair-join parallelism
 DENSE_BLOCK_ROWS = 2_048  # vectors per block in the dense strategy
 
 
-def hot_keys(entries: DataFrame, key: str, hot_rows: int, chunk: int, max_hot: int) -> DataFrame:
-    """(key, salts) for the largest keys above ``hot_rows`` entries, at most ``max_hot`` rows."""
-    deg = entries.groupBy(key).agg(F.count(F.lit(1)).alias("d"))
+def key_degrees(entries: DataFrame, key: str) -> DataFrame:
+    return entries.groupBy(key).agg(F.count(F.lit(1)).alias("d"))
+
+
+def hot_keys(deg: DataFrame, key: str, pairs_per_task: int, max_hot: int) -> DataFrame:
+    """(key, salts) for the keys whose d*d pair work exceeds one task, largest first, at most ``max_hot``.
+
+    A hot key's left side is split into ``salts = ceil(d*d / pairs_per_task)``
+    slices (at most d), so each slice task produces about ``pairs_per_task`` rows.
+    """
+    d = F.col("d").cast("double")
     return (
-        deg.where(F.col("d") > hot_rows)
+        deg.where(d * d > pairs_per_task)
         .orderBy(F.desc("d"), F.asc(key))
         .limit(max_hot)
-        .select(key, F.ceil(F.col("d") / F.lit(chunk)).cast("int").alias("salts"))
+        .select(key, F.least(F.col("d"), F.ceil(d * d / pairs_per_task)).cast("int").alias("salts"))
     )
 
 
+def pair_partitions(deg: DataFrame, pairs_per_task: int) -> int:
+    """Partitions for the pair join from its total work sum(d*(d-1)/2) (one small aggregate job)."""
+    work = deg.agg(F.sum(F.col("d").cast("double") * (F.col("d") - 1) / 2)).first()[0] or 0.0
+    floor = int(deg.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return int(min(MAX_PAIR_PARTITIONS, max(floor, -(-work // pairs_per_task))))
+
+
 def pairs_within_key(
     entries: DataFrame,
     key: str,
     item: str,
     weight: str,
-    hot_rows: int = HOT_KEY_ROWS,
-    chunk: int = SALT_CHUNK,
+    pairs_per_task: int = PAIRS_PER_TASK,
     max_hot: int = MAX_HOT_KEYS,
 ) -> DataFrame:
-    """(a, b, wa, wb) for every key and every two of its items with a < b (salted join)."""
-    hot = hot_keys(entries, key, hot_rows, chunk, max_hot)
+    """(a, b, wa, wb) for every key and every two of its items with a < b.
+
+    Both sides are explicitly hash-partitioned on (key, salt) into a number of
+    partitions sized by the pair work, so the expanding join is spread over
+    tasks even when its input is tiny (adaptive coalescing sizes partitions by
+    input bytes, not by join output).
+    """
+    deg = key_degrees(entries, key)
+    n_parts = pair_partitions(deg, pairs_per_task)
+    hot = hot_keys(deg, key, pairs_per_task, max_hot)
     tagged = entries.join(F.broadcast(hot), key, "left").withColumn(
         "salts", F.coalesce(F.col("salts"), F.lit(1))
     )
@@ -65,13 +88,13 @@ def pairs_within_key(
         F.pmod(F.xxhash64(F.col(item)), F.col("salts")).cast("int").alias("salt"),
         F.col(item).alias("a"),
         F.col(weight).alias("wa"),
-    )
+    ).repartition(n_parts, key, "salt")
     right = tagged.select(
         F.col(key),
         F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt"),
         F.col(item).alias("b"),
         F.col(weight).alias("wb"),
-    )
+    ).repartition(n_parts, key, "salt")
     return left.join(right, [key, "salt"]).where(F.col("a") < F.col("b")).select("a", "b", "wa", "wb")
 
 
@@ -81,11 +104,13 @@ def sum_of_products(pairs: DataFrame, out: str) -> DataFrame:
 
 
 def mirror(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
-    """Both directions of a symmetric upper-triangle edge table."""
+    """Both directions of a symmetric upper-triangle edge table, in one pass (no union)."""
     rest = [c for c in edges.columns if c not in (a, b)]
-    fwd = edges.select(F.col(a).alias("productId"), F.col(b).alias("otherId"), *rest)
-    bwd = edges.select(F.col(b).alias("productId"), F.col(a).alias("otherId"), *rest)
-    return fwd.unionByName(bwd)
+    both = F.array(
+        F.struct(F.col(a).alias("productId"), F.col(b).alias("otherId")),
+        F.struct(F.col(b).alias("productId"), F.col(a).alias("otherId")),
+    )
+    return edges.select(F.explode(both).alias("_e"), *rest).select("_e.productId", "_e.otherId", *rest)
 
 
 def sparse_cosine(

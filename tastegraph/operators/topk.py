@@ -14,6 +14,13 @@ from pyspark.sql import functions as F
 SCORE_DIGITS = 6
 
 
+def rank_key(score: str):
+    """The D1 order as one integer (ascending = better): minus the score in
+    millionths, rounded as ``functions.scalar.round6``. An integer sort key keeps
+    the sort on the fast prefix-comparison path."""
+    return (-F.floor(F.col(score) * 1e6 + 0.5 + 1e-6)).cast("long")
+
+
 def rank_per_key(
     df: DataFrame,
     key: str,
@@ -23,7 +30,7 @@ def rank_per_key(
     rank_col: str = "rank",
 ) -> DataFrame:
     """Add ``rank`` (1-based int) per ``key``; keep rank <= k when k is given."""
-    w = Window.partitionBy(key).orderBy(F.round(F.col(score), SCORE_DIGITS).desc(), F.col(item).asc())
+    w = Window.partitionBy(key).orderBy(rank_key(score).asc(), F.col(item).asc())
     out = df.withColumn(rank_col, F.row_number().over(w).cast("int"))
     if k is not None:
         out = out.where(F.col(rank_col) <= k)

@@ -70,7 +70,7 @@ FROM (SELECT productId,
 GROUP BY yearmonth, productId"""
 
 AVERAGE_PRODUCTS = with_(RATINGS) + """
-SELECT productId, round(avg(score), 6) AS avg FROM ratings GROUP BY productId"""
+SELECT productId, floor((avg(score)) * 1e6 + 0.5 + 1e-6) / 1e6 AS avg FROM ratings GROUP BY productId"""
 
 RATINGS_TYPED = with_(RATINGS) + """
 SELECT userId, productId, score, "timestamp" FROM ratings"""
@@ -103,9 +103,9 @@ def itemcf_lists(k: int, name: str = "itemcf") -> str:
 {name} AS (
   SELECT productId, CAST(rank AS INTEGER) AS rank, otherId, score FROM (
     SELECT product1 AS productId, product2 AS otherId,
-           round(cocount / sqrt(count1 * count2), 6) AS score,
+           floor((cocount / sqrt(count1 * count2)) * 1e6 + 0.5 + 1e-6) / 1e6 AS score,
            row_number() OVER (PARTITION BY product1
-                              ORDER BY round(cocount / sqrt(count1 * count2), 6) DESC, product2) AS rank
+                              ORDER BY floor((cocount / sqrt(count1 * count2)) * 1e6 + 0.5 + 1e-6) DESC, product2) AS rank
     FROM co) WHERE rank <= {k})"""
 
 
@@ -138,8 +138,8 @@ dots AS (SELECT a.productId AS productId, b.productId AS otherId, sum(a.w * b.w)
          GROUP BY a.productId, b.productId),
 content AS (
   SELECT productId,
-         CAST(row_number() OVER (PARTITION BY productId ORDER BY round(sim, 6) DESC, otherId) AS INTEGER) AS rank,
-         otherId, round(sim, 6) AS score
+         CAST(row_number() OVER (PARTITION BY productId ORDER BY floor((sim) * 1e6 + 0.5 + 1e-6) DESC, otherId) AS INTEGER) AS rank,
+         otherId, floor((sim) * 1e6 + 0.5 + 1e-6) / 1e6 AS score
   FROM dots WHERE sim > {threshold})"""
 
 
@@ -153,7 +153,7 @@ SELECT productId, rank, otherId, score FROM content"""
 RMSE_OF_MEAN_PREDICTOR = with_(RATINGS, AVERAGES) + """,
 pred AS (SELECT DISTINCT r.userId, r.productId, a.avg AS prediction
          FROM ratings r JOIN averages a ON a.productId = r.productId)
-SELECT round(sqrt(avg((r.score - p.prediction) * (r.score - p.prediction))), 6) AS rmse,
+SELECT floor((sqrt(avg((r.score - p.prediction) * (r.score - p.prediction)))) * 1e6 + 0.5 + 1e-6) / 1e6 AS rmse,
        CAST(count(*) AS BIGINT) AS n
 FROM ratings r JOIN pred p ON p.userId = r.userId AND p.productId = r.productId"""
 
@@ -203,7 +203,7 @@ cand0 AS (SELECT t.userId, s.otherId AS cand, s.score AS sim
           FROM trig t JOIN sims s ON s.productId = t.productId
           WHERE NOT EXISTS (SELECT 1 FROM seen WHERE seen.userId = t.userId AND seen.productId = s.otherId)),
 cands AS (SELECT userId, CAST(crank AS INTEGER) AS rank, cand, sim FROM (
-            SELECT c.*, row_number() OVER (PARTITION BY userId ORDER BY round(sim, 6) DESC, cand) AS crank
+            SELECT c.*, row_number() OVER (PARTITION BY userId ORDER BY floor((sim) * 1e6 + 0.5 + 1e-6) DESC, cand) AS crank
             FROM cand0 c) WHERE crank <= {limit}),
 rec AS (SELECT userId, productId, score FROM (
           SELECT h.*, row_number() OVER (PARTITION BY userId ORDER BY {NEWEST_FIRST}) AS pos
@@ -217,8 +217,8 @@ agg AS (SELECT userId, cand,
                       - log10(greatest(count(*) FILTER (WHERE s <= 3), 1))) * 1e6 + 0.5 + 1e-6) / 1e6 AS score
         FROM trip GROUP BY userId, cand),
 realtime AS (SELECT userId,
-                    CAST(row_number() OVER (PARTITION BY userId ORDER BY round(score, 6) DESC, cand) AS INTEGER) AS rank,
-                    cand AS productId, round(score, 6) AS score
+                    CAST(row_number() OVER (PARTITION BY userId ORDER BY floor((score) * 1e6 + 0.5 + 1e-6) DESC, cand) AS INTEGER) AS rank,
+                    cand AS productId, floor((score) * 1e6 + 0.5 + 1e-6) / 1e6 AS score
              FROM agg)"""
 
 
@@ -245,7 +245,7 @@ info AS (SELECT p.productId, p.name, p.imageUrl, p.categories, p.tags,
 def hydrated(key: str, lists: str = "lists") -> str:
     return f"""
 SELECT l.{key}, l.rank, l.productId, l.recScore, i.name, i.imageUrl, i.categories, i.tags,
-       round(i.score, 6) AS score
+       floor((i.score) * 1e6 + 0.5 + 1e-6) / 1e6 AS score
 FROM {lists} l JOIN info i ON i.productId = l.productId"""
 
 
@@ -286,16 +286,16 @@ lists AS (SELECT u.username, r.userId, r.rank, r.productId, r.score AS recScore
           FROM realtime r JOIN (SELECT username, min(userId) AS userId FROM users GROUP BY username) u
             ON u.userId = r.userId)
 SELECT l.username, l.userId, l.rank, l.productId, l.recScore, i.name, i.imageUrl, i.categories, i.tags,
-       round(i.score, 6) AS score
+       floor((i.score) * 1e6 + 0.5 + 1e-6) / 1e6 AS score
 FROM lists l JOIN info i ON i.productId = l.productId"""
 
 PRODUCT_INFO = with_(RATINGS, PRODUCTS, AVERAGES, INFO) + """
-SELECT productId, name, imageUrl, categories, tags, round(score, 6) AS score FROM info"""
+SELECT productId, name, imageUrl, categories, tags, floor((score) * 1e6 + 0.5 + 1e-6) / 1e6 AS score FROM info"""
 
 SEARCH_PATTERN = "hot (ring|plate)|^blue"
 
 PRODUCT_SEARCH = with_(RATINGS, PRODUCTS, AVERAGES, INFO) + f"""
-SELECT productId, name, imageUrl, categories, tags, round(score, 6) AS score FROM info
+SELECT productId, name, imageUrl, categories, tags, floor((score) * 1e6 + 0.5 + 1e-6) / 1e6 AS score FROM info
 WHERE regexp_matches(name, '{SEARCH_PATTERN}')"""
 
 
@@ -323,7 +323,7 @@ SELECT productId, name, '' AS imageUrl, categories, tags FROM products"""
 LOAD_RATINGS_TEXT = RATINGS_TYPED
 
 LAYOUT_BUCKETED_LOOKUP = with_(RATINGS, USERS) + """
-SELECT u.userId, u.username, CAST(count(*) AS BIGINT) AS n, round(avg(r.score), 6) AS avg_score
+SELECT u.userId, u.username, CAST(count(*) AS BIGINT) AS n, floor((avg(r.score)) * 1e6 + 0.5 + 1e-6) / 1e6 AS avg_score
 FROM ratings r JOIN users u ON u.userId = r.userId
 GROUP BY u.userId, u.username"""
 

@@ -12,6 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tastegraph.functions.scalar import round6
 from tastegraph.operators import stats
 from tastegraph.plans import oracle_sql as Q
 from tastegraph.sources import tables
@@ -33,7 +34,7 @@ def register(name: str, sql: str | None = None):
 
 
 def r6(c):
-    return F.round(F.col(c) if isinstance(c, str) else c, 6)
+    return round6(c)
 
 
 # --- typed scans ------------------------------------------------------------

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from tastegraph.functions.scalar import round6
+
 from tastegraph.operators import itemcf, topk
 from tastegraph.plans import oracle_sql as Q
 from tastegraph.plans.registry import register
@@ -73,7 +75,7 @@ def q_als_grid(spark, sf_dir):
 @register("als_rmse")
 def q_als_rmse(spark, sf_dir):
     return tuning.als_rmse(tables.ratings(spark, sf_dir)).select(
-        F.round("rmse", 6).alias("rmse"), F.col("n").cast("long").alias("n")
+        round6("rmse").alias("rmse"), F.col("n").cast("long").alias("n")
     )
 
 
@@ -81,7 +83,7 @@ def q_als_rmse(spark, sf_dir):
 def q_rmse_of_mean_predictor(spark, sf_dir):
     r = tables.ratings(spark, sf_dir)
     return tuning.rmse(r, tuning.mean_predictor(r)).select(
-        F.round("rmse", 6).alias("rmse"), F.col("n").cast("long").alias("n")
+        round6("rmse").alias("rmse"), F.col("n").cast("long").alias("n")
     )
 
 
@@ -135,7 +137,7 @@ def q_candidates(spark, sf_dir):
     hist = tables.rating_history(spark, sf_dir)
     trig = realtime.newest_event_per_user(tables.rating_events(spark, sf_dir))
     return realtime.candidates(trig, itemcf_sims(spark, sf_dir), hist).select(
-        "userId", "rank", "productId", F.round("sim", 6).alias("sim")
+        "userId", "rank", "productId", round6("sim").alias("sim")
     )
 
 
@@ -277,7 +279,7 @@ def q_layout_bucketed_lookup(spark, sf_dir):
     # aggregation reuse the bucketing, no exchange.
     j = spark.table(rt).join(spark.table(ut), "userId")
     return j.groupBy("userId", "username").agg(
-        F.count(F.lit(1)).alias("n"), F.round(F.avg("score"), 6).alias("avg_score")
+        F.count(F.lit(1)).alias("n"), round6(F.avg("score")).alias("avg_score")
     )
 
 
