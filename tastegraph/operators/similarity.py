@@ -28,6 +28,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tastegraph.schemas import EDGE
+from tastegraph.session import cut_lineage
 
 # Defaults sized for a large cluster; tests pass small values to exercise salting.
 PAIRS_PER_TASK = 2_000_000  # join rows one task may produce; a key whose pairs exceed it is salted
@@ -69,6 +70,7 @@ def pairs_within_key(
     weight: str,
     pairs_per_task: int = PAIRS_PER_TASK,
     max_hot: int = MAX_HOT_KEYS,
+    keep_key: bool = False,
 ) -> DataFrame:
     """(a, b, wa, wb) for every key and every two of its items with a < b.
 
@@ -95,7 +97,8 @@ def pairs_within_key(
         F.col(item).alias("b"),
         F.col(weight).alias("wb"),
     ).repartition(n_parts, key, "salt")
-    return left.join(right, [key, "salt"]).where(F.col("a") < F.col("b")).select("a", "b", "wa", "wb")
+    out = [key] if keep_key else []
+    return left.join(right, [key, "salt"]).where(F.col("a") < F.col("b")).select(*out, "a", "b", "wa", "wb")
 
 
 def sum_of_products(pairs: DataFrame, out: str) -> DataFrame:
@@ -113,23 +116,51 @@ def mirror(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     return edges.select(F.explode(both).alias("_e"), *rest).select("_e.productId", "_e.otherId", *rest)
 
 
+def unit_postings(postings: DataFrame, id_col: str = "productId") -> DataFrame:
+    """Postings scaled so every vector has unit length; zero weights dropped first."""
+    nz = postings.where(F.col("w") != 0)
+    norms = nz.groupBy(id_col).agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("norm"))
+    return nz.join(norms, id_col).select("term", id_col, (F.col("w") / F.col("norm")).alias("w"))
+
+
 def sparse_cosine(
     postings: DataFrame,
     threshold: float | None = 0.4,
     **salting,
 ) -> DataFrame:
-    """Cosine over unit-normalised sparse vectors given as postings (term, productId, w).
-
-    Zero-weight entries are dropped first; vectors with zero norm therefore never
-    appear (the reference's NaN cosine is dropped by its ``> 0.4`` filter).
+    """Cosine over sparse vectors given as postings (term, productId, w).
+
+    Products with identical raw vectors are grouped first (the sorted
+    (term, weight) list is the group key, so grouping is exact, not hashed):
+    similarities are computed once between *distinct* vectors and expanded to
+    their member products afterwards. Two products in the same group have
+    cosine 1 (their own dot product). Zero-weight entries are dropped first, so a
+    vector of zero norm never appears (the reference's NaN cosine is dropped by
+    its ``> 0.4`` filter, G10).
     """
     nz = postings.where(F.col("w") != 0)
-    norms = nz.groupBy("productId").agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("norm"))
-    unit = nz.join(norms, "productId").select("term", "productId", (F.col("w") / F.col("norm")).alias("w"))
+    sig = nz.groupBy("productId").agg(F.array_sort(F.collect_list(F.struct("term", "w"))).alias("v"))
+    sig = cut_lineage(sig)
+    groups = sig.groupBy("v").agg(F.min("productId").alias("vid"))
+    members = sig.join(groups, "v").select("productId", "vid")
+    rep = groups.select("vid", F.explode("v").alias("e")).select(
+        F.col("e.term").alias("term"), F.col("vid"), F.col("e.w").alias("w")
+    )
+    unit = unit_postings(rep, "vid").withColumnRenamed("vid", "productId")
     dots = sum_of_products(pairs_within_key(unit, "term", "productId", "w", **salting), "sim")
+    selfsim = unit.groupBy(F.col("productId").alias("vid")).agg(F.sum(F.col("w") * F.col("w")).alias("sim"))
     if threshold is not None:
         dots = dots.where(F.col("sim") > threshold)
-    return mirror(dots).select(
+        selfsim = selfsim.where(F.col("sim") > threshold)
+    ma = members.select(F.col("vid").alias("a"), F.col("productId").alias("pa"))
+    mb = members.select(F.col("vid").alias("b"), F.col("productId").alias("pb"))
+    cross = dots.join(ma, "a").join(mb, "b").select(F.col("pa").alias("a"), F.col("pb").alias("b"), "sim")
+    same = (
+        pairs_within_key(members.withColumn("one", F.lit(1.0)), "vid", "productId", "one", keep_key=True, **salting)
+        .join(selfsim, "vid")
+        .select("a", "b", "sim")
+    )
+    return mirror(cross.unionByName(same)).select(
         F.col("productId").cast("int"), F.col("otherId").cast("int"), F.col("sim").cast("double")
     )
 

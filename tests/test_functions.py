@@ -1,0 +1,77 @@
+"""Scalar functions: golden cases G5, G6, G7, G9 and parsing helpers."""
+
+from pyspark.sql import functions as F
+
+from tastegraph.functions import scalar as S
+
+
+def one(spark, expr, value, dtype="string"):
+    df = spark.createDataFrame([(value,)], f"x {dtype}")
+    return df.select(expr(F.col("x")).alias("y")).first()["y"]
+
+
+def test_yearmonth_g6(spark):
+    assert one(spark, S.yearmonth, 1395676800, "long") == 201403
+    assert one(spark, S.yearmonth, 1396310399, "long") == 201403
+    assert one(spark, S.yearmonth, 1396310400, "long") == 201404
+
+
+def test_half_star_g7(spark):
+    assert one(spark, S.half_star, 9.0, "double") == 4.5
+    assert one(spark, S.half_star, 1.0, "double") == 0.5
+    assert one(spark, S.half_star, 0.25, "double") == 0.13
+
+
+def test_java_string_hash_g9(spark):
+    assert one(spark, S.java_string_hash, "abc") == 96354
+    assert one(spark, S.java_string_hash, "") == 0
+    assert one(spark, S.java_string_hash, "polygenelubricants") == -2147483648
+
+
+def _java_hash(s):
+    h = 0
+    b = s.encode("utf-16-be")
+    for i in range(0, len(b), 2):
+        h = (h * 31 + int.from_bytes(b[i : i + 2], "big")) % 2**32
+    return h - 2**32 if h >= 2**31 else h
+
+
+def test_java_string_hash_unicode(spark):
+    for s in ["用户名", "a😀b", "Customer#000000001", "x" * 200]:
+        assert one(spark, S.java_string_hash, s) == _java_hash(s)
+
+
+def test_text_after_g5(spark):
+    assert one(spark, S.text_after, "t INFO - PRODUCT_RATING_PREFIX:1|2|4.5|100") == "1|2|4.5|100"
+    assert one(spark, S.text_after, "t INFO - PRODUCT_RATING_PREFIX:  1|2|4.5|100 \t") == "1|2|4.5|100"
+    assert one(spark, S.text_after, "t INFO - PRODUCT_RATING_PREFIX:") is None
+    assert one(spark, S.text_after, "no marker here") is None
+
+
+def test_parse_message(spark):
+    r = one(spark, S.parse_message, "4867|457976|5.0|1395676800")
+    assert (r.userId, r.productId, r.score, r.timestamp) == (4867, 457976, 5.0, 1395676800)
+    bad = one(spark, S.parse_message, "x|2")
+    assert bad.userId is None and bad.score is None
+
+
+def test_seconds_f9(spark):
+    assert one(spark, S.seconds, 1395676800123, "long") == 1395676800
+    assert one(spark, S.seconds, 1395676800, "long") == 1395676800
+
+
+def test_queue_item_roundtrip_f11(spark):
+    df = spark.createDataFrame([(7, 4.5)], "p int, s double")
+    r = df.select(S.decode_queue_item(S.encode_queue_item("p", "s")).alias("d")).first()["d"]
+    assert (r.productId, r.score) == (7, 4.5)
+
+
+def test_round6_midpoint(spark):
+    assert one(spark, S.round6, 0.5002975, "double") == 0.500298
+    assert one(spark, S.round6, 1.0000000000000002, "double") == 1.0
+
+
+def test_cosine_zero_is_null(spark):
+    df = spark.createDataFrame([([0.0, 0.0], [1.0, 2.0]), ([3.0, 4.0], [3.0, 4.0])], "a array<double>, b array<double>")
+    got = [r["c"] for r in df.select(S.cosine("a", "b").alias("c")).collect()]
+    assert got[0] is None and abs(got[1] - 1.0) < 1e-12

@@ -1,0 +1,56 @@
+"""ItemCF: golden cases G1, G2, D3, and salting equivalence."""
+
+import math
+
+from conftest import ratings_df
+
+from tastegraph.operators import itemcf, topk
+
+A, B, C, D = 1, 2, 3, 4
+
+
+def sims(df):
+    return {(r.productId, r.otherId): r.sim for r in itemcf.itemcf_edges(df).collect()}
+
+
+def test_g1_cooccurrence(spark):
+    df = ratings_df(spark, [(1, A, 5.0, 0), (1, B, 4.0, 0), (2, A, 3.0, 0), (2, B, 3.0, 0), (2, C, 1.0, 0), (3, A, 2.0, 0)])
+    s = sims(df)
+    assert math.isclose(s[(A, B)], 2 / math.sqrt(6))
+    assert math.isclose(s[(A, C)], 1 / math.sqrt(3))
+    assert math.isclose(s[(B, C)], 1 / math.sqrt(2))
+    assert s[(A, B)] == s[(B, A)]
+    assert all(a != b for a, b in s)
+
+
+def test_g2_duplicates(spark):
+    df = ratings_df(spark, [(1, A, 5.0, 0), (1, A, 4.0, 1), (1, B, 4.0, 0)])
+    assert math.isclose(sims(df)[(A, B)], 2 / math.sqrt(2))
+    e = {(r.productId, r.otherId): r.sim for r in itemcf.itemcf_edges(df, distinct_users=True).collect()}
+    assert math.isclose(e[(A, B)], 1.0)
+
+
+def test_d3_empty_list(spark):
+    df = ratings_df(spark, [(1, A, 5.0, 0), (1, B, 4.0, 0), (9, D, 3.0, 0)])
+    lists = {r.productId: r.recs for r in itemcf.itemcf_recs(df).collect()}
+    assert lists[D] == []
+    assert [x.productId for x in lists[A]] == [B]
+    flat = topk.explode_ranked(itemcf.itemcf_recs(df), "productId", "otherId", outer=True)
+    assert flat.where("productId = 4").first().rank is None
+
+
+def test_topk_ties_by_id(spark):
+    # A's partners B, C, D all tie; list of 2 keeps the two smallest ids
+    rows = [(u, A, 1.0, 0) for u in (1, 2, 3)] + [(1, B, 1.0, 0), (2, C, 1.0, 0), (3, D, 1.0, 0)]
+    top = itemcf.itemcf_top(ratings_df(spark, rows), k=2).where(f"productId = {A}").orderBy("rank").collect()
+    assert [r.otherId for r in top] == [B, C]
+
+
+def test_salted_hot_user_equals_unsalted(spark):
+    # one user rates 60 products (a hot key for a tiny pair budget), others rate a few
+    rows = [(0, p, 3.0, 0) for p in range(60)]
+    rows += [(u, (u * 7 + j) % 60, 4.0, 0) for u in range(1, 40) for j in range(4)]
+    df = ratings_df(spark, rows)
+    plain = {(r.product1, r.product2, r.cocount) for r in itemcf.cooccurrence(df).collect()}
+    salted = {(r.product1, r.product2, r.cocount) for r in itemcf.cooccurrence(df, pairs_per_task=50).collect()}
+    assert plain == salted and len(plain) > 3000
