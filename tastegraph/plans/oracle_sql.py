@@ -332,3 +332,20 @@ SELECT userId, CAST(pos AS INTEGER) AS pos, productId, score
 FROM (SELECT e.*, row_number() OVER (PARTITION BY userId ORDER BY {NEWEST_FIRST}) AS pos
       FROM rating_events e)
 WHERE pos <= 40"""
+
+
+# --- dense cosine over the embeddings table (M4's operator on given vectors) ---------
+EMBEDDING_SIMILAR = """
+WITH pairs AS (
+  SELECT CAST(a.vec_id AS INTEGER) AS productId, CAST(b.vec_id AS INTEGER) AS otherId,
+         list_cosine_similarity(CAST(a.embedding AS DOUBLE[]), CAST(b.embedding AS DOUBLE[])) AS sim
+  FROM embeddings a JOIN embeddings b ON a.vec_id <> b.vec_id
+  WHERE list_dot_product(CAST(a.embedding AS DOUBLE[]), CAST(a.embedding AS DOUBLE[])) > 0
+    AND list_dot_product(CAST(b.embedding AS DOUBLE[]), CAST(b.embedding AS DOUBLE[])) > 0),
+ranked AS (
+  SELECT productId, otherId, sim,
+         row_number() OVER (PARTITION BY productId
+                            ORDER BY floor((sim) * 1e6 + 0.5 + 1e-6) DESC, otherId) AS rank
+  FROM pairs WHERE sim > 0.4)
+SELECT productId, CAST(rank AS INTEGER) AS rank, otherId, floor((sim) * 1e6 + 0.5 + 1e-6) / 1e6 AS score
+FROM ranked WHERE rank <= 20"""

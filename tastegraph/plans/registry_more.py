@@ -341,3 +341,17 @@ def q_stream_rating_upsert(spark, sf_dir):
     stored = tables.ratings(spark, sf_dir)
     hist = srecs.history_upto(spark, stored, sinks.KeyedSnapshots(f"{base}/delta", "userId"), 1 << 62)
     return R.latest_scores(hist)
+
+
+# --- dense cosine over the given embeddings -------------------------------------------
+from tastegraph.operators import similarity  # noqa: E402
+
+
+@register("embedding_similar", Q.EMBEDDING_SIMILAR)
+def q_embedding_similar(spark, sf_dir):
+    emb = tables.read_table(spark, sf_dir, "embeddings").select(
+        F.col("vec_id").cast("int").alias("id"), F.col("embedding").alias("vec")
+    )
+    edges = similarity.dense_cosine_topk(emb, factors.ALS_SIM_LIST_SIZE, factors.ALS_SIM_THRESHOLD, block_rows=128)
+    ranked = topk.rank_per_key(edges, "productId", "sim", "otherId", factors.ALS_SIM_LIST_SIZE)
+    return ranked.select("productId", "rank", "otherId", S.round6("sim").alias("score"))
