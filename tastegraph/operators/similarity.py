@@ -134,9 +134,11 @@ def sparse_cosine(
     (term, weight) list is the group key, so grouping is exact, not hashed):
     similarities are computed once between *distinct* vectors and expanded to
     their member products afterwards. Two products in the same group have
-    cosine 1 (their own dot product). Zero-weight entries are dropped first, so a
-    vector of zero norm never appears (the reference's NaN cosine is dropped by
-    its ``> 0.4`` filter, G10).
+    cosine 1 (their own dot product). Between distinct vectors every two
+    vectors sharing a term are paired (salted by pair work) and their products
+    summed per pair with partial aggregation. Zero
+    weights are dropped first, so a vector of zero norm never appears (the
+    reference's NaN cosine is dropped by its ``> 0.4`` filter, G10).
     """
     nz = postings.where(F.col("w") != 0)
     sig = nz.groupBy("productId").agg(F.array_sort(F.collect_list(F.struct("term", "w"))).alias("v"))
@@ -148,9 +150,10 @@ def sparse_cosine(
     )
     unit = unit_postings(rep, "vid").withColumnRenamed("vid", "productId")
     dots = sum_of_products(pairs_within_key(unit, "term", "productId", "w", **salting), "sim")
-    selfsim = unit.groupBy(F.col("productId").alias("vid")).agg(F.sum(F.col("w") * F.col("w")).alias("sim"))
     if threshold is not None:
         dots = dots.where(F.col("sim") > threshold)
+    selfsim = unit.groupBy(F.col("productId").alias("vid")).agg(F.sum(F.col("w") * F.col("w")).alias("sim"))
+    if threshold is not None:
         selfsim = selfsim.where(F.col("sim") > threshold)
     ma = members.select(F.col("vid").alias("a"), F.col("productId").alias("pa"))
     mb = members.select(F.col("vid").alias("b"), F.col("productId").alias("pb"))

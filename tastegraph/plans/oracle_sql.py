@@ -349,3 +349,9 @@ ranked AS (
   FROM pairs WHERE sim > 0.4)
 SELECT productId, CAST(rank AS INTEGER) AS rank, otherId, floor((sim) * 1e6 + 0.5 + 1e-6) / 1e6 AS score
 FROM ranked WHERE rank <= 20"""
+
+
+CONTENT_SIMILAR_DOCUMENTS = "WITH " + content_exact(
+    "docs AS (SELECT CAST(doc_id AS INTEGER) AS productId, text AS tags FROM documents)"
+) + """
+SELECT productId, rank, otherId, score FROM content"""

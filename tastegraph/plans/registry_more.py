@@ -38,6 +38,15 @@ def q_content_similar_exact(spark, sf_dir):
     return content.content_similar(tables.products(spark, sf_dir), variant="exact")
 
 
+@register("content_similar_documents", Q.CONTENT_SIMILAR_DOCUMENTS)
+def q_content_similar_documents(spark, sf_dir):
+    """M8 over whole document texts (long vectors: the prefix-filtered path)."""
+    docs = tables.read_table(spark, sf_dir, "documents").select(
+        F.col("doc_id").cast("int").alias("productId"), F.col("text").alias("tags")
+    )
+    return content.content_similar(docs, variant="exact")
+
+
 @register("content_similar_hashed")
 def q_content_similar_hashed(spark, sf_dir):
     return content.content_similar(tables.products(spark, sf_dir), variant="hashed")
