@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from tastegraph.functions.scalar import round6
 
 from tastegraph.operators import itemcf, topk
+from tastegraph.session import cut_lineage
 from tastegraph.plans import oracle_sql as Q
 from tastegraph.plans.registry import register
 from tastegraph.sources import tables
@@ -136,9 +137,12 @@ def q_score_normalised(spark, sf_dir):
 
 
 def itemcf_sims(spark, sf_dir, k: int = REALTIME_SIM_LIST):
-    """Stored-list view of ItemCF: edge table (productId, otherId, sim) of the top-k lists."""
+    """Stored-list view of ItemCF: edge table (productId, otherId, sim) of the top-k lists.
+
+    Materialised once (reliable checkpoint), as the stored list table the
+    stream reads: the scorer looks it up twice (candidates and scoring)."""
     top = itemcf.itemcf_top(tables.ratings(spark, sf_dir), k=k)
-    return top.select("productId", "otherId", F.col("score").alias("sim"))
+    return cut_lineage(top.select("productId", "otherId", F.col("score").alias("sim")))
 
 
 @register("candidates", Q.CANDIDATES)
