@@ -75,3 +75,9 @@ def test_cosine_zero_is_null(spark):
     df = spark.createDataFrame([([0.0, 0.0], [1.0, 2.0]), ([3.0, 4.0], [3.0, 4.0])], "a array<double>, b array<double>")
     got = [r["c"] for r in df.select(S.cosine("a", "b").alias("c")).collect()]
     assert got[0] is None and abs(got[1] - 1.0) < 1e-12
+
+
+def test_recs_to_map_f10(spark):
+    df = spark.createDataFrame([([(5, 0.9), (7, 0.4)],)], "recs array<struct<productId:int,score:double>>")
+    m = df.select(S.recs_to_map("recs").alias("m")).first()["m"]
+    assert m == {5: 0.9, 7: 0.4}
