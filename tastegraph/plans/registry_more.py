@@ -352,7 +352,7 @@ def q_stream_rating_upsert(spark, sf_dir):
     q = srecs.start_upsert_stream(spark, srecs.rating_stream_from_logs(spark, src), f"{base}/delta")
     q.awaitTermination()
     stored = tables.ratings(spark, sf_dir)
-    hist = srecs.history_upto(spark, stored, sinks.KeyedSnapshots(f"{base}/delta", "userId"), 1 << 62)
+    hist = srecs.history_upto(spark, stored, sinks.KeyedSnapshots(f"{base}/delta", "userId"), 1 << 40)
     return R.latest_scores(hist)
 
 

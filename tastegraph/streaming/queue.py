@@ -106,6 +106,7 @@ def start_queue_stream(
     capacity: int = QUEUE_CAPACITY,
     checkpoint: str | None = None,
     trigger: dict | None = None,
+    compact_every: int = 50,
 ):
     """Run R3 into a ``KeyedSnapshots`` table keyed by userId (the queue as an array)."""
     store = KeyedSnapshots(out_dir, "userId")
@@ -116,6 +117,8 @@ def start_queue_stream(
             F.array_sort(F.collect_list(F.struct("pos", "productId", "score"))).alias("queue")
         )
         store.write(lists, batch_id)
+        if batch_id and batch_id % compact_every == 0:
+            store.compact(spark, batch_id)
 
     w = queues.writeStream.foreachBatch(sink).option(
         "checkpointLocation", checkpoint or scratch_path(spark, "ckpt-queue")
