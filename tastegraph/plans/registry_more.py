@@ -147,8 +147,8 @@ def itemcf_sims(spark, sf_dir, k: int = REALTIME_SIM_LIST):
 
 @register("candidates", Q.CANDIDATES)
 def q_candidates(spark, sf_dir):
-    hist = tables.rating_history(spark, sf_dir)
     trig = realtime.newest_event_per_user(tables.rating_events(spark, sf_dir))
+    hist = realtime.restrict_to_users(tables.rating_history(spark, sf_dir), trig)
     return realtime.candidates(trig, itemcf_sims(spark, sf_dir), hist).select(
         "userId", "rank", "productId", round6("sim").alias("sim")
     )
@@ -156,8 +156,8 @@ def q_candidates(spark, sf_dir):
 
 @register("realtime_scores", Q.REALTIME_SCORES)
 def q_realtime_scores(spark, sf_dir):
-    hist = tables.rating_history(spark, sf_dir)
     trig = realtime.newest_event_per_user(tables.rating_events(spark, sf_dir))
+    hist = realtime.restrict_to_users(tables.rating_history(spark, sf_dir), trig)
     return realtime.recommend(trig, itemcf_sims(spark, sf_dir), hist, threshold=REALTIME_ITEMCF_THRESHOLD)
 
 
