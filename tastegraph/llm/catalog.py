@@ -11,7 +11,19 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tastegraph.llm import oracle, quality, urls
+from tastegraph.llm import (
+    jaccard,
+    langid,
+    linededup,
+    mixing,
+    oracle,
+    pieces,
+    quality,
+    substrings,
+    topk,
+    toxicity,
+    urls,
+)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -39,11 +51,52 @@ def op1(spark, sf_dir):
     )
 
 
+@register("op2_jaccard_join")
+def op2(spark, sf_dir):
+    return jaccard.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+@register("op3_language_id")
+def op3(spark, sf_dir):
+    return langid.identify(table(spark, sf_dir, "documents"))
+
+
+@register("op4_exact_top_k", oracle.EXACT_TOP_K)
+def op4(spark, sf_dir):
+    return topk.exact_top_k(table(spark, sf_dir, "embeddings"))
+
+
+@register("op5_substring_dedup")
+def op5(spark, sf_dir):
+    return substrings.repeated_words(table(spark, sf_dir, "documents"))
+
+
+@register("op6_source_mix")
+def op6(spark, sf_dir):
+    return mixing.mix(table(spark, sf_dir, "documents"))
+
+
+@register("op7_line_dedup")
+def op7(spark, sf_dir):
+    return linededup.line_report(table(spark, sf_dir, "documents"))
+
+
+@register("op8_toxicity")
+def op8(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    return toxicity.score(docs, toxicity.train(docs, table(spark, sf_dir, "labels")))
+
+
 @register("op9_url_filters", oracle.URL_FILTERS)
 def op9(spark, sf_dir):
     return urls.filter_urls(table(spark, sf_dir, "pages"), urls.demo_rules(spark))
 
 
+@register("op10_sentencepiece")
+def op10(spark, sf_dir):
+    return pieces.digests(pieces.encode(table(spark, sf_dir, "documents")))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return dict(QUERIES)
 
