@@ -80,32 +80,37 @@ class DoubleArray:
             for b in key:
                 node = node.setdefault(b, {})
             node[-1] = value
+        span = 2048  # places tried at once
         size = 1 << 16
         base, check, value = np.zeros(size, np.int32), np.full(size, -1, np.int32), np.full(size, -1, np.int32)
-        taken = bytearray(size)
-        taken[0], free = 1, 1
+        taken = np.zeros(size, bool)
+        taken[0], free, tail = True, 1, 1  # first free slot; where families of several look first
         todo = [(0, root)]
         while todo:
             state, node = todo.pop()
             value[state] = node.pop(-1, -1)
             if not node:
-                base[state] = 0
                 continue
             labels = sorted(node)
-            at = max(1, free - labels[0])
+            at = max(1, (free if len(labels) == 1 else max(free, tail)) - labels[0])
             while True:
-                if at + 256 >= len(taken):
-                    grow = len(taken)
-                    taken.extend(bytes(grow))
-                    base = np.r_[base, np.zeros(grow, np.int32)]
-                    check = np.r_[check, np.full(grow, -1, np.int32)]
-                    value = np.r_[value, np.full(grow, -1, np.int32)]
-                if not any(taken[at + b] for b in labels):
+                if at + span + 256 >= size:
+                    base, check, value, taken = (
+                        np.r_[x, np.full(size, fill, x.dtype)]
+                        for x, fill in ((base, 0), (check, -1), (value, -1), (taken, False))
+                    )
+                    size *= 2
+                busy = taken[at + labels[0] : at + labels[0] + span].copy()
+                for b in labels[1:]:
+                    busy |= taken[at + b : at + b + span]
+                if not busy.all():
+                    at += int(busy.argmin())
                     break
-                at += 1
+                at += span
+                tail = at  # the slots before are crowded
             base[state] = at
             for b in labels:
-                taken[at + b] = 1
+                taken[at + b] = True
                 check[at + b] = state
                 todo.append((at + b, node[b]))
             while taken[free]:

@@ -128,8 +128,8 @@ def exact_top_k(
     shared = spark.sparkContext.broadcast([np.array(r["v"], np.int64) for r in some])  # ``pivots`` vectors
 
     def cell(df: DataFrame, side: str, n: int, other: str, copies: int) -> DataFrame:
-        own = F.pmod(F.xxhash64(F.lit("block"), "id"), F.lit(n)).alias(side)
-        every = F.explode(F.sequence(F.lit(0), F.lit(copies - 1))).cast("long").alias(other)
+        own = F.pmod(F.xxhash64(F.lit("block"), "id"), F.lit(n).cast("long")).alias(side)
+        every = F.explode(F.sequence(F.lit(0).cast("long"), F.lit(copies - 1).cast("long"))).alias(other)
         return df.select("id", "v", "dim", own, every)
 
     def run(key, left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
