@@ -11,6 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from tastegraph.llm import (
     jaccard,
     langid,
@@ -97,6 +98,11 @@ def op10(spark, sf_dir):
     return pieces.digests(pieces.encode(table(spark, sf_dir, "documents")))
 
 
+@register("pipeline", corpus_pipeline.ORACLE_SQL)
+def pipeline(spark, sf_dir):
+    return corpus_pipeline.run(spark, sf_dir)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return dict(QUERIES)
 

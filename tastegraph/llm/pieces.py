@@ -26,8 +26,7 @@ from itertools import chain
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
-
-from tastegraph.llm.text import take_columns
+from pyspark.sql import functions as F
 
 MODEL_FILE = "/opt/tokenizers/piece_bpe_32k.model"
 MARKER = "▁"
@@ -251,23 +250,24 @@ def _slices(batch: pa.RecordBatch, column: str, most: int = 8 << 20) -> Iterator
         yield batch.slice(at, step)
 
 
-def encode(documents: DataFrame, model_file: str = MODEL_FILE, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id, text, ids array<int>) for every row."""
+def encode(
+    documents: DataFrame, model_file: str = MODEL_FILE, text_col: str = "text", keep: tuple[str, ...] = ("doc_id", "text")
+) -> DataFrame:
+    """The ``keep`` columns and ids array<int> of every row."""
     pieces = read_pieces(model_file)
     trie = DoubleArray({pieces.text[i]: i for i in pieces.matched})
     shared = documents.sparkSession.sparkContext.broadcast((pieces, trie))  # a vocabulary
+    kinds = {f.name: f.dataType.simpleString() for f in documents.schema.fields}
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = Encoder(*shared.value)
         for whole in batches:
-            for batch in _slices(whole, text_col):
-                ids = _list_array(encoder.texts(batch.column(text_col).to_pylist()))
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column(id_col), batch.column(text_col), ids], names=[id_col, text_col, "ids"]
-                )
-
-    rows = take_columns(documents, {id_col: "bigint", text_col: "string"})
-    return rows.mapInArrow(run, f"{id_col} long, {text_col} string, ids array<int>")
+            for batch in _slices(whole, "_text"):
+                ids = _list_array(encoder.texts(batch.column("_text").to_pylist()))
+                yield pa.RecordBatch.from_arrays([*(batch.column(k) for k in keep), ids], names=[*keep, "ids"])
+
+    rows = documents.select(*keep, F.col(text_col).cast("string").alias("_text"))
+    return rows.mapInArrow(run, ", ".join([*(f"{k} {kinds[k]}" for k in keep), "ids array<int>"]))
 
 
 def decode_ids(ids: np.ndarray, text: list[bytes]) -> str:

@@ -199,12 +199,12 @@ def _evidence(rows: DataFrame, model: Model, keep: list[str]) -> DataFrame:
     def run(batches):
         scorer = _Scorer(shared.value)
         for batch in batches:
-            got = [scorer.evidence(t) for t in batch.column("text").to_pylist()]
+            got = [scorer.evidence(t) for t in batch.column("_text").to_pylist()]
             extra = [pa.array([g[i] for g in got], pa.float64()) for i in (0, 1)]
             yield pa.RecordBatch.from_arrays([*(batch.column(k) for k in keep), *extra], names=names)
 
     schema = ", ".join([*(f"{k} {kinds[k]}" for k in keep), "whole double", "stretch double"])
-    return rows.select(*keep, "text").mapInArrow(run, schema)
+    return rows.select(*keep, F.col("text").cast("string").alias("_text")).mapInArrow(run, schema)
 
 
 def _logistic(x: np.ndarray, y: np.ndarray) -> np.ndarray:
