@@ -33,7 +33,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tastegraph.llm.text import take_columns
+from tastegraph.llm.text import numbered, take_columns
 
 SHINGLE = 5
 THRESHOLD = (4, 5)  # 0.8 as a fraction, compared in whole numbers
@@ -277,6 +277,7 @@ def near_duplicates(documents: DataFrame, target_recall: float = TARGET_RECALL)
 def keep_one(documents: DataFrame) -> DataFrame:
     """One row of ``documents`` for each class: that of the class id. Rows without an id stay."""
     cols = documents.columns
-    heads = near_duplicates(documents).where("doc_id = class_id").select(F.col("doc_id").alias("_keep"))
-    kept = documents.join(heads, F.col("doc_id").cast("bigint") == F.col("_keep")).select(*cols)
-    return kept.dropDuplicates(["doc_id"]).unionAll(documents.where(F.col("doc_id").isNull()))
+    rows, key = numbered(documents), f"c{cols.index('doc_id')}"
+    heads = near_duplicates(documents).where("doc_id = class_id").select(F.col("doc_id").alias("head"))
+    kept = rows.join(heads, F.col(key).cast("bigint") == F.col("head")).drop("head")
+    return kept.dropDuplicates([key]).unionAll(rows.where(F.col(key).isNull())).toDF(*cols)

@@ -27,7 +27,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tastegraph.llm.text import take_columns
+from tastegraph.llm.text import numbered, take_columns
 
 MEAN_LINES = 4
 MIX = 0x9E3779B97F4A7C15
@@ -121,10 +121,10 @@ def without_chunks(text: str, nos: list[int]) -> str:
 def dedup_lines(documents: DataFrame, text_col: str = "text") -> DataFrame:
     """``documents`` with repeated chunks of lines taken out of ``text`` (same columns and rows)."""
     cols = documents.columns
-    kinds = documents.schema
-    gone = repeated_chunks(documents).select(F.col("doc_id").alias("_gone_id"), "nos")
-    joined = documents.join(gone, F.col("doc_id").cast("bigint") == F.col("_gone_id"), "left").drop("_gone_id")
-    at = cols.index(text_col)
+    at, key = cols.index(text_col), f"c{cols.index('doc_id')}"
+    gone = repeated_chunks(documents).select(F.col("doc_id").alias("gone_id"), "nos")
+    rows = numbered(documents)
+    joined = rows.join(gone, F.col(key).cast("bigint") == F.col("gone_id"), "left").drop("gone_id")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -136,7 +136,7 @@ def dedup_lines(documents: DataFrame, text_col: str = "text") -> DataFrame:
             arrays[at] = pa.array(texts, arrays[at].type)
             yield pa.RecordBatch.from_arrays(arrays, names=cols)
 
-    return joined.mapInArrow(run, kinds)
+    return joined.mapInArrow(run, documents.schema)
 
 
 def dedup_documents(documents: DataFrame) -> DataFrame:

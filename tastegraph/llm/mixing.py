@@ -181,8 +181,7 @@ def selection(rows: DataFrame, plan: list[tuple[int, int, int]]) -> DataFrame:
 
 
 def with_copies(documents: DataFrame, sources: Column, seed: int = SEED) -> tuple[DataFrame, list]:
-    """``documents`` (with a ``text`` and a ``doc_id``) plus struct ``_mix`` (size, taken, pattern), and the
-    rows (source, source_size, target)."""
+    """Rows (doc: the whole row of ``documents``, size, taken), and the rows (source, source_size, target)."""
     spark = documents.sparkSession
     narrow = documents.select("doc_id", word_count(F.col("text")).alias("size"), sources.alias("pattern"))
     narrow = narrow.checkpoint()  # ids, sizes and patterns only: texts are not read again for each level
@@ -210,14 +209,12 @@ def with_copies(documents: DataFrame, sources: Column, seed: int = SEED) -> tupl
     rows = narrow.join(keys.withColumnRenamed("pattern", "key"), same("pattern", "key"))
     rows = rows.select("pattern_id", "size", order_hash(seed).alias("h"))
     chosen = selection(rows, plan).join(keys, "pattern_id").withColumnRenamed("pattern", "key")
-    sized = documents.select("*", word_count(F.col("text")).alias("size"), sources.alias("pattern"))
+    whole = F.struct(*[F.col(f"`{c}`") for c in documents.columns]).alias("doc")
+    sized = documents.select(whole, "doc_id", word_count(F.col("text")).alias("size"), sources.alias("pattern"))
     joined = sized.join(chosen, same("pattern", "key"), "left").withColumn("h", order_hash(seed))
     more = (F.col("h") < F.col("cut")) | F.array_contains("picks", F.col("h"))
     taken = F.col("size") * (F.col("base") + more.cast("long"))
-    mixed = joined.select(
-        *[F.col(f"`{c}`") for c in documents.columns],
-        F.struct("size", F.coalesce(taken, F.lit(0).cast("long")).alias("taken"), "pattern").alias("_mix"),
-    )
+    mixed = joined.select("doc", "size", F.coalesce(taken, F.lit(0).cast("long")).alias("taken"))
     return mixed, [(s, int(sizes[s]), float(goal[s])) for s in sizes]
 
 
@@ -226,14 +223,13 @@ def mix(documents: DataFrame, seed: int = SEED) -> DataFrame:
     docs = take_columns(documents, {"doc_id": "bigint", "text": "string", "source": "string"})
     mixed, goals = with_copies(docs, F.array("source"), seed)
     table = documents.sparkSession.createDataFrame(goals, "s string, source_size long, target double")
-    return mixed.join(table, F.col("source").eqNullSafe(F.col("s")), "left").select(
-        "doc_id", F.col("_mix.size").alias("size"), "source_size", "target", F.col("_mix.taken").alias("taken")
+    return mixed.join(table, F.col("doc.source").eqNullSafe(F.col("s")), "left").select(
+        "doc.doc_id", "size", "source_size", "target", "taken"
     )
 
 
 def mixed_documents(documents: DataFrame, seed: int = SEED) -> DataFrame:
     """The rows of ``documents`` as the mix takes them: left out, once, or once for each repeat."""
     mixed, _ = with_copies(documents, F.array("source"), seed)
-    copies = F.when(F.col("_mix.size") > 0, F.col("_mix.taken") / F.col("_mix.size")).otherwise(0).cast("int")
-    again = mixed.withColumn("_mix", F.explode(F.array_repeat(F.lit(1), copies)))
-    return again.select(*[F.col(f"`{c}`") for c in documents.columns])
+    copies = F.when(F.col("size") > 0, F.col("taken") / F.col("size")).otherwise(0).cast("int")
+    return mixed.select("doc", F.explode(F.array_repeat(F.lit(1), copies))).select("doc.*")

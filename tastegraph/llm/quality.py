@@ -106,7 +106,8 @@ def text_metrics(documents: DataFrame, text_col: str = "text", id_col: str = "do
     stop = F.size(F.filter("_w", lambda w: w.isin(STOP_WORDS)))
     bullet = F.size(F.filter("_lines", lambda s: F.left(F.ltrim(s), F.lit(1)).isin("-", "•", "*")))
     ellipsis = F.size(F.filter("_lines", lambda s: F.rtrim(s).endswith("...") | F.rtrim(s).endswith("…")))
-    counted = df.select(
+    # The generator keeps filters on the metrics from being rewritten into the expressions above.
+    counts = F.struct(
         "doc_id",
         n_words.alias("n_words"),
         F.aggregate("_w", F.lit(0).cast("long"), lambda a, w: a + F.length(w)).alias("word_chars"),
@@ -121,6 +122,7 @@ def text_metrics(documents: DataFrame, text_col: str = "text", id_col: str = "do
         bullet.alias("_bullets"),
         ellipsis.alias("_ellipses"),
     )
+    counted = df.select(F.inline(F.array(counts)))
     base = ["doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines"]
     w, lines = F.col("n_words"), F.col("n_lines")
     return counted.select(

@@ -9,7 +9,6 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 DOCUMENT_COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
@@ -49,5 +48,6 @@ def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 3 == 1, F.lit(False))
 
 
-def field(name: str, kind: str) -> T.StructField:
-    return T.StructField(name, T._parse_datatype_string(kind))
+def numbered(df: DataFrame) -> DataFrame:
+    """``df`` with columns c0, c1, ... in place of their names, which then clash with nothing."""
+    return df.toDF(*[f"c{i}" for i in range(len(df.columns))])

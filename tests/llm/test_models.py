@@ -1,0 +1,77 @@
+"""Language id and toxicity: held-out accuracy and defined results."""
+
+import pytest
+
+from tastegraph.llm import langid, toxicity
+
+D = "/root/testdata/sf0.01"
+
+
+def test_language_id_held_out(spark):
+    docs = spark.read.parquet(f"{D}/documents.parquet")
+    got = langid.identify(docs).join(docs.select("doc_id", "lang"), "doc_id").where("held_out").collect()
+    assert len(got) > 200
+    assert sum(r.lang_pred == r.lang for r in got) / len(got) > 0.98
+    assert all(0 <= r.score <= 1 for r in got)
+
+
+def test_language_id_odd_rows(spark):
+    rows = [(i, "the cat and the dog of house " * 3, "en", 1) for i in range(20)]
+    rows += [(100 + i, "der hund und die katze das haus " * 3, "de", 1) for i in range(20)]
+    rows += [(200, None, "en", 1), (201, "", "de", 1), (202, "123 !!", None, 1), (None, "und der", "de", 1), (203, "und die", None, 1),
+             (203, "und die", None, 1), (204, "ü" * 200_000, None, 1)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string, turn int")
+    got = langid.identify(df).collect()
+    assert len(got) == len(rows)
+    by = {r.doc_id: r for r in got}
+    assert all((by[i].lang_pred, by[i].score) == ("und", 0.0) for i in (200, 201, 202))
+    assert by[203].lang_pred == "de" and by[5].lang_pred == "en" and by[None].lang_pred == "de"
+    assert by[None].held_out is False
+    nothing = langid.identify(df.selectExpr("doc_id", "text", "cast(null as string) lang")).collect()
+    assert {r.lang_pred for r in nothing} == {"und"}
+    assert langid.identify(df.limit(0)).count() == 0
+
+
+def test_presence_counts_shared_grams():
+    a, b = set(langid.presence("abcd").tolist()), set(langid.presence("bcde").tolist())
+    assert len(a) == 4 + 3 + 2 + 1 and len(a & b) == 3 + 2 + 1  # bcd, its parts
+    assert len(langid.presence("")) == 0
+
+
+@pytest.fixture(scope="module")
+def model(spark):
+    docs, labels = (spark.read.parquet(f"{D}/{t}.parquet") for t in ("documents", "labels"))
+    return toxicity.train(docs, labels)
+
+
+def test_toxicity_held_out(spark, model):
+    docs, labels = (spark.read.parquet(f"{D}/{t}.parquet") for t in ("documents", "labels"))
+    got = toxicity.score(docs, model).join(labels, "doc_id").where("held_out and toxic is not null").collect()
+    pos = [r.score for r in got if r.toxic]
+    neg = [r.score for r in got if not r.toxic]
+    better = sum((p > n) + 0.5 * (p == n) for p in pos for n in neg) / (len(pos) * len(neg))
+    assert better > 0.95
+    assert all(r.predicted == int(r.score >= 0.7) for r in got)
+
+
+def test_toxicity_odd_rows(spark, model):
+    rows = [(1, None, "x", 1.0), (2, "", "x", 1.0), (3, "x" * 300_000, "x", 1.0), (None, "idiot loser trash moron", "x", 1.0)]
+    df = spark.createDataFrame(rows + rows[:1], "doc_id long, text string, whole string, score double")
+    got = toxicity.score(df, model).collect()
+    assert len(got) == 5 and all(0 <= r.score <= 1 for r in got)
+    by = {r.doc_id: r for r in got}
+    assert by[1].score == by[2].score and by[None].held_out is False
+    labels = spark.createDataFrame([], "doc_id long, quality int, toxic int")
+    plain = toxicity.score(df, toxicity.train(df, labels)).collect()
+    assert {r.predicted for r in plain} == {0}
+    docs = spark.read.parquet(f"{D}/documents.parquet").limit(0)
+    assert toxicity.drop_toxic(docs, labels).count() == 0
+
+
+def test_word_ratio_follows_the_counts(spark):
+    rows = [(i, "good calm word text " * 5) for i in range(0, 60)] + [(i, "good vile word text " * 5) for i in range(100, 130)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, int(i >= 100)) for i, _ in rows] + [(100, 0), (None, 1), (5, None)], "doc_id long, toxic int")
+    scorer = toxicity._Scorer(toxicity.train(df, labels))
+    assert scorer.word("vile")[0] > 3 and scorer.word("calm")[0] < -3
+    assert abs(scorer.word("good")[0]) < 1 and abs(scorer.word("zzzzz")[0]) < 1
