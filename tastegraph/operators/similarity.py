@@ -8,11 +8,10 @@ holding both directions and no self pairs:
   (half the join rows) and mirrored afterwards. Weights are summed per pair with
   map-side partial aggregation, so the shuffle carries partial sums, not join rows.
   *Hot keys* (a user who rated a large share of the catalogue, a term in a third
-  of all products) are salted by their pair work d*d: their left side is split
-  into slices by a hash of the item and their right side is replicated per
-  slice, so no single task pairs a whole hot group. The hot-key list is
-  broadcast with a proven bound: at most ``max_hot`` rows (the largest keys);
-  smaller keys take the unsalted path, still exact.
+  of all products) are laid out as a grid: their items fall into g blocks and
+  every two blocks meet in one cell, so no task pairs a whole hot group and
+  an item is copied g + 1 times in all. Block counts come from an ordinary
+  join with the key degrees: no limit on the number of hot keys, no forced broadcast.
 * **Dense** (ALS factors): unit vectors are hashed into blocks; each pair of
   blocks ``(i, j), i <= j`` meets in one ``applyInPandas`` group holding two
   bounded blocks; a matrix product yields cosines and only the top-k per row per
@@ -31,9 +30,7 @@ from tastegraph.schemas import EDGE
 from tastegraph.session import cut_lineage
 
 # Defaults sized for a large cluster; tests pass small values to exercise salting.
-PAIRS_PER_TASK = 2_000_000  # join rows one task may produce; a key whose pairs exceed it is salted
-MAX_HOT_KEYS = 10_000  # broadcast bound on the hot-key list
-MAX_PAIR_PARTITIONS = 200_000  # ceiling on the pair-join parallelism
+PAIRS_PER_TASK = 2_000_000  # join rows one task may produce; a key whose pairs exceed it is split into cells
 DENSE_BLOCK_ROWS = 2_048  # vectors per block in the dense strategy
 
 
@@ -41,26 +38,31 @@ def key_degrees(entries: DataFrame, key: str) -> DataFrame:
     return entries.groupBy(key).agg(F.count(F.lit(1)).alias("d"))
 
 
-def hot_keys(deg: DataFrame, key: str, pairs_per_task: int, max_hot: int) -> DataFrame:
-    """(key, salts) for the keys whose d*d pair work exceeds one task, largest first, at most ``max_hot``.
-
-    A hot key's left side is split into ``salts = ceil(d*d / pairs_per_task)``
-    slices (at most d), so each slice task produces about ``pairs_per_task`` rows.
-    """
-    d = F.col("d").cast("double")
-    return (
-        deg.where(d * d > pairs_per_task)
-        .orderBy(F.desc("d"), F.asc(key))
-        .limit(max_hot)
-        .select(key, F.least(F.col("d"), F.ceil(d * d / pairs_per_task)).cast("int").alias("salts"))
-    )
-
-
 def pair_partitions(deg: DataFrame, pairs_per_task: int) -> int:
     """Partitions for the pair join from its total work sum(d*(d-1)/2) (one small aggregate job)."""
     work = deg.agg(F.sum(F.col("d").cast("double") * (F.col("d") - 1) / 2)).first()[0] or 0.0
     floor = int(deg.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return int(min(MAX_PAIR_PARTITIONS, max(floor, -(-work // pairs_per_task))))
+    return int(max(floor, -(-work // pairs_per_task)))
+
+
+def grid_sides(entries: DataFrame, key: str, item: str, weight: str, pairs_per_task: int) -> tuple[DataFrame, DataFrame]:
+    """Left rows (key, i, j, a, wa) and right rows (key, i, j, b, wb) of the cells i <= j of each key's grid.
+
+    A key of degree d gets g = ceil(d / sqrt(pairs_per_task)) blocks of items. Two items meet in the one cell
+    of their two blocks, so both sides together hold d * (g + 1) rows.
+    """
+    side = F.ceil(F.col("d") / F.sqrt(F.lit(float(pairs_per_task)))).cast("int")
+    grid = key_degrees(entries, key).select(key, side.alias("g"))
+    tagged = entries.join(grid, key).withColumn("block", F.pmod(F.xxhash64(F.col(item)), F.col("g")).cast("int"))
+    left = tagged.select(
+        F.col(key), F.col("block").alias("i"), F.explode(F.sequence("block", F.col("g") - 1)).alias("j"),
+        F.col(item).alias("a"), F.col(weight).alias("wa"),
+    )
+    right = tagged.select(
+        F.col(key), F.explode(F.sequence(F.lit(0), "block")).alias("i"), F.col("block").alias("j"),
+        F.col(item).alias("b"), F.col(weight).alias("wb"),
+    )
+    return left, right
 
 
 def pairs_within_key(
@@ -69,36 +71,25 @@ def pairs_within_key(
     item: str,
     weight: str,
     pairs_per_task: int = PAIRS_PER_TASK,
-    max_hot: int = MAX_HOT_KEYS,
     keep_key: bool = False,
 ) -> DataFrame:
     """(a, b, wa, wb) for every key and every two of its items with a < b.
 
-    Both sides are explicitly hash-partitioned on (key, salt) into a number of
+    Both sides are explicitly hash-partitioned on the grid cell into a number of
     partitions sized by the pair work, so the expanding join is spread over
     tasks even when its input is tiny (adaptive coalescing sizes partitions by
     input bytes, not by join output).
     """
-    deg = key_degrees(entries, key)
-    n_parts = pair_partitions(deg, pairs_per_task)
-    hot = hot_keys(deg, key, pairs_per_task, max_hot)
-    tagged = entries.join(F.broadcast(hot), key, "left").withColumn(
-        "salts", F.coalesce(F.col("salts"), F.lit(1))
-    )
-    left = tagged.select(
-        F.col(key),
-        F.pmod(F.xxhash64(F.col(item)), F.col("salts")).cast("int").alias("salt"),
-        F.col(item).alias("a"),
-        F.col(weight).alias("wa"),
-    ).repartition(n_parts, key, "salt")
-    right = tagged.select(
-        F.col(key),
-        F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt"),
-        F.col(item).alias("b"),
-        F.col(weight).alias("wb"),
-    ).repartition(n_parts, key, "salt")
+    n_parts = pair_partitions(key_degrees(entries, key), pairs_per_task)
+    cell = [key, "i", "j"]
+    left, right = (s.repartition(n_parts, *cell) for s in grid_sides(entries, key, item, weight, pairs_per_task))
+    met = left.join(right, cell).where((F.col("i") < F.col("j")) | (F.col("a") < F.col("b")))
+    up = F.col("a") < F.col("b")
+    pick = lambda x, y: F.when(up, F.col(x)).otherwise(F.col(y))
     out = [key] if keep_key else []
-    return left.join(right, [key, "salt"]).where(F.col("a") < F.col("b")).select(*out, "a", "b", "wa", "wb")
+    return met.select(
+        *out, F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), pick("wa", "wb").alias("wa"), pick("wb", "wa").alias("wb")
+    )
 
 
 def sum_of_products(pairs: DataFrame, out: str) -> DataFrame:

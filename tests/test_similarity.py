@@ -89,3 +89,20 @@ def test_mirror_single_pass(spark):
     got = sorted((r.productId, r.otherId) for r in similarity.mirror(e).collect())
     assert got == [(1, 2), (2, 1)]
     assert "Union" not in similarity.mirror(e)._jdf.queryExecution().executedPlan().toString()
+
+
+def test_grid_pairs_every_two_items_once(spark):
+    """More hot keys than any former limit would list, blocks of every shape."""
+    rows = [(k, i, 1.0 + i) for k in range(40) for i in range(k % 23)]
+    df = spark.createDataFrame(rows, "k int, item int, w double")
+    want = sorted((k, a, b, 1.0 + a, 1.0 + b) for k, b, _ in rows for a in range(b))
+    for budget in (4, 30, 10_000):
+        got = similarity.pairs_within_key(df, "k", "item", "w", pairs_per_task=budget, keep_key=True)
+        assert sorted(map(tuple, got.collect())) == want
+
+
+def test_grid_copies_stay_linear_in_its_side(spark):
+    d, budget = 500, 400
+    df = spark.range(d).selectExpr("0 as k", "cast(id as int) item", "1.0 as w")
+    copies = sum(s.count() for s in similarity.grid_sides(df, "k", "item", "w", budget))
+    assert copies <= 2 * d * -(-d // int(budget**0.5))
