@@ -1,15 +1,15 @@
 """Operator 8: toxicity by class-conditional Kneser-Ney models.
 
 Two character 5-gram models, one of toxic and one of ordinary words, share their
-back-off: the lower orders use continuation counts pooled over both classes, so an
-expression that is rare in both gets the same probability from both. A text's score
-compares the two log-likelihoods, normalised by length, over the whole text and over
-its most suspicious 16-word stretch; a logistic curve over these two turns them into 0..1.
+back-off: the orders up to two use continuation counts pooled over both classes, so an
+expression that is rare in both gets the same probability from both in the end. A text's score
+compares the two log-likelihoods, normalised by length: a character over the whole text, and a
+word over its four most telling words; a logistic curve over these two turns them into 0..1.
 
 Spark counts the n-grams of every labelled training text and computes all statistics.
-What reaches the driver and the tasks is bounded: log-ratios are folded into 2**20
-buckets by crc32 (two float arrays, 8 MB), and the logistic curve is fitted on at
-most ``fit_rows`` labelled rows.
+What reaches the driver and the tasks is bounded: log-ratios are folded into 2**21
+buckets by crc32 (two float arrays, 16 MB), and the logistic curve is fitted on at
+most ``fit_rows`` labelled rows, each judged by the counts of the half it is not in.
 
 Defined results: null and wordless texts get the curve's value at zero evidence; a label
 row that repeats counts once, and toxic if any repeat says so; null labels teach nothing;
@@ -24,22 +24,27 @@ import zlib
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tastegraph.llm.text import held_out, take_columns
+from tastegraph.llm.text import held_out, numbered, take_columns
 
 ORDER = 5
-BUCKETS = 1 << 20
+SHARED = 2  # orders up to this one are pooled over both classes
+BUCKETS = 1 << 21
 DISCOUNT = 0.75
-STRETCH = 16
+TELLING = 4  # words that the second comparison looks at
+MOST = 15.0  # log-ratio that counts for one of them at most
 THRESHOLD = 0.7
 FIT_ROWS = 20_000
 FLUSH = 500_000  # n-grams a task holds before it hands them on
-MEMO = 1_000_000  # words whose ratio a task remembers
+MEMO = 500_000  # words whose ratio a task remembers
+COUNTS = ["plain0", "toxic0", "plain1", "toxic1"]
 
 
 @dataclass
@@ -48,7 +53,7 @@ class Model:
 
     grams: np.ndarray
     contexts: np.ndarray
-    weights: np.ndarray  # intercept, whole text, stretch
+    weights: np.ndarray  # intercept, whole text, telling words
 
 
 def _grams(word: str) -> list[str]:
@@ -57,97 +62,104 @@ def _grams(word: str) -> list[str]:
 
 
 def _count_grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(gram, toxic, plain) partial counts of (text, toxic) rows."""
-    words = (Counter(), Counter())
+    """(gram, plain0, toxic0, plain1, toxic1) partial counts, by half, of (text, toxic, half) rows."""
+    words = tuple(Counter() for _ in range(4))
 
     def flush() -> pa.RecordBatch:
         counts: dict[str, list[int]] = {}
         for cls, seen in enumerate(words):
             for w, n in seen.items():
                 for g in _grams(w):
-                    counts.setdefault(g, [0, 0])[cls] += n
+                    counts.setdefault(g, [0, 0, 0, 0])[cls] += n
             seen.clear()
         return pa.RecordBatch.from_arrays(
             [
                 pa.array(list(counts), pa.string()),
-                pa.array([c[1] for c in counts.values()], pa.int64()),
-                pa.array([c[0] for c in counts.values()], pa.int64()),
+                *(pa.array([c[k] for c in counts.values()], pa.int64()) for k in range(4)),
             ],
-            names=["gram", "toxic", "plain"],
+            names=["gram", *COUNTS],
         )
 
     for batch in batches:
-        for text, toxic in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-            words[toxic].update(text.lower().split())
-            if len(words[0]) + len(words[1]) >= FLUSH:
+        for text, toxic, half in zip(*(batch.column(k).to_pylist() for k in range(3))):
+            words[2 * half + toxic].update(text.lower().split())
+            if sum(map(len, words)) >= FLUSH:
                 yield flush()
     yield flush()
 
 
-def _shared_backoff(grams: DataFrame) -> DataFrame:
-    """(g, p): interpolated Kneser-Ney probability of the last character of every (ORDER-1)-gram,
-    from continuation counts pooled over both classes."""
-    levels = []
-    df = grams.select(F.col("gram").alias("g"))
-    for n in range(ORDER - 1, 0, -1):
-        df = df.groupBy(F.right("g", F.lit(n)).alias("g")).agg(F.count(F.lit(1)).cast("double").alias("c"))
-        levels.append(df)
-        df = df.select("g")
-    p = None
-    for n, level in zip(range(1, ORDER), reversed(levels)):
-        w = Window.partitionBy(F.left("g", F.lit(n - 1)))
-        if n == 1:
-            total = levels[-1].agg(F.sum("c"), F.count("c")).first()
-            all_c, kinds = float(total[0] or 1.0), int(total[1] or 1)
-            p = level.select("g", (F.col("c") / (all_c + kinds) + 1.0 / (all_c + kinds)).alias("p"))
-            continue
-        level = level.select(
-            "g", "c", F.sum("c").over(w).alias("all"), F.count("c").over(w).alias("kinds"),
-            F.right("g", F.lit(n - 1)).alias("low"),
-        )
-        lower = p.select(F.col("g").alias("low"), F.col("p").alias("p_low"))
-        p = level.join(lower, "low").select(
-            "g",
-            ((F.col("c") - DISCOUNT + DISCOUNT * F.col("kinds") * F.col("p_low")) / F.col("all")).alias("p"),
-        )
-    return p
-
-
 def _bucket(c: Column) -> Column:
     return (F.crc32(c.cast("binary")) % BUCKETS).cast("int")
 
 
-def _log_ratios(grams: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Bucketed log(p_toxic / p_plain): of seen n-grams, and of contexts for unseen n-grams."""
-    w = Window.partitionBy("ctx")
-    g = grams.select("gram", "toxic", "plain", F.left("gram", F.lit(ORDER - 1)).alias("ctx"))
-    for c in ("toxic", "plain"):
-        g = g.withColumn(f"n_{c}", F.sum(c).over(w)).withColumn(
-            f"t_{c}", F.sum(F.when(F.col(c) > 0, 1).otherwise(0)).over(w)
-        )
-    g = g.withColumn("low", F.right("gram", F.lit(ORDER - 1)))
-    shared = _shared_backoff(grams).select(F.col("g").alias("low"), F.col("p").alias("p_low"))
+def _rest(c: str) -> Column:
+    """The mass that a class's context leaves to the order below."""
+    n = F.col(f"n_{c}")
+    return F.when(n > 0, DISCOUNT * F.col(f"t_{c}") / n).otherwise(F.lit(1.0))
+
+
+def _below(level: DataFrame, n: int, classes: list[str]) -> DataFrame:
+    """Continuation counts: of how many kinds of n-grams is each (n-1)-gram the end, per class."""
+    kinds = [F.sum((F.col(c) > 0).cast("double")).alias(c) for c in classes]
+    return level.groupBy("v", F.right("g", F.lit(n - 1)).alias("g")).agg(*kinds).checkpoint()
+
+
+def _contexts(level: DataFrame, n: int, classes: list[str]) -> DataFrame:
+    """Per context of n-1 characters and class: the counts that follow it, and of how many kinds."""
+    sums = [F.sum(c).alias(f"n_{c}") for c in classes]
+    kinds = [F.sum((F.col(c) > 0).cast("double")).alias(f"t_{c}") for c in classes]
+    return level.groupBy("v", F.left("g", F.lit(n - 1)).alias("ctx")).agg(*sums, *kinds).checkpoint()
+
+
+def _smoothed(level: DataFrame, contexts: DataFrame, n: int, lower: DataFrame, classes: list[str]) -> DataFrame:
+    """(v, g, p of each class, its count): discounted counts plus the context's rest times the order below.
 
-    def rest(c: str) -> Column:  # the mass left to the shared back-off
-        n = F.col(f"n_{c}")
-        return F.when(n > 0, DISCOUNT * F.col(f"t_{c}") / n).otherwise(F.lit(1.0))
+    Every level is checkpointed: the tables are small beside the text, and plans stay short."""
+    level = level.withColumn("ctx", F.left("g", F.lit(n - 1))).withColumn("low", F.right("g", F.lit(n - 1)))
+    lower = lower.select("v", F.col("g").alias("low"), *(F.col(f"p_{c}").alias(f"low_{c}") for c in classes))
 
-    def prob(c: str) -> Column:
-        n = F.col(f"n_{c}")
-        own = F.when(n > 0, F.greatest(F.col(c) - DISCOUNT, F.lit(0.0)) / n).otherwise(F.lit(0.0))
-        return own + rest(c) * F.col("p_low")
+    def p(c: str) -> Column:
+        seen = F.col(f"n_{c}")
+        own = F.when(seen > 0, F.greatest(F.col(c) - DISCOUNT, F.lit(0.0)) / seen).otherwise(F.lit(0.0))
+        return (own + _rest(c) * F.col(f"low_{c}")).alias(f"p_{c}")
 
+    joined = level.join(contexts, ["v", "ctx"]).join(lower, ["v", "low"])
+    return joined.select("v", "g", *map(p, classes), *classes).checkpoint()
+
+
+def _log_ratios(grams: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(v, bucket, r) with log(p_toxic / p_plain): of seen n-grams, and of contexts for unseen ones.
+
+    ``grams`` has rows (v, g, toxic, plain); every v is a corpus of its own."""
+    classes = ["toxic", "plain"]
+    levels = {ORDER: grams}
+    for n in range(ORDER, SHARED + 1, -1):
+        levels[n - 1] = _below(levels[n], n, classes)
+    # Shared orders: kinds of longer n-grams of either class.
+    shared = {SHARED + 1: levels[SHARED + 1].select("v", "g", F.lit(1.0).alias("both"))}
+    for n in range(SHARED + 1, 1, -1):
+        shared[n - 1] = _below(shared[n], n, ["both"])
+    total = _contexts(shared[1], 1, ["both"]).drop("ctx")
+    share = (F.col("both") + 1) / (F.col("n_both") + F.col("t_both") + 1)
+    p = shared[1].join(total, "v").select("v", "g", share.alias("p_both"))
+    for n in range(2, SHARED + 1):
+        p = _smoothed(shared[n], _contexts(shared[n], n, ["both"]), n, p, ["both"])
+    p = p.select("v", "g", F.col("p_both").alias("p_toxic"), F.col("p_both").alias("p_plain"))
+    ratios, rests = [], []
     mass = F.col("toxic") + F.col("plain")
-    ratios = g.join(shared, "low").select(
-        _bucket(F.col("gram")).alias("bucket"), F.log(prob("toxic") / prob("plain")).alias("r"), mass.alias("m")
-    )
-    contexts = g.groupBy("ctx").agg(
-        F.first(F.log(rest("toxic") / rest("plain"))).alias("r"), F.sum(mass).alias("m")
-    ).select(_bucket(F.col("ctx")).alias("bucket"), "r", "m")
-    fold = lambda df: df.groupBy("bucket").agg(
-        (F.sum(F.col("r") * F.col("m")) / F.sum("m")).cast("float").alias("r")
-    )
-    return fold(ratios), fold(contexts)
+    for n in range(SHARED + 1, ORDER + 1):
+        contexts = _contexts(levels[n], n, classes)
+        p = _smoothed(levels[n], contexts, n, p, classes)
+        ratios.append(p.select("v", "g", F.log(F.col("p_toxic") / F.col("p_plain")).alias("r"), mass.alias("m")))
+        rest = F.log(_rest("toxic") / _rest("plain"))
+        rests.append(contexts.select("v", "ctx", rest.alias("r"), (F.col("n_toxic") + F.col("n_plain")).alias("m")))
+
+    def fold(parts: list[DataFrame]) -> DataFrame:
+        rows = reduce(DataFrame.unionAll, parts).toDF("v", "g", "r", "m")
+        mean = F.sum(F.col("r") * F.col("m")) / F.sum("m")
+        return rows.groupBy("v", _bucket(F.col("g")).alias("bucket")).agg(mean.cast("float").alias("r"))
+
+    return fold(ratios), fold(rests)
 
 
 def _as_array(df: DataFrame, empty: float) -> np.ndarray:
@@ -159,7 +171,7 @@ def _as_array(df: DataFrame, empty: float) -> np.ndarray:
 
 
 class _Scorer:
-    """Evidence of a text: (whole, stretch) length-normalised log-ratios per character."""
+    """Evidence of a text: (whole, telling) length-normalised log-ratios."""
 
     def __init__(self, model: Model):
         self.model, self.memo = model, {}
@@ -169,10 +181,14 @@ class _Scorer:
         if hit is None:
             grams, contexts, total = self.model.grams, self.model.contexts, 0.0
             for g in _grams(w):
-                r = grams[zlib.crc32(g.encode()) % BUCKETS]
-                if r != r:  # unseen: both classes back off to the same distribution
-                    r = contexts[zlib.crc32(g[:-1].encode()) % BUCKETS]
-                total += float(r)
+                while len(g) > SHARED:
+                    r = grams[zlib.crc32(g.encode()) % BUCKETS]
+                    if r == r:
+                        total += float(r)
+                        break
+                    # Unseen: back off, in the end to what both classes share.
+                    total += float(contexts[zlib.crc32(g[:-1].encode()) % BUCKETS])
+                    g = g[1:]
             hit = (total, len(w) + 1)
             if len(self.memo) >= MEMO:
                 self.memo.clear()
@@ -185,15 +201,15 @@ class _Scorer:
             return 0.0, 0.0
         ratio, chars = np.array(pairs).T
         whole = ratio.sum() / chars.sum()
-        k = min(STRETCH, len(pairs))
-        r, c = np.cumsum(np.r_[0.0, ratio]), np.cumsum(np.r_[0.0, chars])
-        return float(whole), float(((r[k:] - r[:-k]) / (c[k:] - c[:-k])).max())
+        k = min(TELLING, len(pairs))
+        telling = np.minimum(np.partition(ratio, len(ratio) - k)[-k:], MOST).sum() / TELLING
+        return float(whole), float(telling)
 
 
-def _evidence(rows: DataFrame, model: Model, keep: list[str]) -> DataFrame:
-    """(``keep`` columns, whole, stretch) for rows that also have ``text``."""
+def _evidence(rows: DataFrame, model: Model, keep: list[str], text_col: str = "text") -> DataFrame:
+    """(``keep`` columns, whole, telling) for every row."""
     shared = rows.sparkSession.sparkContext.broadcast(model)  # fixed size: see the module's head
-    names = [*keep, "whole", "stretch"]
+    names = [*keep, "whole", "telling"]
     kinds = {f.name: f.dataType.simpleString() for f in rows.schema.fields}
 
     def run(batches):
@@ -203,8 +219,8 @@ def _evidence(rows: DataFrame, model: Model, keep: list[str]) -> DataFrame:
             extra = [pa.array([g[i] for g in got], pa.float64()) for i in (0, 1)]
             yield pa.RecordBatch.from_arrays([*(batch.column(k) for k in keep), *extra], names=names)
 
-    schema = ", ".join([*(f"{k} {kinds[k]}" for k in keep), "whole double", "stretch double"])
-    return rows.select(*keep, F.col("text").cast("string").alias("_text")).mapInArrow(run, schema)
+    schema = ", ".join([*(f"{k} {kinds[k]}" for k in keep), "whole double", "telling double"])
+    return rows.select(*keep, F.col(text_col).cast("string").alias("_text")).mapInArrow(run, schema)
 
 
 def _logistic(x: np.ndarray, y: np.ndarray) -> np.ndarray:
@@ -239,20 +255,35 @@ def train(documents: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS) ->
         share = 0.0 if not by_class.get(1) else 1.0
         bias = math.log((share + 1e-9) / (1 - share + 1e-9))
         return Model(np.zeros(BUCKETS, np.float32), np.zeros(BUCKETS, np.float32), np.array([bias, 0.0, 0.0]))
+    half = F.pmod(F.xxhash64(F.lit("half"), "doc_id"), F.lit(2)).cast("int")
     grams = (
-        docs.join(marks, "doc_id").select("text", "toxic")
-        .mapInArrow(_count_grams, "gram string, toxic long, plain long")
-        .groupBy("gram").agg(F.sum("toxic").alias("toxic"), F.sum("plain").alias("plain"))
+        docs.join(marks.hint("shuffle_hash"), "doc_id").select("text", "toxic", half.alias("half"))
+        .mapInArrow(_count_grams, "gram string, " + ", ".join(f"{c} long" for c in COUNTS))
+        .groupBy("gram").agg(*(F.sum(c).alias(c) for c in COUNTS))
+    )
+    # Corpus 0: all labelled texts. Corpora 1 and 2: the halves, for the curve.
+    corpora = F.array(
+        *(
+            F.struct(F.lit(v).alias("v"), F.expr(t).cast("double").alias("toxic"), F.expr(n).cast("double").alias("plain"))
+            for v, t, n in [(0, "toxic0 + toxic1", "plain0 + plain1"), (1, "toxic0", "plain0"), (2, "toxic1", "plain1")]
+        )
     )
-    grams = grams.checkpoint()  # small beside the text, and read by every statistic below
-    seen, unseen = _log_ratios(grams)
-    model = Model(_as_array(seen, np.nan), _as_array(unseen, 0.0), np.zeros(3))
-    # At most fit_rows ids by a fixed shuffle of the ids: bounded, so broadcast.
+    grams = grams.select(F.col("gram").alias("g"), F.inline(corpora)).select("v", "g", "toxic", "plain")
+    seen, unseen = (t.checkpoint() for t in _log_ratios(grams.where("toxic + plain > 0").checkpoint()))
+
+    def model_of(v: int) -> Model:
+        return Model(_as_array(seen.where(F.col("v") == v), np.nan), _as_array(unseen.where(F.col("v") == v), 0.0), np.zeros(3))
+
+    # At most fit_rows ids by a fixed shuffle of the ids: bounded, so broadcast. Each half of them is judged by
+    # the counts of the other, so the curve sees evidence as new texts give it.
     some = marks.orderBy(F.xxhash64(F.lit("fit"), "doc_id"), "doc_id").limit(fit_rows)
-    fit = _evidence(docs.join(F.broadcast(some), "doc_id"), model, ["doc_id", "toxic"])
-    fit = fit.orderBy("doc_id", "whole", "stretch").toPandas()
-    if len(fit) and 0 < fit["toxic"].sum() < len(fit):
-        model.weights = _logistic(fit[["whole", "stretch"]].to_numpy(), fit["toxic"].to_numpy(float))
+    rows = docs.join(F.broadcast(some), "doc_id")
+    fit = pd.concat(
+        [_evidence(rows.where(half == h), model_of(2 - h), ["doc_id", "toxic"]).toPandas() for h in (0, 1)]
+    ).sort_values(["doc_id", "whole", "telling"])
+    model = model_of(0)
+    if 0 < fit["toxic"].sum() < len(fit):
+        model.weights = _logistic(fit[["whole", "telling"]].to_numpy(), fit["toxic"].to_numpy(float))
     return model
 
 
@@ -266,14 +297,14 @@ def score(documents: DataFrame, model: Model) -> DataFrame:
 
 
 def probability(model: Model) -> Column:
-    b, whole, stretch = (float(w) for w in model.weights)
-    z = F.lit(b) + whole * F.col("whole") + stretch * F.col("stretch")
+    b, whole, telling = (float(w) for w in model.weights)
+    z = F.lit(b) + whole * F.col("whole") + telling * F.col("telling")
     return 1 / (1 + F.exp(-F.least(F.greatest(z, F.lit(-30.0)), F.lit(30.0))))
 
 
 def drop_toxic(documents: DataFrame, labels: DataFrame) -> DataFrame:
     """The rows of ``documents`` (all their columns) that the model does not call toxic."""
     model = train(documents, labels)
-    cols = documents.columns
-    out = _evidence(documents, model, cols)
-    return out.where(probability(model) < THRESHOLD).select(*cols)
+    cols, rows = documents.columns, numbered(documents)
+    out = _evidence(rows, model, rows.columns, f"c{cols.index('text')}")
+    return out.where(probability(model) < THRESHOLD).select(*rows.columns).toDF(*cols)
