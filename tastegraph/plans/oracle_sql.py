@@ -7,6 +7,8 @@ Table adapters are written once as CTE fragments and composed per query.
 
 from __future__ import annotations
 
+from tastegraph.operators.factors import DEFAULT_SEED as SPLIT_SEED
+
 # --- adapters (same mapping as tastegraph.sources.tables) --------------------
 RATINGS = """
 ratings AS (
@@ -355,3 +357,16 @@ CONTENT_SIMILAR_DOCUMENTS = "WITH " + content_exact(
     "docs AS (SELECT CAST(doc_id AS INTEGER) AS productId, text AS tags FROM documents)"
 ) + """
 SELECT productId, rank, otherId, score FROM content"""
+
+TRAIN_TEST_SPLIT = with_(RATINGS) + f"""
+SELECT userId, productId, score, "timestamp" FROM ratings
+WHERE left(md5(concat_ws('|', '{SPLIT_SEED}', userId, productId, "timestamp")), 4) >= '{int(0.8 * 65536):04x}'"""
+
+LOOKUP_ITEMCF = f"""
+SELECT * FROM ({ITEMCF_TOP10})
+WHERE rank <= 5 AND productId IN (SELECT p_partkey FROM part WHERE p_size = 1)"""
+
+LOAD_RATINGS_QUARANTINE = with_(RATINGS) + """
+SELECT userId, productId, score, "timestamp", CAST(NULL AS VARCHAR) AS line FROM ratings
+UNION ALL
+SELECT NULL, NULL, NULL, NULL, concat_ws(',', userId, '', score, "timestamp") FROM ratings WHERE userId % 50 = 0"""

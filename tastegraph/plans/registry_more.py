@@ -278,15 +278,15 @@ def q_load_ratings_text(spark, sf_dir):
     return rates
 
 
-LAYOUT_BUCKETS = 8
 
 
 @register("layout_bucketed_lookup", Q.LAYOUT_BUCKETED_LOOKUP)
 def q_layout_bucketed_lookup(spark, sf_dir):
     base = scratch_path(spark, "bucketed")
-    rt = sinks.write_bucketed(tables.ratings(spark, sf_dir), f"{base}/ratings", "userId", LAYOUT_BUCKETS)
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    rt = sinks.write_bucketed(tables.ratings(spark, sf_dir), f"{base}/ratings", "userId", buckets)
     ut = sinks.write_bucketed(
-        tables.users(spark, sf_dir).select("userId", "username"), f"{base}/users", "userId", LAYOUT_BUCKETS
+        tables.users(spark, sf_dir).select("userId", "username"), f"{base}/users", "userId", buckets
     )
     # Both sides bucketed by userId with equal bucket counts: the join and the
     # aggregation reuse the bucketing, no exchange.
@@ -368,3 +368,42 @@ def q_embedding_similar(spark, sf_dir):
     edges = similarity.dense_cosine_topk(emb, factors.ALS_SIM_LIST_SIZE, factors.ALS_SIM_THRESHOLD, block_rows=128)
     ranked = topk.rank_per_key(edges, "productId", "sim", "otherId", factors.ALS_SIM_LIST_SIZE)
     return ranked.select("productId", "rank", "otherId", S.round6("sim").alias("score"))
+
+
+# --- mended or completed after the first round -----------------------------------------
+LOOKUP_N = 5
+
+
+@register("train_test_split", Q.TRAIN_TEST_SPLIT)
+def q_train_test_split(spark, sf_dir):
+    """M9: the test rows of the seeded split."""
+    return tuning.split(tables.ratings(spark, sf_dir))[1]
+
+
+@register("lookup_itemcf", Q.LOOKUP_ITEMCF)
+def q_lookup_itemcf(spark, sf_dir):
+    """The first n entries of stored lists, for the products of one size."""
+    path = scratch_path(spark, "itemcf-lists")
+    sinks.write_overwrite(itemcf.itemcf_top(tables.ratings(spark, sf_dir), k=10), path)
+    keys = tables.read_table(spark, sf_dir, "part").where("p_size = 1").select(F.col("p_partkey").cast("int").alias("productId"))
+    return serving.lookup(spark.read.parquet(path), keys, "productId", LOOKUP_N)
+
+
+def _with_bad_rows(spark, sf_dir, path):
+    """The ratings as text, every 50th user's rows also with a field lost."""
+    r = tables.ratings(spark, sf_dir)
+    line = F.concat_ws(",", *(F.col(c).cast("string") for c in ("userId", "productId", "score", "timestamp")))
+    bad = r.where("userId % 50 = 0").select(F.concat_ws(",", "userId", F.lit(""), "score", "timestamp").alias("value"))
+    r.select(line.alias("value")).unionAll(bad).write.text(path)
+
+
+@register("load_ratings_quarantine", Q.LOAD_RATINGS_QUARANTINE)
+def q_load_ratings_quarantine(spark, sf_dir):
+    """S2 in quarantine mode: good rows, and the bad lines with their text."""
+    path = scratch_path(spark, "bad-ratings")
+    _with_bad_rows(spark, sf_dir, path)
+    good, bad = text.read_ratings_text(spark, path, mode="quarantine")
+    none = F.lit(None).cast("string").alias("line")
+    return good.select("*", none).unionAll(
+        bad.select(*(F.lit(None).cast(f.dataType).alias(f.name) for f in good.schema.fields), F.col("value").alias("line"))
+    )
