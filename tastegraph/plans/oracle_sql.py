@@ -123,11 +123,12 @@ FROM (SELECT DISTINCT productId FROM ratings) r LEFT JOIN itemcf t ON t.productI
 
 
 # --- content-based (exact vocabulary TF-IDF) -----------------------------------
-def content_exact(doc_cte: str, threshold: float = 0.4) -> str:
+def content_exact(doc_cte: str, threshold: float = 0.4, term: str = "word") -> str:
     """Ranked neighbours over a CTE ``docs(productId, tags)``."""
     return doc_cte + f""",
-toks AS (SELECT productId, unnest(string_split_regex(lower(replace(tags, '|', ' ')), '\\s+')) AS term FROM docs),
-tf AS (SELECT productId, term, count(*) AS tf FROM toks WHERE term <> '' GROUP BY productId, term),
+toks AS (SELECT productId, unnest(string_split_regex(lower(replace(tags, '|', ' ')), '\\s+')) AS word FROM docs),
+terms AS (SELECT productId, {term} AS term FROM toks WHERE word <> ''),
+tf AS (SELECT productId, term, count(*) AS tf FROM terms GROUP BY productId, term),
 m AS (SELECT count(*) AS m FROM docs),
 dfreq AS (SELECT term, count(*) AS df FROM tf GROUP BY term),
 w AS (SELECT tf.productId, tf.term, tf.tf * ln((m.m + 1.0) / (dfreq.df + 1.0)) AS w
@@ -151,6 +152,13 @@ CONTENT_SIMILAR_EXACT = "WITH " + content_exact(
 SELECT productId, rank, otherId, score FROM content"""
 
 
+CONTENT_SIMILAR_HASHED = "WITH " + content_exact(
+    PRODUCTS + ", docs AS (SELECT productId, tags FROM products)",
+    term="CAST('0x' || left(md5(word), 8) AS BIGINT) % 800",
+) + """
+SELECT productId, rank, otherId, score FROM content"""
+
+
 # --- evaluation ---------------------------------------------------------------
 RMSE_OF_MEAN_PREDICTOR = with_(RATINGS, AVERAGES) + """,
 pred AS (SELECT DISTINCT r.userId, r.productId, a.avg AS prediction

@@ -48,7 +48,7 @@ def q_content_similar_documents(spark, sf_dir):
     return content.content_similar(docs, variant="exact")
 
 
-@register("content_similar_hashed")
+@register("content_similar_hashed", Q.CONTENT_SIMILAR_HASHED)
 def q_content_similar_hashed(spark, sf_dir):
     return content.content_similar(tables.products(spark, sf_dir), variant="hashed")
 
