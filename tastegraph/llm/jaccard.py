@@ -9,7 +9,7 @@ every bucket of two or more representatives is then verified on the full shingle
 Buckets are never expanded into pair rows. A bucket's members meet in one task (large
 buckets: in blocks of at most ``BLOCK`` members, every two blocks in one task), which counts
 the shingles that pairs share by matrix products over the shingles that occur twice there, and returns
-one row per member: how many links it has and the smallest member it is linked to within the task.
+one row per member: how many links it has and the smallest member it is connected to within the task.
 Buckets with the same members are verified once, and a pair only in the first bucket that
 holds both, so links are counted exactly. Classes are connected components of links,
 found with joins and pre-aggregated minima, cut by checkpoints.
@@ -33,7 +33,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tastegraph.llm.text import numbered, take_columns
+from tastegraph.llm.text import numbered, short_batches, take_columns
 
 SHINGLE = 5
 THRESHOLD = (4, 5)  # 0.8 as a fraction, compared in whole numbers
@@ -155,6 +155,16 @@ def linked(sets: list[np.ndarray]) -> np.ndarray:
     return out
 
 
+def local_roots(link: np.ndarray, reps: np.ndarray) -> np.ndarray:
+    """Smallest member of each member's connected component under ``link`` (symmetric)."""
+    root = reps
+    while True:
+        low = np.minimum(root, np.where(link, root[None, :], np.iinfo(np.int64).max).min(1))
+        if (low == root).all():
+            return root
+        root = low
+
+
 def _verify(pdf: pd.DataFrame) -> pd.DataFrame:
     """(rep, links, root) of the members of the buckets in one group of rows (key, rep, keys, grams, side).
 
@@ -182,8 +192,7 @@ def _verify(pdf: pd.DataFrame) -> pd.DataFrame:
         links = link.sum(1)
         some = links > 0
         if some.any():
-            low = np.where(link, reps[None, :], np.iinfo(np.int64).max).min(1)
-            found.append(pd.DataFrame({"rep": reps[some], "links": links[some], "root": np.minimum(low, reps)[some]}))
+            found.append(pd.DataFrame({"rep": reps[some], "links": links[some], "root": local_roots(link, reps)[some]}))
     return pd.concat(found) if found else pd.DataFrame({"rep": [], "links": [], "root": []}, dtype="int64")
 
 
@@ -215,7 +224,7 @@ def components(edges: DataFrame) -> DataFrame:
 def near_duplicates(documents: DataFrame, target_recall: float = TARGET_RECALL) -> DataFrame:
     """(doc_id, class_id, n_links, n_copies) for every document."""
     bands = bands_for(target_recall)
-    docs = take_columns(documents, {"doc_id": "bigint", "text": "string"})
+    docs = take_columns(short_batches(documents), {"doc_id": "bigint", "text": "string"})
     known = docs.where(F.col("doc_id").isNotNull())
     marked = known.mapInArrow(_signatures(bands), "doc_id long, digest binary, bands array<long>")
     marked = marked.groupBy("doc_id").agg(F.min(F.struct("digest", "bands")).alias("s"))

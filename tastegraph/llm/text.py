@@ -51,3 +51,13 @@ def held_out(doc_id: Column) -> Column:
 def numbered(df: DataFrame) -> DataFrame:
     """``df`` with columns c0, c1, ... in place of their names, which then clash with nothing."""
     return df.toDF(*[f"c{i}" for i in range(len(df.columns))])
+
+
+def short_batches(df: DataFrame, rows: int = 1000) -> DataFrame:
+    """``df``, with the session's Arrow batches held to ``rows`` rows: texts are long, and
+    JVM and Python each hold a batch a task."""
+    conf, key = df.sparkSession.conf, "spark.sql.execution.arrow.maxRecordsPerBatch"
+    now = int(conf.get(key))
+    if now <= 0 or now > rows:
+        conf.set(key, str(rows))
+    return df

@@ -200,3 +200,24 @@ def test_line_report_on_documents(spark):
     got = linededup.line_report(spark.read.parquet(SMALL)).collect()
     assert {r.doc_id: r.kept_sha256 for r in got} == want
     assert all(0 <= r.n_removed <= r.n_lines for r in got)
+
+
+def test_local_roots_follow_every_link():
+    reps = np.array([5, 50, 7, 9, 3157, 25258, 60])
+    link = np.zeros((7, 7), bool)
+    for a, b in [(0, 5), (5, 4), (2, 1), (1, 3)]:  # 3157 is linked to 25258 alone, which is linked to 5
+        link[a, b] = link[b, a] = True
+    assert jaccard.local_roots(link, reps).tolist() == [5, 7, 7, 7, 5, 5, 60]
+
+
+def test_classes_join_through_a_larger_id(spark):
+    """b is near both a and c, which are not near each other; c has no link to a smaller id."""
+    base = [f"t{i}" for i in range(200)]
+    a, b, c = base[:], base[:], base[:]
+    b[20] = b[60] = b[100] = "x"
+    c[20] = c[60] = c[100] = "x"
+    c[140] = c[160] = c[180] = "y"
+    rows = [(1, " ".join(a)), (90, " ".join(b)), (40, " ".join(c))] + [(200 + i, " ".join(base[:150] + [f"u{i}"])) for i in range(3)]
+    got = {r.doc_id: (r.class_id, r.n_links, r.n_copies) for r in near_found(spark, rows).collect()}
+    want = near_truth(rows)
+    assert got == want and want[40][0] == want[90][0] == 1 and want[40][1] < len(rows) - 1
