@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tastegraph.llm.text import held_out, numbered, take_columns
+from tastegraph.llm.text import held_out, numbered, short_batches, take_columns
 
 ORDER = 5
 SHARED = 2  # orders up to this one are pooled over both classes
@@ -170,39 +170,39 @@ def _as_array(df: DataFrame, empty: float) -> np.ndarray:
     return out
 
 
-class _Scorer:
-    """Evidence of a text: (whole, telling) length-normalised log-ratios."""
+class _Scorer(dict):
+    """Log-ratio of each word seen so far; ``evidence`` of a text from them."""
 
     def __init__(self, model: Model):
-        self.model, self.memo = model, {}
-
-    def word(self, w: str) -> tuple[float, int]:
-        hit = self.memo.get(w)
-        if hit is None:
-            grams, contexts, total = self.model.grams, self.model.contexts, 0.0
-            for g in _grams(w):
-                while len(g) > SHARED:
-                    r = grams[zlib.crc32(g.encode()) % BUCKETS]
-                    if r == r:
-                        total += float(r)
-                        break
-                    # Unseen: back off, in the end to what both classes share.
-                    total += float(contexts[zlib.crc32(g[:-1].encode()) % BUCKETS])
-                    g = g[1:]
-            hit = (total, len(w) + 1)
-            if len(self.memo) >= MEMO:
-                self.memo.clear()
-            self.memo[w] = hit
-        return hit
+        super().__init__()
+        self.model = model
+
+    def __missing__(self, w: str) -> float:
+        grams, contexts, total = self.model.grams, self.model.contexts, 0.0
+        for g in _grams(w):
+            while len(g) > SHARED:
+                r = grams[zlib.crc32(g.encode()) % BUCKETS]
+                if r == r:
+                    total += float(r)
+                    break
+                # Unseen: back off, in the end to what both classes share.
+                total += float(contexts[zlib.crc32(g[:-1].encode()) % BUCKETS])
+                g = g[1:]
+        if len(self) >= MEMO:
+            self.clear()
+        self[w] = total
+        return total
 
     def evidence(self, text: str | None) -> tuple[float, float]:
-        pairs = [self.word(w) for w in (text or "").lower().split()]
-        if not pairs:
+        """(whole, telling): length-normalised log-ratios."""
+        words = (text or "").lower().split()
+        n = len(words)
+        if not n:
             return 0.0, 0.0
-        ratio, chars = np.array(pairs).T
-        whole = ratio.sum() / chars.sum()
-        k = min(TELLING, len(pairs))
-        telling = np.minimum(np.partition(ratio, len(ratio) - k)[-k:], MOST).sum() / TELLING
+        ratio = np.fromiter(map(self.__getitem__, words), np.float64, n)
+        whole = ratio.sum() / (sum(map(len, words)) + n)
+        k = min(TELLING, n)
+        telling = np.minimum(np.partition(ratio, n - k)[-k:], MOST).sum() / TELLING
         return float(whole), float(telling)
 
 
@@ -220,26 +220,37 @@ def _evidence(rows: DataFrame, model: Model, keep: list[str], text_col: str = "t
             yield pa.RecordBatch.from_arrays([*(batch.column(k) for k in keep), *extra], names=names)
 
     schema = ", ".join([*(f"{k} {kinds[k]}" for k in keep), "whole double", "telling double"])
-    return rows.select(*keep, F.col(text_col).cast("string").alias("_text")).mapInArrow(run, schema)
-
-
-def _logistic(x: np.ndarray, y: np.ndarray) -> np.ndarray:
-    """Weights (intercept first) of a lightly damped logistic regression, by Newton steps."""
-    x = np.c_[np.ones(len(x)), x]
-    w = np.zeros(x.shape[1])
-    damp = np.diag([1e-6, 1e-3, 1e-3])
-    for _ in range(50):
-        p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
-        step = np.linalg.solve((x * (p * (1 - p))[:, None]).T @ x + damp, x.T @ (y - p) - damp @ w)
-        w += np.clip(step, -5, 5)
-        if np.abs(step).max() < 1e-6:
+    return short_batches(rows).select(*keep, F.col(text_col).cast("string").alias("_text")).mapInArrow(run, schema)
+
+
+def _logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1.0) -> np.ndarray:
+    """Weights (intercept first) of a ridge logistic regression on standardised columns, by Newton
+    steps that are halved until the loss falls, so separable classes give finite weights too."""
+    mean, scale = x.mean(0), x.std(0) + 1e-9
+    z = np.c_[np.ones(len(x)), (x - mean) / scale]
+    penalty = np.diag([0.0, *[ridge] * x.shape[1]])
+
+    def loss(w: np.ndarray) -> float:
+        return float(np.logaddexp(0, z @ w).sum() - y @ (z @ w) + w @ penalty @ w / 2)
+
+    w = np.zeros(z.shape[1])
+    for _ in range(100):
+        p = 1 / (1 + np.exp(-np.clip(z @ w, -500, 500)))
+        slope = z.T @ (p - y) + penalty @ w
+        curve = (z * (p * (1 - p))[:, None]).T @ z + penalty + 1e-9 * np.eye(len(w))
+        step, size = np.linalg.solve(curve, slope), 1.0
+        while loss(w - size * step) > loss(w) and size > 1e-6:
+            size /= 2
+        w = w - size * step
+        if np.abs(size * step).max() < 1e-8:
             break
-    return w
+    raw = w[1:] / scale
+    return np.r_[w[0] - raw @ mean, raw]
 
 
 def _labelled(documents: DataFrame, labels: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(doc_id, text) and (doc_id, toxic) of the fold that may be learned from."""
-    docs = take_columns(documents, {"doc_id": "bigint", "text": "string"})
+    docs = take_columns(short_batches(documents), {"doc_id": "bigint", "text": "string"})
     docs = docs.where(F.col("doc_id").isNotNull() & F.col("text").isNotNull() & ~held_out(F.col("doc_id")))
     marks = take_columns(labels, {"doc_id": "bigint", "toxic": "int"}).dropna()
     marks = marks.where(~held_out(F.col("doc_id")))

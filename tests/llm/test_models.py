@@ -73,5 +73,5 @@ def test_word_ratio_follows_the_counts(spark):
     df = spark.createDataFrame(rows, "doc_id long, text string")
     labels = spark.createDataFrame([(i, int(i >= 100)) for i, _ in rows] + [(100, 0), (None, 1), (5, None)], "doc_id long, toxic int")
     scorer = toxicity._Scorer(toxicity.train(df, labels))
-    assert scorer.word("vile")[0] > 3 and scorer.word("calm")[0] < -3
-    assert abs(scorer.word("good")[0]) < 1 and abs(scorer.word("zzzzz")[0]) < 1
+    assert scorer["vile"] > 3 and scorer["calm"] < -3
+    assert abs(scorer["good"]) < 1 and abs(scorer["zzzzz"]) < 1
