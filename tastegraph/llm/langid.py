@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tastegraph.llm.text import held_out, take_columns
+from tastegraph.llm.text import held_out, short_batches, take_columns
 
 BITS = 16
 LONGEST = 4
@@ -105,7 +105,7 @@ def identify(
     sample_rows: int = SAMPLE_ROWS,
 ) -> DataFrame:
     """(doc_id, held_out, lang_pred, score) for every document."""
-    docs = take_columns(documents, {"doc_id": "bigint", "text": "string"})
+    docs = take_columns(short_batches(documents), {"doc_id": "bigint", "text": "string"})
     some = training_sample(documents, per_language, sample_rows)
     taught = docs.join(F.broadcast(some), "doc_id").select("lang", "text")
     sample = taught.mapInArrow(_bits, "lang string, bits binary").toPandas()

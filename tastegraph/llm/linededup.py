@@ -27,7 +27,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tastegraph.llm.text import numbered, take_columns
+from tastegraph.llm.text import numbered, short_batches, take_columns
 
 MEAN_LINES = 4
 MIX = 0x9E3779B97F4A7C15
@@ -94,7 +94,7 @@ def _bodies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def repeated_chunks(documents: DataFrame) -> DataFrame:
     """(doc_id, nos): the chunks to remove from each document that has any, bytes compared."""
-    docs = take_columns(documents, {"doc_id": "bigint", "text": "string"}).dropna()
+    docs = take_columns(short_batches(documents), {"doc_id": "bigint", "text": "string"}).dropna()
     docs = docs.where(F.instr("text", "\n") > 0)
     places = docs.mapInArrow(_places, "digest binary, doc_id long, no int").checkpoint()
     place = F.struct("doc_id", "no")
@@ -149,7 +149,7 @@ def dedup_documents(documents: DataFrame) -> DataFrame:
 
 def line_report(documents: DataFrame) -> DataFrame:
     """(doc_id, n_lines, n_removed, kept_sha256) for every document; null text: 0 lines, null digest."""
-    docs = take_columns(documents, {"doc_id": "bigint", "text": "string"})
+    docs = take_columns(short_batches(documents), {"doc_id": "bigint", "text": "string"})
     docs = docs.withColumn("n_lines", F.coalesce(F.size(F.split("text", "\n")), F.lit(0)).cast("long"))
     out = dedup_lines(docs)
     left = F.when(F.col("text").isNull() | (F.col("text") == ""), F.lit(0)).otherwise(F.size(F.split("text", "\n")))

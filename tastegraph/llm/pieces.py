@@ -28,11 +28,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tastegraph.llm.text import short_batches
+
 MODEL_FILE = "/opt/tokenizers/piece_bpe_32k.model"
 MARKER = "▁"
 UNKNOWN_PENALTY = 10.0
 SHORT = 48  # stretches up to this many bytes are solved together
-MEMO = 400_000  # stretches whose path a task remembers
+MEMO = 150_000  # stretches after which a task starts a new generation of remembered paths
 STRETCH = re.compile(rb" *[^ ]+| +")
 
 
@@ -123,7 +125,7 @@ def _char_bytes(lead: int) -> int:
 
 class Encoder:
     def __init__(self, pieces: Pieces, trie: DoubleArray):
-        self.p, self.trie, self.memo = pieces, trie, {}
+        self.p, self.trie, self.memo, self.old = pieces, trie, {}, {}
         self.unknown = float(pieces.score[pieces.matched].min()) - UNKNOWN_PENALTY
         # Plain lists are faster than arrays for one step at a time.
         self.lists = None
@@ -219,10 +221,13 @@ class Encoder:
 
     def texts(self, texts: list[str | None]) -> list[np.ndarray | None]:
         cut = [None if t is None else STRETCH.findall(b" " + t.encode()) if t else [] for t in texts]
-        if len(self.memo) > MEMO:
-            self.memo.clear()
-        memo = self.memo
-        new = {s for c in cut if c for s in c if s not in memo}
+        if len(self.memo) > MEMO:  # what is still in use moves over from the old generation
+            self.memo, self.old = {}, self.memo
+        memo, old = self.memo, self.old
+        new = set().union(*(c for c in cut if c)).difference(memo)
+        again = new.intersection(old)
+        memo.update((s, old[s]) for s in again)
+        new -= again
         short = sorted((s for s in new if len(s) <= SHORT), key=len)
         for a in range(0, len(short), 4096):
             part = short[a : a + 4096]
@@ -243,7 +248,7 @@ def _list_array(rows: list[np.ndarray | None]) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(offsets), pa.array(values, pa.int32()), mask=mask)
 
 
-def _slices(batch: pa.RecordBatch, column: str, most: int = 8 << 20) -> Iterator[pa.RecordBatch]:
+def _slices(batch: pa.RecordBatch, column: str, most: int = 4 << 20) -> Iterator[pa.RecordBatch]:
     """Pieces of a batch of about ``most`` bytes, so that a task holds few texts as Python objects."""
     step = max(1, int(batch.num_rows * most / max(1, batch.column(column).nbytes)))
     for at in range(0, batch.num_rows, step):
@@ -266,7 +271,7 @@ def encode(
                 ids = _list_array(encoder.texts(batch.column("_text").to_pylist()))
                 yield pa.RecordBatch.from_arrays([*(batch.column(k) for k in keep), ids], names=[*keep, "ids"])
 
-    rows = documents.select(*keep, F.col(text_col).cast("string").alias("_text"))
+    rows = short_batches(documents).select(*keep, F.col(text_col).cast("string").alias("_text"))
     return rows.mapInArrow(run, ", ".join([*(f"{k} {kinds[k]}" for k in keep), "ids array<int>"]))
 
 
