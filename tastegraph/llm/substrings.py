@@ -39,7 +39,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tastegraph.llm.text import take_columns
+from tastegraph.llm.text import short_batches, take_columns
 from tastegraph.session import scratch_path
 
 WINDOW = 20
@@ -206,7 +206,7 @@ def _bucketed(df: DataFrame, key: str) -> DataFrame:
 def repeated_words(documents: DataFrame) -> DataFrame:
     """(doc_id, n_words, n_removed, kept_sha256) for every document."""
     spark = documents.sparkSession
-    docs = take_columns(documents, {"doc_id": "bigint", "text": "string"})
+    docs = take_columns(short_batches(documents), {"doc_id": "bigint", "text": "string"})
     summary = docs.mapInArrow(_summary, "doc_id long, n_words long, digest binary, sha string")
     one = summary.where("doc_id is not null").groupBy("doc_id").agg(F.min(F.struct("digest", "n_words", "sha")).alias("s"))
     one = one.select("doc_id", "s.*").checkpoint()
@@ -215,7 +215,10 @@ def repeated_words(documents: DataFrame) -> DataFrame:
     copies = long.join(first.where("n > 1"), "digest").where("doc_id > first").select("doc_id").checkpoint()
     heads = docs.where(F.col("doc_id").isNotNull()).join(copies, "doc_id", "left_anti")
 
-    seeds = heads.mapInArrow(_seeds, "seed long, doc_id long, n long")
+    # Written once: they are counted, and then joined with the counts.
+    path = scratch_path(spark, "seeds")
+    heads.mapInArrow(_seeds, "seed long, doc_id long, n long").write.parquet(path)
+    seeds = spark.read.parquet(path)
     repeated = seeds.groupBy("seed").agg(F.sum("n").alias("n")).where("n > 1").select("seed")
     hits = seeds.select("seed", "doc_id").join(repeated, "seed", "left_semi")
     hits = hits.groupBy("doc_id").agg(F.collect_set("seed").alias("seeds"))
