@@ -41,7 +41,7 @@ def q_content_similar_exact(spark, sf_dir):
 
 @register("content_similar_documents", Q.CONTENT_SIMILAR_DOCUMENTS)
 def q_content_similar_documents(spark, sf_dir):
-    """M8 over whole document texts (long vectors: the prefix-filtered path)."""
+    """M8 over whole document texts (long vectors)."""
     docs = tables.read_table(spark, sf_dir, "documents").select(
         F.col("doc_id").cast("int").alias("productId"), F.col("text").alias("tags")
     )
@@ -56,15 +56,10 @@ def q_content_similar_hashed(spark, sf_dir):
 # --- ALS ----------------------------------------------------------------------
 from tastegraph.operators import factors, tuning  # noqa: E402
 
-_MODELS: dict = {}
-
 
 def _als_model(spark, sf_dir):
-    """One fitted default model per (application, input) within a process."""
-    key = (spark.sparkContext.applicationId, sf_dir)
-    if key not in _MODELS:
-        _MODELS[key] = factors.fit_als(tables.ratings(spark, sf_dir))
-    return _MODELS[key]
+    """The default model, fitted anew from the ratings as they are."""
+    return factors.fit_als(tables.ratings(spark, sf_dir))
 
 
 @register("als_user_recs")
