@@ -34,7 +34,7 @@ MODEL_FILE = "/opt/tokenizers/piece_bpe_32k.model"
 MARKER = "▁"
 UNKNOWN_PENALTY = 10.0
 SHORT = 48  # stretches up to this many bytes are solved together
-MEMO = 150_000  # stretches after which a task starts a new generation of remembered paths
+MEMO = 300_000  # stretches after which a task starts a new generation of remembered paths
 STRETCH = re.compile(rb" *[^ ]+| +")
 
 
@@ -130,13 +130,20 @@ class Encoder:
         # Plain lists are faster than arrays for one step at a time.
         self.lists = None
 
-    def _ids(self, stretch: bytes, ends: list[tuple[int, int, int]]) -> tuple[int, ...]:
-        out: list[int] = []
-        for start, stop, piece in ends:
-            out.extend([piece] if piece >= 0 else self.p.byte_ids[list(stretch[start:stop])].tolist())
-        return tuple(out)
+    def _ids(self, stretch: bytes, back: list[int], piece: list[int]) -> list[int]:
+        """Ids along the best path, followed from its end."""
+        out, at = [], len(stretch)
+        while at > 0:
+            start = back[at]
+            if piece[at] >= 0:
+                out.append(piece[at])
+            else:
+                out.extend(self.p.byte_ids[list(stretch[start:at])].tolist()[::-1])
+            at = start
+        out.reverse()
+        return out
 
-    def one(self, s: bytes) -> tuple[int, ...]:
+    def one(self, s: bytes) -> list[int]:
         """Viterbi along one stretch; of equal scores the path found first (earlier start) stays."""
         if self.lists is None:
             t = self.trie
@@ -164,13 +171,9 @@ class Encoder:
             if not single and here + self.unknown > best[i + wide]:
                 best[i + wide], start[i + wide], piece[i + wide] = here + self.unknown, i, -1
             i += wide
-        ends, at = [], n
-        while at > 0:
-            ends.append((int(start[at]), at, int(piece[at])))
-            at = int(start[at])
-        return self._ids(s, ends[::-1])
+        return self._ids(s, start.tolist(), piece.tolist())
 
-    def many(self, stretches: list[bytes]) -> list[tuple[int, ...]]:
+    def many(self, stretches: list[bytes]) -> list[list[int]]:
         """The same for many short stretches at once."""
         t, score = self.trie, self.p.score
         n = len(stretches)
@@ -209,15 +212,7 @@ class Encoder:
             better = x > best[r, end]
             r, end = r[better], end[better]
             best[r, end], start[r, end], piece[r, end] = x[better], i, -1
-        out = []
-        starts, kinds = start.tolist(), piece.tolist()
-        for s, back, kind in zip(stretches, starts, kinds):
-            ends, at = [], len(s)
-            while at > 0:
-                ends.append((back[at], at, kind[at]))
-                at = back[at]
-            out.append(self._ids(s, ends[::-1]))
-        return out
+        return list(map(self._ids, stretches, start.tolist(), piece.tolist()))
 
     def texts(self, texts: list[str | None]) -> list[np.ndarray | None]:
         cut = [None if t is None else STRETCH.findall(b" " + t.encode()) if t else [] for t in texts]
