@@ -5,7 +5,7 @@ reads back as the next stage's ``docs``. All stages but the last return the colu
 
 1. toxicity: rows whose toxicity score reaches 0.7 go. The model learns from the labelled rows of the stage's
    input whose crc32(doc_id) mod 3 is not 1.
-2. line_dedup: repeated multi-line chunks are cut out of the texts (all but the first place); no row goes.
+2. line_dedup: repeated runs of two or more lines are cut out of the texts (all but the first place); no row goes.
 3. near_duplicates: one row of each class of texts linked by word-5-gram Jaccard >= 0.8 stays, the smallest doc_id;
    rows without words or without an id are their own class and stay.
 4. mix: rows are left out, taken, or taken twice so that sources meet their target weights;

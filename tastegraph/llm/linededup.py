@@ -1,14 +1,14 @@
-"""Operator 7: line dedup by content-defined chunks of lines.
+"""Operator 7: line dedup by two-line windows.
 
-A rolling hash over the hashes of the last two lines decides whether a chunk ends after
-a line (one line in ``MEAN_LINES`` on average), so boundaries depend on the lines themselves and
-come back after an insertion. Chunks of two or more lines are counted over the whole
-table by digest; a chunk that repeats is removed everywhere but at its first place (smallest
-doc_id, then first in the text), once its bytes have been compared with those of
-the first place. Blank lines count as lines; a chunk without a word is never removed.
+Every two adjacent lines are named by a digest, rolled from the digests of the lines, and counted over the
+whole table. A line goes if it and a neighbour repeat an earlier pair (smallest doc_id, then first in the
+text), once the bytes of both pairs have been compared. Every run of two or more adjacent lines is covered by its
+pairs, so a repeated run goes whole, wherever it starts and ends, and no anchors have to be found or extended.
+A pair that overlaps its own first place (three equal lines) is no repeat, so the first place of a run of equal lines
+stays. Blank lines count as lines; two blank lines are no pair, so blank lines between blank lines stay.
 
-Spark shuffles digests and coordinates of multi-line chunks; texts move only for documents with
-repeated chunks, and chunk texts only for the comparison. A chunk with very many
+Spark shuffles digests and coordinates of pairs; texts move only for documents with
+repeated pairs, and pair texts only for the comparison. A pair with very many
 copies is counted by partial aggregation, and its copies meet the one first place in joins that
 Spark can split.
 
@@ -22,54 +22,61 @@ from __future__ import annotations
 import hashlib
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tastegraph.llm.text import numbered, short_batches, take_columns
 
-MEAN_LINES = 4
-MIX = 0x9E3779B97F4A7C15
-
-
-def chunks(lines: list[str], mean: int = MEAN_LINES) -> list[tuple[int, int]]:
-    """(first line, line after the last) of each chunk."""
-    out, start, before = [], 0, 0
-    for i, line in enumerate(lines):
-        here = xxhash.xxh3_64_intdigest(line.encode())
-        rolling = ((before * MIX + here) * MIX) & 0xFFFFFFFFFFFFFFFF
-        before = here
-        if (rolling >> 40) % mean == 0:
-            out.append((start, i + 1))
-            start = i + 1
-    if start < len(lines):
-        out.append((start, len(lines)))
-    return out
+SLOTS = 1 << 25  # bits of the bitmap that keeps texts without repeated pairs out of a shuffle
+
+
+def chunks(lines: list[str]) -> list[tuple[int, int]]:
+    """(first line, line after the last) of each unit that goes or stays: single lines."""
+    return [(i, i + 1) for i in range(len(lines))]
+
+
+def _pairs(lines: list[str]) -> Iterator[int]:
+    """The first line of each pair of adjacent lines that may be removed."""
+    blank = [not line or line.isspace() for line in lines]
+    for i in range(len(lines) - 1):
+        if not (blank[i] and blank[i + 1]):
+            yield i
 
 
 def _multi_line(text: str) -> Iterator[tuple[int, str]]:
-    """(number, text) of the chunks that may be removed."""
-    lines = text.split("\n")
-    if len(lines) > 1:
-        for no, (a, b) in enumerate(chunks(lines)):
-            if b - a > 1:
-                body = "\n".join(lines[a:b])
-                if not body.isspace() and body:
-                    yield no, body
+    """The rule line by line: (line, claim), where a line goes if one of its claims was made at an earlier place.
+
+    Both lines of a pair make claims of their own; of a pair that overlaps its first place in the text, the third of
+    three equal lines claims what the first place claims where no third line follows."""
+    lines, first = text.split("\n"), {}
+    for i in _pairs(lines):
+        body = f"{lines[i]}\n{lines[i + 1]}"
+        at = first.setdefault(body, i)
+        if at == i - 1:
+            continue
+        yield i, f"upper\n{body}"
+        yield i + 1, f"lower\n{body}"
+        if at == i and lines[i] == lines[i + 1]:
+            yield (i + 2 if lines[i + 2 : i + 3] == [lines[i]] else i), f"third\n{body}"
 
 
-def _digest(body: str) -> bytes:
-    return hashlib.blake2b(body.encode(), digest_size=16).digest()
+def _digests(lines: list[str]) -> list[bytes]:
+    """The digest of each line and the next, rolled from the digests of both."""
+    own = [hashlib.blake2b(line.encode(), digest_size=16).digest() for line in lines]
+    return [hashlib.blake2b(a + b, digest_size=16).digest() for a, b in zip(own, own[1:])]
 
 
 def _places(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(digest, doc_id, no) of multi-line chunks."""
+    """(digest, doc_id, no) of pairs of lines."""
     for batch in batches:
         digests, ids, nos = [], [], []
         for i, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-            for no, body in _multi_line(text):
-                digests.append(_digest(body))
+            lines = text.split("\n")
+            named = _digests(lines)
+            for no in _pairs(lines):
+                digests.append(named[no])
                 ids.append(i)
                 nos.append(no)
         yield pa.RecordBatch.from_arrays(
@@ -79,12 +86,15 @@ def _places(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _bodies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(digest, doc_id, no, is_first, body) of the marked chunks of each text."""
+    """(digest, doc_id, no, is_first, body) of the marked pairs of each text."""
     for batch in batches:
         rows = []
         for i, text, marks in zip(*(batch.column(k).to_pylist() for k in range(3))):
-            bodies = dict(_multi_line(text))
-            rows += [(_digest(bodies[m["no"]]), i, m["no"], m["is_first"], bodies[m["no"]]) for m in marks if m["no"] in bodies]
+            lines = text.split("\n")
+            for m in marks:
+                pair = lines[m["no"] : m["no"] + 2]
+                if len(pair) == 2:
+                    rows.append((_digests(pair)[0], i, m["no"], m["is_first"], "\n".join(pair)))
         cols = list(zip(*rows)) if rows else [()] * 5
         kinds = [pa.binary(), pa.int64(), pa.int32(), pa.bool_(), pa.string()]
         yield pa.RecordBatch.from_arrays(
@@ -92,17 +102,39 @@ def _bodies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
+def _among(docs: DataFrame, wanted: DataFrame) -> DataFrame:
+    """The (doc_id, text) rows whose doc_id is in ``wanted``, and few others: what a bitmap of fixed size lets
+    through. The join that follows is exact; the bitmap spares it the shuffle of all other texts."""
+    slot = lambda: F.pmod(F.xxhash64("doc_id"), F.lit(SLOTS))
+    words = wanted.select(slot().alias("s")).groupBy(F.expr("s div 64").alias("at")).agg(
+        F.expr("bit_or(shiftleft(1L, cast(s % 64 as int)))").alias("bits")
+    )  # at most SLOTS / 64 rows
+    got, bitmap = words.toPandas(), np.zeros(SLOTS // 64, np.int64)
+    bitmap[got["at"].to_numpy(np.int64)] = got["bits"].to_numpy(np.int64)
+    shared = docs.sparkSession.sparkContext.broadcast(bitmap)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            s = batch.column(2).to_numpy()
+            yield batch.filter(pa.array((shared.value[s >> 6] >> (s & 63)) & 1 == 1)).select([0, 1])
+
+    return docs.withColumn("slot", slot()).mapInArrow(run, docs.schema)
+
+
 def repeated_chunks(documents: DataFrame) -> DataFrame:
-    """(doc_id, nos): the chunks to remove from each document that has any, bytes compared."""
+    """(doc_id, nos): the first lines of the pairs to remove from each document that has any, bytes compared."""
     docs = take_columns(short_batches(documents), {"doc_id": "bigint", "text": "string"}).dropna()
     docs = docs.where(F.instr("text", "\n") > 0)
-    places = docs.mapInArrow(_places, "digest binary, doc_id long, no int").checkpoint()
+    # Read twice rather than kept: a place takes more room than its share of the text is worth.
+    places = docs.mapInArrow(_places, "digest binary, doc_id long, no int")
     place = F.struct("doc_id", "no")
     firsts = places.groupBy("digest").agg(F.count(F.lit(1)).alias("n"), F.min(place).alias("first"))
     firsts = firsts.where(F.col("n") > 1).select("digest", "first")
-    marks = places.join(firsts, "digest").select("doc_id", "no", (place == F.col("first")).alias("is_first"))
+    overlaps = (F.col("doc_id") == F.col("first.doc_id")) & (F.col("no") == F.col("first.no") + 1)
+    marks = places.join(firsts, "digest").where(~overlaps).select("doc_id", "no", (place == F.col("first")).alias("is_first"))
     marks = marks.distinct().groupBy("doc_id").agg(F.collect_list(F.struct("no", "is_first")).alias("marks"))
-    bodies = docs.join(marks, "doc_id").select("doc_id", "text", "marks").mapInArrow(
+    marks = marks.checkpoint()
+    bodies = _among(docs, marks).join(marks, "doc_id").select("doc_id", "text", "marks").mapInArrow(
         _bodies, "digest binary, doc_id long, no int, is_first boolean, body string"
     )
     bodies = bodies.checkpoint()  # both sides of the comparison come from it
@@ -112,14 +144,13 @@ def repeated_chunks(documents: DataFrame) -> DataFrame:
 
 
 def without_chunks(text: str, nos: list[int]) -> str:
-    lines, gone = text.split("\n"), set(nos)
-    return "\n".join(
-        line for no, (a, b) in enumerate(chunks(lines)) if no not in gone for line in lines[a:b]
-    )
+    """``text`` without both lines of the pairs that start at ``nos``."""
+    gone = {*nos, *(no + 1 for no in nos)}
+    return "\n".join(line for no, line in enumerate(text.split("\n")) if no not in gone)
 
 
 def dedup_lines(documents: DataFrame, text_col: str = "text") -> DataFrame:
-    """``documents`` with repeated chunks of lines taken out of ``text`` (same columns and rows)."""
+    """``documents`` with repeated runs of lines taken out of ``text`` (same columns and rows)."""
     cols = documents.columns
     at, key = cols.index(text_col), f"c{cols.index('doc_id')}"
     gone = repeated_chunks(documents).select(F.col("doc_id").alias("gone_id"), "nos")

@@ -202,6 +202,38 @@ def test_line_report_on_documents(spark):
     assert all(0 <= r.n_removed <= r.n_lines for r in got)
 
 
+def run_truth(rows):
+    """Lines in runs of two or more adjacent lines that occur at an earlier place which ends before them."""
+    texts = sorted((i, t.split("\n")) for i, t in rows if i is not None and t)
+    gone = {i: set() for i, _ in texts}
+    places = {}
+    for i, lines in texts:
+        for at in range(len(lines)):
+            for end in range(at + 2, len(lines) + 1):
+                run = tuple(lines[at:end])
+                if any((j, stop) <= (i, at) for j, stop in places.get(run, [])):
+                    gone[i].update(k for k in range(at, end) if any(x.strip() for x in lines[max(at, k - 1) : min(end, k + 2)]))
+                places.setdefault(run, []).append((i, end))
+    return {i: "\n".join(x for k, x in enumerate(lines) if k not in gone[i]) for i, lines in texts}
+
+
+def test_line_runs_go_whole_wherever_they_start(spark):
+    rng = random.Random(4)
+    passage = [f"passage {i}" for i in range(12)]
+    rows = []
+    for i in range(60):
+        own = [f"own {i} {k}" for k in range(rng.randrange(1, 5))]
+        a = rng.randrange(11)
+        at = rng.randrange(len(own) + 1)
+        rows.append((i, "\n".join(own[:at] + passage[a : a + rng.randrange(1, 5)] + own[at:])))
+    rows += [(100, "x\nx\nx"), (101, "y\nx\nx\nx\nx\nz"), (102, "q\nq\nq\nq\nq"), (103, "one\n\ntwo"), (104, "one\n\nthree")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.doc_id: r.text for r in linededup.dedup_lines(df).collect()}
+    assert got == run_truth(rows)
+    assert got[100] == "x\nx\nx" and got[101] == "y\nz" and got[102] == "q\nq" and got[104] == "three"
+    assert sum(t.count("passage") for t in got.values()) < 40
+
+
 def test_local_roots_follow_every_link():
     reps = np.array([5, 50, 7, 9, 3157, 25258, 60])
     link = np.zeros((7, 7), bool)
