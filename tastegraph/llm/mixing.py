@@ -8,11 +8,12 @@ then turned into documents: all of them as often as the flow goes round whole, a
 share of them once more.
 
 The seeded share is taken in the order of a 60-bit hash of the id. The hash value up to which documents are
-taken is found level by level, 16 ways at a time, from sums that Spark pre-aggregates; the last
-few hundred documents around it are filled first-fit, so the words taken come within a few of the quota. No
-group is ever gathered or sorted whole, however large.
+taken is found level by level, 16 ways at a time, from sums that Spark pre-aggregates, each pattern for as many levels
+as its own size asks for; its last few hundred documents around it (all of them, if it has no more) are filled first-fit,
+so the words taken come within a few of the quota. No group is ever gathered or sorted whole, however large.
 
-What the driver holds is one row per membership pattern (for single sources: per source).
+What the driver holds is one row per membership pattern (for single sources: per source). These rows, with at most FILL
+picks each, are broadcast, so that texts are never dealt by pattern.
 
 Defined results: null and wordless texts have size 0 and are taken 0 times; null source is a source of its own
 (last in order); rows with the same id and size are taken or left together; an empty table gives no
@@ -139,41 +140,47 @@ def selection(rows: DataFrame, plan: list[tuple[int, int, int]]) -> DataFrame:
     A document is taken ``base`` times, and once more if h < cut or h is among the picks.
     """
     spark = rows.sparkSession
-    state = {pid: [base, 0, rest] for pid, base, rest in plan}  # base, cut, rest
+    state = {pid: [base, 0, rest, 1 << HASH_BITS] for pid, base, rest in plan}  # base, cut, rest, span
     deciding = {pid for pid, _, rest in plan if rest > 0}
+    narrowing = set(deciding)
     width = HASH_BITS
-    schema = "pattern_id long, base long, cut long, rest long, deciding boolean"
+    schema = "pattern_id long, base long, cut long, rest long, span long, deciding boolean, narrowing boolean"
 
     def as_table() -> DataFrame:
-        return spark.createDataFrame([(p, *state[p], p in deciding) for p in state], schema)
+        return spark.createDataFrame([(p, *state[p], p in deciding, p in narrowing) for p in state], schema)
 
-    def undecided(width: int) -> DataFrame:
-        near = rows.join(as_table().where("deciding"), "pattern_id")
-        return near.where((F.col("h") >= F.col("cut")) & (F.col("h") - F.col("cut") < (1 << width)))
+    def undecided(which: str) -> DataFrame:
+        near = rows.join(F.broadcast(as_table().where(which)), "pattern_id")
+        return near.where((F.col("h") >= F.col("cut")) & (F.col("h") - F.col("cut") < F.col("span")))
 
-    while deciding and width > 0:
-        live = undecided(width)
-        biggest = live.groupBy("pattern_id").agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).first()[0] or 0
-        if biggest <= FILL:
-            break
+    while narrowing and width > 0:
         width -= LEVEL_BITS
         digit = F.shiftright(F.col("h") - F.col("cut"), width).alias("digit")
-        sums = live.groupBy("pattern_id", digit).agg(F.sum("size").alias("words")).collect()  # 16 a pattern
-        by = defaultdict(list)
-        for p, d, words in sums:
-            by[p].append((d, words))
-        for p in list(deciding):
-            cut, rest = state[p][1], state[p][2]
-            for d, words in sorted(by[p]):
-                if words > rest:
-                    state[p][1:] = [cut + (d << width), rest]
-                    break
-                rest -= words
-            else:  # everything here fits
-                state[p][1:] = [cut + (1 << (width + LEVEL_BITS)), 0]
-                deciding.discard(p)
+        sums = undecided("narrowing").groupBy("pattern_id", digit)
+        by: dict = defaultdict(lambda: ([0] * 16, [0] * 16))  # words and documents of each digit
+        for p, d, words, n in sums.agg(F.sum("size"), F.count(F.lit(1))).collect():  # 16 a pattern
+            by[p][0][d], by[p][1][d] = words, n
+        for p in list(narrowing):
+            words, n = by[p]
+            _, cut, rest, _ = state[p]
+            at = 0
+            while at < 15 and words[at] <= rest:
+                rest -= words[at]
+                at += 1
+            low, high = at, at + 1
+            if n[at] <= FILL:  # few enough: as many neighbours as first-fit may have
+                grows = True
+                while grows:
+                    grows = False
+                    if high < 16 and sum(n[low : high + 1]) <= FILL:
+                        high, grows = high + 1, True
+                    if low > 0 and sum(n[low - 1 : high]) <= FILL:
+                        low, grows = low - 1, True
+                        rest += words[low]
+                narrowing.discard(p)
+            state[p][1:] = [cut + (low << width), rest, (high - low) << width]
     table = as_table()
-    units = undecided(width).groupBy("pattern_id", "h", "rest").agg(F.sum("size").alias("size"))
+    units = undecided("deciding").groupBy("pattern_id", "h", "rest").agg(F.sum("size").alias("size"))
     picks = units.groupBy("pattern_id").applyInPandas(_fill, "pattern_id long, picks array<long>")
     return table.join(picks, "pattern_id", "left").select(
         "pattern_id", "base", "cut", F.coalesce("picks", F.array().cast("array<long>")).alias("picks")
@@ -206,12 +213,12 @@ def with_copies(documents: DataFrame, sources: Column, seed: int = SEED) -> tupl
         [(i, list(p)) for p, i in number.items()], "pattern_id long, pattern array<string>"
     )
     same = lambda a, b: F.col(a).eqNullSafe(F.col(b))
-    rows = narrow.join(keys.withColumnRenamed("pattern", "key"), same("pattern", "key"))
+    rows = narrow.join(F.broadcast(keys.withColumnRenamed("pattern", "key")), same("pattern", "key"))
     rows = rows.select("pattern_id", "size", order_hash(seed).alias("h"))
     chosen = selection(rows, plan).join(keys, "pattern_id").withColumnRenamed("pattern", "key")
     whole = F.struct(*[F.col(f"`{c}`") for c in documents.columns]).alias("doc")
     sized = documents.select(whole, "doc_id", word_count(F.col("text")).alias("size"), sources.alias("pattern"))
-    joined = sized.join(chosen, same("pattern", "key"), "left").withColumn("h", order_hash(seed))
+    joined = sized.join(F.broadcast(chosen), same("pattern", "key"), "left").withColumn("h", order_hash(seed))
     more = (F.col("h") < F.col("cut")) | F.array_contains("picks", F.col("h"))
     taken = F.col("size") * (F.col("base") + more.cast("long"))
     mixed = joined.select("doc", "size", F.coalesce(taken, F.lit(0).cast("long")).alias("taken"))

@@ -111,6 +111,21 @@ def test_mix_meets_targets_and_agrees_with_itself(spark):
     assert mixing.mix(df.limit(0)).count() == 0
 
 
+def test_small_sources_are_filled_beside_a_hot_one(spark):
+    rng = random.Random(12)
+    sizes = {0: 60_000, **{p: 300 for p in range(1, 25)}, 25: 600, 26: 1}
+    rows = [(p, int(min(20_000, rng.lognormvariate(4, 1.6))) + 1, rng.getrandbits(mixing.HASH_BITS)) for p, n in sizes.items() for _ in range(n)]
+    total = {p: sum(r[1] for r in rows if r[0] == p) for p in sizes}
+    plan = [(p, 0, int(total[p] * rng.uniform(0.2, 0.8))) for p in sizes]
+    df = spark.createDataFrame(rows, "pattern_id long, size long, h long")
+    got = {r.pattern_id: r for r in mixing.selection(df, plan).collect()}
+    for p, _, rest in plan[:-1]:
+        picks = set(got[p].picks)
+        taken = sum(size for q, size, h in rows if q == p and (h < got[p].cut or h in picks))
+        assert abs(taken - rest) <= 0.002 * total[p], (p, taken, rest)
+        assert len(picks) <= mixing.FILL
+
+
 def test_mixed_documents_repeat_rows(spark):
     df = spark.createDataFrame(
         [(i, "one two three", "a" if i < 50 else "b", "_x") for i in range(200)], "doc_id long, text string, source string, size string"
