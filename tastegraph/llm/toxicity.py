@@ -6,9 +6,10 @@ expression that is rare in both gets the same probability from both in the end.
 compares the two log-likelihoods, normalised by length: a character over the whole text, and a
 word over its four most telling words; a logistic curve over these two turns them into 0..1.
 
-Spark counts the n-grams of every labelled training text and computes all statistics.
-What reaches the driver and the tasks is bounded: log-ratios are folded into 2**21
-buckets by crc32 (two float arrays, 16 MB), and the logistic curve is fitted on at
+Spark counts the n-grams of every labelled training text and computes all statistics, keyed by the
+n-gram or context itself, at every size. Tables of at most ``LOCAL_KEYS`` keys are sent to the tasks, which look words up in
+them; larger ones stay distributed: the distinct words' n-grams are joined to them for one ratio a word,
+and word ratios are joined to the texts' counted words. Both ways give the same evidence. The logistic curve is fitted on at
 most ``fit_rows`` labelled rows, each judged by the counts of the half it is not in.
 
 Defined results: null and wordless texts get the curve's value at zero evidence; a label
@@ -20,7 +21,6 @@ none). Repeated documents each get a row. Columns besides those named are ignore
 from __future__ import annotations
 
 import math
-import zlib
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -36,7 +36,7 @@ from tastegraph.llm.text import held_out, numbered, short_batches, take_columns
 
 ORDER = 5
 SHARED = 2  # orders up to this one are pooled over both classes
-BUCKETS = 1 << 21
+LOCAL_KEYS = 1_000_000  # n-grams and contexts that tasks look up in memory; more are joined
 DISCOUNT = 0.75
 TELLING = 4  # words that the second comparison looks at
 MOST = 15.0  # log-ratio that counts for one of them at most
@@ -49,10 +49,10 @@ COUNTS = ["plain0", "toxic0", "plain1", "toxic1"]
 
 @dataclass
 class Model:
-    """Log-ratios by bucket of n-gram (NaN: unseen) and of context, and the logistic weights."""
+    """Log-ratios (key, r) by n-gram seen and by context, as Arrow tables or as DataFrames, and the logistic weights."""
 
-    grams: np.ndarray
-    contexts: np.ndarray
+    grams: pa.Table | DataFrame
+    contexts: pa.Table | DataFrame
     weights: np.ndarray  # intercept, whole text, telling words
 
 
@@ -88,10 +88,6 @@ def _count_grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield flush()
 
 
-def _bucket(c: Column) -> Column:
-    return (F.crc32(c.cast("binary")) % BUCKETS).cast("int")
-
-
 def _rest(c: str) -> Column:
     """The mass that a class's context leaves to the order below."""
     n = F.col(f"n_{c}")
@@ -128,7 +124,7 @@ def _smoothed(level: DataFrame, contexts: DataFrame, n: int, lower: DataFrame, c
 
 
 def _log_ratios(grams: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(v, bucket, r) with log(p_toxic / p_plain): of seen n-grams, and of contexts for unseen ones.
+    """(v, key, r) with log(p_toxic / p_plain): of seen n-grams, and of contexts for unseen ones.
 
     ``grams`` has rows (v, g, toxic, plain); every v is a corpus of its own."""
     classes = ["toxic", "plain"]
@@ -146,28 +142,14 @@ def _log_ratios(grams: DataFrame) -> tuple[DataFrame, DataFrame]:
         p = _smoothed(shared[n], _contexts(shared[n], n, ["both"]), n, p, ["both"])
     p = p.select("v", "g", F.col("p_both").alias("p_toxic"), F.col("p_both").alias("p_plain"))
     ratios, rests = [], []
-    mass = F.col("toxic") + F.col("plain")
     for n in range(SHARED + 1, ORDER + 1):
         contexts = _contexts(levels[n], n, classes)
         p = _smoothed(levels[n], contexts, n, p, classes)
-        ratios.append(p.select("v", "g", F.log(F.col("p_toxic") / F.col("p_plain")).alias("r"), mass.alias("m")))
+        ratios.append(p.select("v", "g", F.log(F.col("p_toxic") / F.col("p_plain")).alias("r")))
         rest = F.log(_rest("toxic") / _rest("plain"))
-        rests.append(contexts.select("v", "ctx", rest.alias("r"), (F.col("n_toxic") + F.col("n_plain")).alias("m")))
-
-    def fold(parts: list[DataFrame]) -> DataFrame:
-        rows = reduce(DataFrame.unionAll, parts).toDF("v", "g", "r", "m")
-        mean = F.sum(F.col("r") * F.col("m")) / F.sum("m")
-        return rows.groupBy("v", _bucket(F.col("g")).alias("bucket")).agg(mean.cast("float").alias("r"))
-
-    return fold(ratios), fold(rests)
+        rests.append(contexts.select("v", "ctx", rest.alias("r")))
 
-
-def _as_array(df: DataFrame, empty: float) -> np.ndarray:
-    """A bucket table (at most BUCKETS rows) as an array."""
-    rows = df.toPandas()
-    out = np.full(BUCKETS, empty, np.float32)
-    out[rows["bucket"].to_numpy(np.int64)] = rows["r"].to_numpy(np.float32)
-    return out
+    return tuple(reduce(DataFrame.unionAll, parts).toDF("v", "key", "r") for parts in (ratios, rests))
 
 
 class _Scorer(dict):
@@ -175,18 +157,18 @@ class _Scorer(dict):
 
     def __init__(self, model: Model):
         super().__init__()
-        self.model = model
+        self.grams, self.contexts = (dict(zip(t["key"].to_pylist(), t["r"].to_pylist())) for t in (model.grams, model.contexts))
 
     def __missing__(self, w: str) -> float:
-        grams, contexts, total = self.model.grams, self.model.contexts, 0.0
+        grams, contexts, total = self.grams, self.contexts, 0.0
         for g in _grams(w):
             while len(g) > SHARED:
-                r = grams[zlib.crc32(g.encode()) % BUCKETS]
-                if r == r:
-                    total += float(r)
+                r = grams.get(g)
+                if r is not None:
+                    total += r
                     break
                 # Unseen: back off, in the end to what both classes share.
-                total += float(contexts[zlib.crc32(g[:-1].encode()) % BUCKETS])
+                total += contexts.get(g[:-1], 0.0)
                 g = g[1:]
         if len(self) >= MEMO:
             self.clear()
@@ -206,9 +188,61 @@ class _Scorer(dict):
         return float(whole), float(telling)
 
 
+def _counted_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(text_key, word, n): the words of each text and how often each occurs, of (text_key, text) rows."""
+    for batch in batches:
+        for key, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+            seen = Counter(text.lower().split())
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([key] * len(seen), pa.string()), pa.array(list(seen), pa.string()), pa.array(list(seen.values()), pa.int64())],
+                names=["text_key", "word", "n"],
+            )
+
+
+def _grams_of_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(word, g, times): the n-grams of the highest order of each word."""
+    for batch in batches:
+        rows = [(w, g, n) for w in batch.column(0).to_pylist() for g, n in Counter(_grams(w)).items()]
+        cols = list(zip(*rows)) if rows else [()] * 3
+        kinds = [pa.string(), pa.string(), pa.int64()]
+        yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds)], names=["word", "g", "times"])
+
+
+def _joined_evidence(rows: DataFrame, model: Model, keep: list[str], text_col: str) -> DataFrame:
+    """``_evidence`` by joins: no task holds more of the model than its share. Texts are known by their SHA-256."""
+    texts = short_batches(rows).select(*keep, F.col(text_col).cast("string").alias("_text"))
+    texts = texts.withColumn("_key", F.sha2("_text", 256))
+    counts = texts.where(F.col("_text").isNotNull()).select("_key", "_text")
+    counts = counts.mapInArrow(_counted_words, "text_key string, word string, n long")
+    counts = counts.dropDuplicates(["text_key", "word"]).checkpoint()
+    parts = counts.select("word").distinct().mapInArrow(_grams_of_words, "word string, g string, times long").checkpoint()
+    grams, ratio = parts.select("g").distinct(), F.lit(0.0)
+    for n in range(ORDER, SHARED, -1):
+        g = F.right("g", F.lit(n))
+        seen = model.grams.select(F.col("key").alias(f"g{n}"), F.col("r").alias(f"seen{n}"))
+        rest = model.contexts.select(F.col("key").alias(f"c{n}"), F.col("r").alias(f"rest{n}"))
+        grams = grams.withColumn("own", g).join(seen, F.col("own") == F.col(f"g{n}"), "left")
+        grams = grams.withColumn("ctx", F.left("own", F.lit(n - 1))).join(rest, F.col("ctx") == F.col(f"c{n}"), "left")
+        grams = grams.drop("own", "ctx", f"g{n}", f"c{n}")
+    for n in range(SHARED + 1, ORDER + 1):
+        ratio = F.coalesce(F.col(f"seen{n}"), F.coalesce(F.col(f"rest{n}"), F.lit(0.0)) + ratio)
+    words = parts.join(grams.select("g", ratio.alias("r")), "g").groupBy("word").agg(F.sum(F.col("r") * F.col("times")).alias("r"))
+    most = F.flatten(F.collect_list(F.array_repeat("r", F.least("n", F.lit(TELLING)).cast("int"))))
+    top = F.slice(F.sort_array(most, asc=False), 1, TELLING)
+    evidence = counts.join(words, "word").groupBy("text_key").agg(
+        (F.sum(F.col("r") * F.col("n")) / F.sum((F.length("word") + 1) * F.col("n"))).alias("_whole"),
+        (F.aggregate(top, F.lit(0.0), lambda a, x: a + F.least(x, F.lit(MOST))) / TELLING).alias("_telling"),
+    )
+    none = lambda c: F.coalesce(c, F.lit(0.0))
+    joined = texts.drop("_text").join(evidence, F.col("_key") == F.col("text_key"), "left")
+    return joined.select(*keep, none("_whole").alias("whole"), none("_telling").alias("telling"))
+
+
 def _evidence(rows: DataFrame, model: Model, keep: list[str], text_col: str = "text") -> DataFrame:
     """(``keep`` columns, whole, telling) for every row."""
-    shared = rows.sparkSession.sparkContext.broadcast(model)  # fixed size: see the module's head
+    if not isinstance(model.grams, pa.Table):
+        return _joined_evidence(rows, model, keep, text_col)
+    shared = rows.sparkSession.sparkContext.broadcast(model)  # at most LOCAL_KEYS keys
     names = [*keep, "whole", "telling"]
     kinds = {f.name: f.dataType.simpleString() for f in rows.schema.fields}
 
@@ -265,7 +299,8 @@ def train(documents: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS) ->
     if len(by_class) < 2:
         share = 0.0 if not by_class.get(1) else 1.0
         bias = math.log((share + 1e-9) / (1 - share + 1e-9))
-        return Model(np.zeros(BUCKETS, np.float32), np.zeros(BUCKETS, np.float32), np.array([bias, 0.0, 0.0]))
+        nothing = pa.table({"key": pa.array([], pa.string()), "r": pa.array([], pa.float64())})
+        return Model(nothing, nothing, np.array([bias, 0.0, 0.0]))
     half = F.pmod(F.xxhash64(F.lit("half"), "doc_id"), F.lit(2)).cast("int")
     grams = (
         docs.join(marks.hint("shuffle_hash"), "doc_id").select("text", "toxic", half.alias("half"))
@@ -280,10 +315,13 @@ def train(documents: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS) ->
         )
     )
     grams = grams.select(F.col("gram").alias("g"), F.inline(corpora)).select("v", "g", "toxic", "plain")
-    seen, unseen = (t.checkpoint() for t in _log_ratios(grams.where("toxic + plain > 0").checkpoint()))
+    tables = _log_ratios(grams.where("toxic + plain > 0").checkpoint())
 
     def model_of(v: int) -> Model:
-        return Model(_as_array(seen.where(F.col("v") == v), np.nan), _as_array(unseen.where(F.col("v") == v), 0.0), np.zeros(3))
+        own = [t.where(F.col("v") == v).select("key", "r") for t in tables]
+        if sum(t.count() for t in own) <= LOCAL_KEYS:
+            own = [t.toArrow() for t in own]
+        return Model(*own, np.zeros(3))
 
     # At most fit_rows ids by a fixed shuffle of the ids: bounded, so broadcast. Each half of them is judged by
     # the counts of the other, so the curve sees evidence as new texts give it.

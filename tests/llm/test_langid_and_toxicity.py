@@ -1,5 +1,8 @@
 """Language id and toxicity: held-out accuracy and defined results."""
 
+import itertools
+import zlib
+
 import pytest
 
 from tastegraph.llm import langid, toxicity
@@ -75,3 +78,29 @@ def test_word_ratio_follows_the_counts(spark):
     scorer = toxicity._Scorer(toxicity.train(df, labels))
     assert scorer["vile"] > 3 and scorer["calm"] < -3
     assert abs(scorer["good"]) < 1 and abs(scorer["zzzzz"]) < 1
+
+
+def test_unseen_words_take_no_stranger_ratio(spark):
+    rows = [(i, "good calm word text " * 5) for i in range(0, 60)] + [(i, "good vile word text " * 5) for i in range(100, 130)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, int(i >= 100)) for i, _ in rows], "doc_id long, toxic int")
+    scorer = toxicity._Scorer(toxicity.train(df, labels))
+    taken = {zlib.crc32(g.encode()) % (1 << 21) for w in ("vile", "calm") for g in toxicity._grams(w)}
+    words = ("".join(w) for w in itertools.product("bfhjknpqsuyz123456789", repeat=5))
+    clash = list(itertools.islice((w for w in words if zlib.crc32(w.encode()) % (1 << 21) in taken), 3))
+    assert len(clash) == 3
+    assert [scorer[w] for w in clash] == pytest.approx([scorer["zzzzz"]] * 3)
+
+
+def test_large_models_are_joined(spark, model, monkeypatch):
+    docs, labels = (spark.read.parquet(f"/root/testdata/sf0.001/{t}.parquet") for t in ("documents", "labels"))
+    odd = [(None, "idiot loser trash moron"), (7, None), (8, " "), (9, "x" * 5000), (9, "x" * 5000), (10, "Ünïcode 😀😀 vile"), (11, "a a a b")]
+    rows = docs.select("doc_id", "text").union(spark.createDataFrame(odd, "doc_id long, text string"))
+    local = toxicity.train(docs, labels)
+    monkeypatch.setattr(toxicity, "LOCAL_KEYS", 0)
+    joined = toxicity.train(docs, labels)
+    assert not isinstance(joined.grams, type(local.grams))
+    assert joined.weights == pytest.approx(local.weights, rel=1e-6)
+    a, b = (sorted(((r.doc_id or -1, r.score) for r in toxicity.score(rows, m).collect())) for m in (local, joined))
+    assert [i for i, _ in a] == [i for i, _ in b]
+    assert [x for _, x in a] == pytest.approx([x for _, x in b], abs=1e-6)
