@@ -13,6 +13,8 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from tastegraph.llm import (
+    fim,
+    hamming,
     jaccard,
     langid,
     linededup,
@@ -24,6 +26,7 @@ from tastegraph.llm import (
     topk,
     toxicity,
     urls,
+    whitening,
 )
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -98,6 +101,22 @@ def op10(spark, sf_dir):
     return pieces.digests(pieces.encode(table(spark, sf_dir, "documents")))
 
 
+@register("op11_minhash_near_dedup", oracle.NEAR_DEDUP)
+def op11(spark, sf_dir):
+    return hamming.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+@register("op12_fill_in_middle", oracle.FILL_IN_MIDDLE)
+def op12(spark, sf_dir):
+    return fim.digests(fim.fill_in_middle(table(spark, sf_dir, "documents")))
+
+
+@register("op13_embedding_whitening")
+def op13(spark, sf_dir):
+    vectors = table(spark, sf_dir, "embeddings")
+    return whitening.whiten(vectors, whitening.fit(vectors))
+
+
 @register("pipeline", corpus_pipeline.ORACLE_SQL)
 def pipeline(spark, sf_dir):
     return corpus_pipeline.run(spark, sf_dir)

@@ -95,3 +95,57 @@ SELECT query_id, rank::INTEGER AS rank, vec_id, score
 FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s)
 WHERE rank <= 5
 """
+
+FILL_IN_MIDDLE = """
+WITH d AS (
+  SELECT doc_id, coalesce(text, '') AS t, sha256('42:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS h,
+         regexp_extract_all(coalesce(text, ''), '[ \\x09-\\x0D]*[^ \\x09-\\x0D]+|[ \\x09-\\x0D]+') AS u
+  FROM documents),
+g AS (
+  SELECT doc_id, t, u, len(u)::BIGINT AS n,
+         ('0x' || substr(h, 1, 8))::BIGINT AS h1, ('0x' || substr(h, 9, 8))::BIGINT AS h2,
+         ('0x' || substr(h, 17, 8))::BIGINT AS h3, ('0x' || substr(h, 25, 8))::BIGINT AS h4
+  FROM d),
+f AS (
+  SELECT *, least(h1 % (n + 1), h2 % (n + 1)) AS a, greatest(h1 % (n + 1), h2 % (n + 1)) AS b,
+         CASE WHEN t = '' OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') OR h3 % 100 >= 50 THEN 'plain'
+              WHEN h4 % 100 < 80 THEN 'spm' ELSE 'psm' END AS form
+  FROM g),
+p AS (
+  SELECT *, array_to_string(list_slice(u, 1, a), '') AS prefix, array_to_string(list_slice(u, a + 1, b), '') AS middle,
+         array_to_string(list_slice(u, b + 1, n), '') AS suffix
+  FROM f)
+SELECT doc_id, n, form,
+  CASE WHEN form <> 'plain' THEN length(prefix) END::BIGINT AS prefix_chars,
+  CASE WHEN form <> 'plain' THEN length(middle) END::BIGINT AS middle_chars,
+  sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '<P>' || prefix || '<S>' || suffix || '<M>' || middle
+         ELSE '<S>' || suffix || '<P>' || prefix || '<M>' || middle END) AS output_sha256,
+  sha256(t) AS restored_sha256
+FROM p"""
+
+_UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+
+NEAR_DEDUP = f"""
+WITH RECURSIVE docs AS (
+  SELECT row_number() OVER () AS row_id, doc_id,
+         regexp_extract_all(translate(coalesce(text, ''), '{_UPPER}', '{_UPPER.lower()}'), '{_WORD}') AS ws
+  FROM documents),
+sets AS (
+  SELECT row_id, doc_id, CASE WHEN len(ws) < 2 THEN ws
+         ELSE list_sort(list_distinct(list_transform(range(1, len(ws)), lambda i: ws[i] || ' ' || ws[i + 1]))) END AS v
+  FROM docs),
+nodes AS (
+  SELECT row_number() OVER () AS node, v, len(v) AS size, min(doc_id) AS rep
+  FROM sets WHERE len(v) > 0 AND doc_id IS NOT NULL GROUP BY v),
+grams AS (SELECT node, size, unnest(v) AS g FROM nodes),
+pairs AS (
+  SELECT a.node AS a, b.node AS b FROM grams a JOIN grams b ON a.g = b.g AND a.node < b.node
+  GROUP BY a.node, b.node, a.size, b.size HAVING 100 * count(*) >= 80 * (a.size + b.size - count(*))),
+edges AS (SELECT a, b FROM pairs UNION ALL SELECT b, a FROM pairs),
+reach(a, b) AS (
+  SELECT node, node FROM nodes UNION SELECT r.a, e.b FROM reach r JOIN edges e ON r.b = e.a),
+classes AS (SELECT r.a AS node, min(n.rep) AS root FROM reach r JOIN nodes n ON n.node = r.b GROUP BY r.a)
+SELECT s.doc_id, len(s.v)::BIGINT AS n_shingles,
+  CASE WHEN s.doc_id IS NOT NULL THEN coalesce(c.root, s.doc_id) END AS component_id,
+  coalesce(s.doc_id = coalesce(c.root, s.doc_id), TRUE) AS kept
+FROM sets s LEFT JOIN nodes n ON n.v = s.v LEFT JOIN classes c ON c.node = n.node"""
