@@ -180,6 +180,50 @@ def java_string_hash(s: Column | str) -> Column:
     return F.when(acc >= 2147483648, acc - 4294967296).otherwise(acc).cast("int")
 
 
+# term hashing (M6) --------------------------------------------------------------
+# Fixed values of the 32-bit MurmurHash3 for x86, and the seed that MLlib's HashingTF uses.
+MURMUR_C1, MURMUR_C2, MURMUR_ADD = 0xCC9E2D51, 0x1B873593, 0xE6546B64
+MURMUR_F1, MURMUR_F2, MURMUR_SEED = 0x85EBCA6B, 0xC2B2AE35, 42
+
+
+def murmur3(s: Column | str, seed: int = MURMUR_SEED) -> Column:
+    """MurmurHash3 (32 bits, x86) of the UTF-8 bytes as a signed int, as HashingTF hashes terms.
+
+    (Spark SQL's ``hash`` treats the bytes after the last whole block in a way of its own, so it differs.)"""
+    mask = 0xFFFFFFFF
+
+    def let(x: Column, f) -> Column:
+        return F.transform(F.array(x), f)[0]  # ``x`` is written, and computed, once
+
+    def times(x: Column, c: int) -> Column:  # modulo 2^32, within a long
+        return let(x, lambda v: (v * (c & 0xFFFF) + F.shiftleft((v * (c >> 16)).bitwiseAND(0xFFFF), 16)).bitwiseAND(mask))
+
+    def turn(x: Column, n: int) -> Column:
+        return let(x, lambda v: F.shiftleft(v, n).bitwiseAND(mask).bitwiseOR(F.shiftright(v, 32 - n)))
+
+    def shifted(x: Column, n: int) -> Column:
+        return let(x, lambda v: v.bitwiseXOR(F.shiftright(v, n)))
+
+    def block(hexed: Column) -> Column:  # four bytes, the first the lowest
+        pair = lambda at: F.substr(hexed, F.lit(at), F.lit(2))
+        return F.conv(F.concat(pair(7), pair(5), pair(3), pair(1)), 16, 10).cast("long")
+
+    def mixed(k: Column) -> Column:
+        return times(turn(times(k, MURMUR_C1), 15), MURMUR_C2)
+
+    hexed = F.hex(F.encode(col_(s), "UTF-8"))
+    blocks = F.regexp_extract_all(hexed, F.lit("([0-9A-F]{8})"), 1)
+    body = F.aggregate(
+        blocks,
+        F.lit(seed).cast("long"),
+        lambda h, u: (times(turn(h.bitwiseXOR(mixed(block(u))), 13), 5) + MURMUR_ADD).bitwiseAND(mask),
+    )
+    rest = F.rpad(F.substr(hexed, F.size(blocks) * 8 + 1), 8, "0")
+    h = body.bitwiseXOR(mixed(block(rest))).bitwiseXOR((F.length(hexed) / 2).cast("long"))
+    h = shifted(times(shifted(times(shifted(h, 16), MURMUR_F1), 13), MURMUR_F2), 16)
+    return let(h, lambda v: F.when(v >= 2**31, v - 2**32).otherwise(v)).cast("int")
+
+
 # message parsing (R2) ---------------------------------------------------------
 def parse_message(msg: Column | str) -> Column:
     """``userId|productId|score|timestamp`` -> struct; malformed fields become null."""

@@ -3,7 +3,7 @@
 Two strategies share one contract, an edge table ``(productId, otherId, sim)``
 holding both directions and no self pairs:
 
-* **Sparse** (co-occurrence, TF-IDF): items sharing a *key* (a user, a term)
+* **Sparse** (co-occurrence, TF-IDF): items sharing a *key* (a user, an indexed term)
   are paired by an equi-join on that key. Only pairs with ``a < b`` are joined
   (half the join rows) and mirrored afterwards. Weights are summed per pair with
   map-side partial aggregation, so the shuffle carries partial sums, not join rows.
@@ -12,26 +12,31 @@ holding both directions and no self pairs:
   every two blocks meet in one cell, so no task pairs a whole hot group and
   an item is copied g + 1 times in all. Block counts come from an ordinary
   join with the key degrees: no limit on the number of hot keys, no forced broadcast.
-* **Dense** (ALS factors): unit vectors are hashed into blocks; each pair of
-  blocks ``(i, j), i <= j`` meets in one ``applyInPandas`` group holding two
+* **Dense** (ALS factors): vectors lie in clusters of near direction and these in blocks; each pair of
+  blocks ``(i, j), i <= j`` that may hold a pair above the threshold meets in one ``applyInPandas`` group holding two
   bounded blocks; a matrix product yields cosines and only the top-k per row per
   block pair leave the task. A ranking window then merges block-local lists.
 """
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+import pyarrow as pa
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from tastegraph.schemas import EDGE
 from tastegraph.session import cut_lineage
 
-# Defaults sized for a large cluster; tests pass small values to exercise salting.
+# Defaults sized for a large cluster; tests pass small values to make many cells.
 PAIRS_PER_TASK = 2_000_000  # join rows one task may produce; a key whose pairs exceed it is split into cells
+PAIRS_PER_CELL = 4_096  # candidate pairs that one cell of the verifying join holds, on average
+BOUND_SLACK = 1e-9  # bounds are sums of rounded doubles; pairs this close below the threshold are verified too
 DENSE_BLOCK_ROWS = 2_048  # vectors per block in the dense strategy
+DENSE_CLUSTERS = 256  # centres whose radii decide which blocks meet, at most
 
 
 def key_degrees(entries: DataFrame, key: str) -> DataFrame:
@@ -107,56 +112,116 @@ def mirror(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     return edges.select(F.explode(both).alias("_e"), *rest).select("_e.productId", "_e.otherId", *rest)
 
 
-def unit_postings(postings: DataFrame, id_col: str = "productId") -> DataFrame:
-    """Postings scaled so every vector has unit length; zero weights dropped first."""
-    nz = postings.where(F.col("w") != 0)
-    norms = nz.groupBy(id_col).agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("norm"))
-    return nz.join(norms, id_col).select("term", id_col, (F.col("w") / F.col("norm")).alias("w"))
-
+def distinct_vectors(postings: DataFrame, id_col: str = "productId") -> tuple[DataFrame, DataFrame]:
+    """(id, vid) of every id with a non-zero vector, and (term, vid, w) of each different vector once; vid is its smallest id.
 
-def sparse_cosine(
-    postings: DataFrame,
-    threshold: float | None = 0.4,
-    **salting,
-) -> DataFrame:
-    """Cosine over sparse vectors given as postings (term, productId, w).
-
-    Products with identical raw vectors are grouped first (the sorted
-    (term, weight) list is the group key, so grouping is exact, not hashed):
-    similarities are computed once between *distinct* vectors and expanded to
-    their member products afterwards. Two products in the same group have
-    cosine 1 (their own dot product). Between distinct vectors every two
-    vectors sharing a term are paired (salted by pair work) and their products
-    summed per pair with partial aggregation. Zero
-    weights are dropped first, so a vector of zero norm never appears (the
-    reference's NaN cosine is dropped by its ``> 0.4`` filter, G10).
+    Vectors are compared whole, but grouped and joined by a 128-bit digest: a digest whose vectors are not all
+    equal would leave each of them on its own, which costs work and loses nothing.
     """
     nz = postings.where(F.col("w") != 0)
-    sig = nz.groupBy("productId").agg(F.array_sort(F.collect_list(F.struct("term", "w"))).alias("v"))
-    sig = cut_lineage(sig)
-    groups = sig.groupBy("v").agg(F.min("productId").alias("vid"))
-    members = sig.join(groups, "v").select("productId", "vid")
-    rep = groups.select("vid", F.explode("v").alias("e")).select(
-        F.col("e.term").alias("term"), F.col("vid"), F.col("e.w").alias("w")
+    sig = nz.groupBy(id_col).agg(F.array_sort(F.collect_list(F.struct("term", "w"))).alias("v"))
+    sig = cut_lineage(sig.select(F.col(id_col).alias("id"), "v", F.xxhash64("v").alias("h1"), F.xxhash64(F.lit(1), "v").alias("h2")))
+    groups = sig.groupBy("h1", "h2").agg(F.min("id").alias("first"), (F.min("v") == F.max("v")).alias("same"))
+    placed = sig.join(groups, ["h1", "h2"]).withColumn("vid", F.when(F.col("same"), F.col("first")).otherwise(F.col("id")))
+    members = cut_lineage(placed.select("id", "vid"))
+    reps = placed.where(F.col("id") == F.col("vid")).select("vid", F.explode("v").alias("e"))
+    return members, reps.select("e.term", "vid", "e.w")
+
+
+def prefix_index(vectors: DataFrame, threshold: float) -> DataFrame:
+    """(vid, tid, w, at, after, indexed) of vectors given as (term, vid, w), scaled to unit length.
+
+    Terms are numbered and ordered from rare to frequent, alike for all vectors. ``at`` is the length of
+    a vector's part from a term on, ``after`` without the term. Past the first term where ``at`` is no more than the
+    threshold, nothing is indexed: two vectors that only share such terms have a product of at most
+    ``at * 1``, so every pair above the threshold meets at an indexed term (rows with ``indexed``).
+    """
+    terms = vectors.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
+    terms = cut_lineage(terms.withColumn("tid", F.monotonically_increasing_id()))
+    whole = Window.partitionBy("vid")
+    from_end = whole.orderBy(F.desc("df"), F.desc("tid")).rowsBetween(Window.unboundedPreceding, 0)
+    w2 = F.col("w") * F.col("w")
+    rows = vectors.join(terms, "term").select("vid", "tid", "w", "df")
+    rows = rows.withColumn("norm2", F.sum(w2).over(whole)).withColumn("tail2", F.sum(w2).over(from_end))
+    at = F.sqrt(F.col("tail2") / F.col("norm2"))
+    after = F.sqrt(F.greatest(F.col("tail2") - w2, F.lit(0.0)) / F.col("norm2"))
+    unit = (F.col("w") / F.sqrt("norm2")).alias("w")
+    return rows.select("vid", "tid", unit, at.alias("at"), after.alias("after"), (at > threshold - BOUND_SLACK).alias("indexed"))
+
+
+def candidate_pairs(index: DataFrame, threshold: float, pairs_per_task: int = PAIRS_PER_TASK) -> DataFrame:
+    """(a, b), a < b: vectors that share an indexed term and whose product may exceed the threshold.
+
+    The first term that a pair above the threshold shares has at_a * at_b above it too, so other meetings are dropped.
+    Of the meetings that are left, the product is at most their sum plus the rest's lengths after the last one.
+    """
+    entry = F.struct("w", "at", "after").alias("p")
+    met = pairs_within_key(index.where("indexed").select("tid", "vid", entry), "tid", "vid", "p", pairs_per_task)
+    met = met.where(F.col("wa.at") * F.col("wb.at") > threshold - BOUND_SLACK)
+    bounds = met.groupBy("a", "b").agg(
+        F.sum(F.col("wa.w") * F.col("wb.w")).alias("part"), F.min(F.col("wa.after") * F.col("wb.after")).alias("rest")
     )
-    unit = unit_postings(rep, "vid").withColumnRenamed("vid", "productId")
-    dots = sum_of_products(pairs_within_key(unit, "term", "productId", "w", **salting), "sim")
-    if threshold is not None:
-        dots = dots.where(F.col("sim") > threshold)
-    selfsim = unit.groupBy(F.col("productId").alias("vid")).agg(F.sum(F.col("w") * F.col("w")).alias("sim"))
-    if threshold is not None:
-        selfsim = selfsim.where(F.col("sim") > threshold)
-    ma = members.select(F.col("vid").alias("a"), F.col("productId").alias("pa"))
-    mb = members.select(F.col("vid").alias("b"), F.col("productId").alias("pb"))
+    return bounds.where(F.col("part") + F.col("rest") > threshold - BOUND_SLACK).select("a", "b")
+
+
+def _exact_products(key, pairs: pd.DataFrame, vectors: pd.DataFrame) -> pd.DataFrame:
+    """(a, b, sim) of the pairs of one cell from the sparse vectors that it was sent."""
+    if pairs.empty:
+        return pd.DataFrame({"a": [], "b": [], "sim": []})
+    at = {v: i for i, v in enumerate(vectors["vid"])}
+    sizes = vectors["tids"].map(len).to_numpy()
+    _, terms = np.unique(np.concatenate(vectors["tids"].to_list()), return_inverse=True)
+    weights, ends = np.concatenate(vectors["ws"].to_list()), np.cumsum(sizes)
+    dense, out = np.zeros(int(terms.max()) + 1), np.zeros(len(pairs))
+    span = lambda i: slice(ends[i] - sizes[i], ends[i])
+    a, b = pairs["a"].map(at).to_numpy(), pairs["b"].map(at).to_numpy()
+    order = np.argsort(a, kind="stable")
+    for block in np.split(order, np.flatnonzero(np.diff(a[order])) + 1):
+        own = span(a[block[0]])
+        dense[terms[own]] = weights[own]
+        for i in block:
+            other = span(b[i])
+            out[i] = dense[terms[other]] @ weights[other]
+        dense[terms[own]] = 0
+    return pd.DataFrame({"a": pairs["a"], "b": pairs["b"], "sim": out})
+
+
+def verified_pairs(candidates: DataFrame, index: DataFrame, pairs_per_cell: int = PAIRS_PER_CELL) -> DataFrame:
+    """(a, b, sim) with the exact product of each candidate pair.
+
+    Pairs are dealt over a grid of cells by the hashes of both ids; a cell is sent each vector once, however many of
+    its pairs name it, and a vector that very many pairs name is spread over a row of cells."""
+    candidates = cut_lineage(candidates)
+    side = max(1, int(np.ceil(np.sqrt(candidates.count() / pairs_per_cell))))
+    cell = [F.pmod(F.xxhash64(c), F.lit(side)).cast("int").alias(n) for c, n in (("a", "i"), ("b", "j"))]
+    dealt = candidates.select("a", "b", *cell)
+    named = F.explode(F.array("a", "b")).alias("vid")
+    vectors = index.groupBy("vid").agg(F.collect_list("tid").alias("tids"), F.collect_list("w").alias("ws"))
+    sent = dealt.select(F.col("i").alias("to_i"), F.col("j").alias("to_j"), named).distinct().join(vectors, "vid")
+    kind = dict(candidates.dtypes)["a"]
+    return dealt.groupBy("i", "j").cogroup(sent.groupBy("to_i", "to_j")).applyInPandas(_exact_products, f"a {kind}, b {kind}, sim double")
+
+
+def sparse_cosine(postings: DataFrame, threshold: float = 0.4, pairs_per_task: int = PAIRS_PER_TASK) -> DataFrame:
+    """(productId, otherId, sim) with a cosine above the threshold (0 or more), of vectors given as postings (term, productId, w).
+
+    Equal vectors are compared once (``distinct_vectors``) and expanded to their products afterwards; two products with
+    equal vectors have cosine 1. Between different vectors an exact prefix index finds candidates (``prefix_index``,
+    ``candidate_pairs``), and only these bring their whole vectors to a second, narrow join (``verified_pairs``). Zero
+    weights are dropped first, so a vector of zero norm never appears (its cosine is undefined, G10).
+    """
+    if threshold < 0:
+        raise ValueError("the prefix index needs a threshold of 0 or more")
+    members, vectors = distinct_vectors(postings)
+    index = cut_lineage(prefix_index(vectors, threshold))
+    dots = verified_pairs(candidate_pairs(index, threshold, pairs_per_task), index).where(F.col("sim") > threshold)
+    selfsim = index.groupBy("vid").agg(F.sum(F.col("w") * F.col("w")).alias("sim")).where(F.col("sim") > threshold)
+    ma = members.select(F.col("vid").alias("a"), F.col("id").alias("pa"))
+    mb = members.select(F.col("vid").alias("b"), F.col("id").alias("pb"))
     cross = dots.join(ma, "a").join(mb, "b").select(F.col("pa").alias("a"), F.col("pb").alias("b"), "sim")
-    same = (
-        pairs_within_key(members.withColumn("one", F.lit(1.0)), "vid", "productId", "one", keep_key=True, **salting)
-        .join(selfsim, "vid")
-        .select("a", "b", "sim")
-    )
-    return mirror(cross.unionByName(same)).select(
-        F.col("productId").cast("int"), F.col("otherId").cast("int"), F.col("sim").cast("double")
-    )
+    twins = pairs_within_key(members.withColumn("one", F.lit(1.0)), "vid", "id", "one", pairs_per_task, keep_key=True)
+    same = twins.join(selfsim, "vid").select("a", "b", "sim")
+    return mirror(cross.unionByName(same))
 
 
 # --- dense ---------------------------------------------------------------------
@@ -191,7 +256,7 @@ def _rows_topk(sims, row_ids, col_ids, k, threshold, same):
     Keeping every tie at the cut makes the final (rounded score desc, id asc)
     ranking exact after block-local lists are merged.
     """
-    s = np.round(sims, 6)
+    s = np.floor(sims * 1e6 + 0.5 + 1e-6)  # the ranking rule of ``topk.rank_key``
     if same:
         s[row_ids[:, None] == col_ids[None, :]] = -np.inf
     if threshold is not None:
@@ -205,61 +270,117 @@ def _rows_topk(sims, row_ids, col_ids, k, threshold, same):
     return pd.DataFrame({"productId": row_ids[rows], "otherId": col_ids[cols], "sim": sims[rows, cols]})
 
 
+@dataclass(frozen=True)
+class DensePlan:
+    """Which blocks of vectors meet: ``clusters`` with centre and blocks each, and the cluster pairs that are not skipped."""
+
+    centres: np.ndarray  # unit rows
+    first_block: np.ndarray
+    blocks: np.ndarray
+    met: list[tuple[int, int]]  # cluster pairs c <= d
+
+    def pairs(self, clusters: list[tuple[int, int]]) -> int:
+        """Block pairs (i <= j) of the cluster pairs."""
+        n = self.blocks
+        return int(sum(n[c] * (n[c] + 1) // 2 if c == d else n[c] * n[d] for c, d in clusters))
+
+    @property
+    def skipped(self) -> float:
+        """Share of all block pairs that never meet."""
+        every = self.pairs([(c, d) for c in range(len(self.blocks)) for d in range(c, len(self.blocks))])
+        return 1 - self.pairs(self.met) / every if every else 0.0
+
+
+def _arrays(column: pa.Array) -> np.ndarray:
+    flat = column.flatten().to_numpy(zero_copy_only=False).astype(np.float64)
+    return flat.reshape(len(column), -1)
+
+
+def _assigned(vectors: DataFrame, centres: np.ndarray) -> DataFrame:
+    """(id, vec, cluster, angle): each vector with its nearest centre and the angle to it."""
+
+    def run(batches):
+        for batch in batches:
+            if batch.num_rows:
+                v = _arrays(batch.column(1))
+                cos = (v / np.linalg.norm(v, axis=1, keepdims=True)) @ centres.T
+                near = cos.argmax(1)
+                angle = np.arccos(np.clip(cos[np.arange(len(v)), near], -1, 1))
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column(0), batch.column(1), pa.array(near.astype(np.int32)), pa.array(angle)], names=["id", "vec", "cluster", "angle"]
+                )
+
+    kinds = dict(vectors.dtypes)
+    return vectors.mapInArrow(run, f"id {kinds['id']}, vec {kinds['vec']}, cluster int, angle double")
+
+
+def dense_plan(vectors: DataFrame, threshold: float | None, block_rows: int, max_clusters: int = DENSE_CLUSTERS) -> tuple[DensePlan, DataFrame]:
+    """The plan for non-zero vectors (id, vec), and the vectors with their ``cluster``.
+
+    At most ``max_clusters`` centres, from rows chosen by a hash of their id, moved once to the mean of their cluster. Two
+    clusters whose centres are further apart than both radii and the threshold's angle hold no pair above it.
+    """
+    n = vectors.count()
+    some = vectors.orderBy(F.xxhash64(F.lit("centre"), "id"), "id").limit(max(1, min(max_clusters, -(-n // block_rows))))
+    centres = np.array([r["vec"] for r in some.select("vec").collect()], np.float64).reshape(-1, len((vectors.first() or {"vec": [0]})["vec"]))
+    if not n:
+        return DensePlan(centres, np.zeros(0, int), np.zeros(0, int), []), _assigned(vectors, centres)
+    centres /= np.linalg.norm(centres, axis=1, keepdims=True)
+    dim = centres.shape[1]
+    unit_sum = [F.sum(F.col("vec")[j].cast("double") / F.col("norm")).alias(f"s{j}") for j in range(dim)]
+    norm = F.sqrt(F.aggregate("vec", F.lit(0.0), lambda a, x: a + x.cast("double") * x.cast("double")))
+    moved = _assigned(vectors, centres).withColumn("norm", norm).groupBy("cluster").agg(*unit_sum).toPandas()  # a row a centre
+    mean = moved[[f"s{j}" for j in range(dim)]].to_numpy()
+    length = np.linalg.norm(mean, axis=1, keepdims=True)
+    centres[moved["cluster"].to_numpy()] = np.where(length > 1e-9, mean / np.maximum(length, 1e-9), centres[moved["cluster"].to_numpy()])
+    placed = cut_lineage(_assigned(vectors, centres))
+    stats = placed.groupBy("cluster").agg(F.count(F.lit(1)).alias("n"), F.max("angle").alias("radius")).toPandas()
+    blocks, radius = np.zeros(len(centres), int), np.zeros(len(centres))
+    blocks[stats["cluster"]], radius[stats["cluster"]] = -(-stats["n"] // block_rows), stats["radius"]
+    apart = np.arccos(np.clip(centres @ centres.T, -1, 1)) - radius[:, None] - radius[None, :]
+    meet = np.cos(np.clip(apart, 0, np.pi)) > (-2.0 if threshold is None else threshold - 1e-6)
+    met = [(c, d) for c in range(len(centres)) for d in range(c, len(centres)) if blocks[c] and blocks[d] and (c == d or meet[c, d])]
+    return DensePlan(centres, np.r_[0, np.cumsum(blocks)][:-1], blocks, met), placed
+
+
 def dense_cosine_topk(
     vectors: DataFrame,
     k: int,
     threshold: float | None = 0.4,
     block_rows: int = DENSE_BLOCK_ROWS,
+    max_clusters: int = DENSE_CLUSTERS,
 ) -> DataFrame:
-    """Top-k cosine neighbours per vector over (id, vec array) without a cross join.
+    """Top-k cosine neighbours (productId, otherId, sim) per vector over (id, vec array) without a cross join.
 
-    Vectors are normalised and hashed into ``B = ceil(n / block_rows)`` blocks.
-    Block i meets block j (i <= j) in one group; every row is replicated once per
-    partner block, so the shuffle is about ``n * B`` rows and each group holds two
-    bounded blocks. Candidates per row are at most ``k * B``, cut by the caller's
-    ranking window.
+    Vectors lie in clusters of near direction (``dense_plan``), and clusters in blocks of about ``block_rows``. Block i meets
+    block j (i <= j) in one group of two bounded blocks, if their clusters' centres and radii leave room for a pair above
+    the threshold; block pairs without are skipped before anything is shuffled. Candidates per row are at most ``k`` a
+    partner block and ties, cut by the caller's ranking window.
     """
     # Zero vectors have no cosine (NaN in the reference, dropped by its > 0.4 cut).
     unit = vectors.select("id", "vec").where(
         F.aggregate("vec", F.lit(0.0), lambda a, x: a + x.cast("double") * x.cast("double")) > 0
     )
-    n = unit.count()
-    blocks = max(1, -(-n // block_rows))
-    blk = unit.withColumn("blk", F.pmod(F.xxhash64("id"), F.lit(blocks)).cast("int"))
-    # side 0: block i paired with every j >= i; side 1: block j paired with every i < j.
-    left = blk.select(
-        F.col("blk").alias("i"),
-        F.explode(F.sequence(F.col("blk"), F.lit(blocks - 1))).alias("j"),
-        F.lit(0).alias("side"),
-        "id",
-        "vec",
-    )
-    right = blk.where(F.col("blk") > 0).select(
-        F.explode(F.sequence(F.lit(0), F.col("blk") - 1)).alias("i"),
-        F.col("blk").alias("j"),
-        F.lit(1).alias("side"),
-        "id",
-        "vec",
-    )
-    out_schema = T.StructType(
-        [
-            T.StructField("productId", vectors.schema["id"].dataType),
-            T.StructField("otherId", vectors.schema["id"].dataType),
-            T.StructField("sim", T.DoubleType()),
-        ]
-    )
-    return (
-        left.unionByName(right)
-        .groupBy("i", "j")
-        .applyInPandas(_block_topk(k, threshold), out_schema)
-        .select(F.col("productId").cast("int"), F.col("otherId").cast("int"), "sim")
+    plan, placed = dense_plan(unit, threshold, block_rows, max_clusters)
+    spark = vectors.sparkSession
+    first, blocks = plan.first_block.tolist(), plan.blocks.tolist()
+    own = spark.createDataFrame([(c, first[c], blocks[c]) for c in range(len(blocks))], "cluster int, first int, n int")
+    # Both directions of each cluster pair that meets: at most max_clusters squared.
+    both = sorted({p for c, d in plan.met for p in ((c, d), (d, c))})
+    partners = spark.createDataFrame([(c, first[d], first[d] + blocks[d] - 1) for c, d in both], "cluster int, low int, high int")
+    blk = placed.join(own, "cluster").select("id", "vec", "cluster", (F.col("first") + F.pmod(F.xxhash64("id"), F.col("n"))).cast("int").alias("blk"))
+    spread = blk.join(partners, "cluster").select("id", "vec", "blk", F.explode(F.sequence("low", "high")).alias("partner"))
+    # side 0: the row's block is the smaller (or only) one of the group's two.
+    dealt = spread.select(
+        F.least("blk", "partner").alias("i"), F.greatest("blk", "partner").alias("j"), (F.col("blk") > F.col("partner")).cast("int").alias("side"), "id", "vec"
     )
+    kind = dict(vectors.dtypes)["id"]
+    return dealt.groupBy("i", "j").applyInPandas(_block_topk(k, threshold), f"productId {kind}, otherId {kind}, sim double")
 
 
 __all__ = [
     "EDGE",
     "dense_cosine_topk",
-    "hot_keys",
     "mirror",
     "pairs_within_key",
     "sparse_cosine",
