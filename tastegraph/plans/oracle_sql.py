@@ -7,6 +7,7 @@ Table adapters are written once as CTE fragments and composed per query.
 
 from __future__ import annotations
 
+from tastegraph.functions import scalar as S
 from tastegraph.operators.factors import DEFAULT_SEED as SPLIT_SEED
 
 # --- adapters (same mapping as tastegraph.sources.tables) --------------------
@@ -123,11 +124,11 @@ FROM (SELECT DISTINCT productId FROM ratings) r LEFT JOIN itemcf t ON t.productI
 
 
 # --- content-based (exact vocabulary TF-IDF) -----------------------------------
-def content_exact(doc_cte: str, threshold: float = 0.4, term: str = "word") -> str:
+def content_exact(doc_cte: str, threshold: float = 0.4) -> str:
     """Ranked neighbours over a CTE ``docs(productId, tags)``."""
     return doc_cte + f""",
 toks AS (SELECT productId, unnest(string_split_regex(lower(replace(tags, '|', ' ')), '\\s+')) AS word FROM docs),
-terms AS (SELECT productId, {term} AS term FROM toks WHERE word <> ''),
+terms AS (SELECT productId, word AS term FROM toks WHERE word <> ''),
 tf AS (SELECT productId, term, count(*) AS tf FROM terms GROUP BY productId, term),
 m AS (SELECT count(*) AS m FROM docs),
 dfreq AS (SELECT term, count(*) AS df FROM tf GROUP BY term),
@@ -152,9 +153,46 @@ CONTENT_SIMILAR_EXACT = "WITH " + content_exact(
 SELECT productId, rank, otherId, score FROM content"""
 
 
+def _let(x: str, body: str) -> str:
+    """``body`` over ``v``, with ``x`` computed once."""
+    return f"list_transform([{x}], lambda v: {body})[1]"
+
+
+def _times(x: str, c: int) -> str:
+    return f"CAST((CAST({x} AS HUGEINT) * {c}) % 4294967296 AS BIGINT)"
+
+
+def _turn(x: str, n: int) -> str:
+    return _let(x, f"((v << {n}) & 4294967295) | (v >> {32 - n})")
+
+
+def _block(at: str) -> str:
+    """Four bytes from hex digit ``at`` on, the first the lowest; missing ones are 0."""
+    pairs = " || ".join(f"substr(rpad(substr(hx, {at}, 8), 8, '0'), {k}, 2)" for k in (7, 5, 3, 1))
+    return f"CAST('0x' || {pairs} AS BIGINT)"
+
+
+def murmur_bucket(buckets: int) -> str:
+    """CTE ``buckets(word, term)`` over ``toks(word)``: MurmurHash3 (32 bits, seed 42) of the UTF-8 bytes, modulo ``buckets``."""
+    mixed = lambda k: _times(_turn(_times(k, S.MURMUR_C1), 15), S.MURMUR_C2)
+    step = f"({_times(_turn('xor(h, k)', 13), 5)} + {S.MURMUR_ADD}) & 4294967295"
+    shift = lambda x, n: _let(x, f"xor(v, v >> {n})")
+    last = shift(_times(shift(_times(shift("h", 16), S.MURMUR_F1), 13), S.MURMUR_F2), 16)
+    return f"""
+hexed AS (SELECT DISTINCT word, hex(word) AS hx FROM toks WHERE word <> ''),
+blocks AS (SELECT word, hx, length(hx) // 8 AS n,
+                  list_transform(range(0, length(hx) // 8), lambda i: {mixed(_block("i * 8 + 1"))}) AS ks,
+                  {mixed(_block("(length(hx) // 8) * 8 + 1"))} AS tail FROM hexed),
+bodies AS (SELECT word, xor(xor(list_reduce(ks, lambda h, k: {step}, CAST({S.MURMUR_SEED} AS BIGINT)), tail), length(hx) // 2) AS h FROM blocks),
+finals AS (SELECT word, {last} AS h FROM bodies),
+buckets AS (SELECT word, ((CASE WHEN h >= 2147483648 THEN h - 4294967296 ELSE h END) % {buckets} + {buckets}) % {buckets} AS term FROM finals),"""
+
+
 CONTENT_SIMILAR_HASHED = "WITH " + content_exact(
-    PRODUCTS + ", docs AS (SELECT productId, tags FROM products)",
-    term="CAST('0x' || left(md5(word), 8) AS BIGINT) % 800",
+    PRODUCTS + ", docs AS (SELECT productId, tags FROM products)"
+).replace(
+    "\nterms AS (SELECT productId, word AS term FROM toks WHERE word <> ''),",
+    murmur_bucket(800) + "\nterms AS (SELECT productId, term FROM toks JOIN buckets USING (word)),",
 ) + """
 SELECT productId, rank, otherId, score FROM content"""
 
@@ -344,6 +382,20 @@ FROM (SELECT e.*, row_number() OVER (PARTITION BY userId ORDER BY {NEWEST_FIRST}
 WHERE pos <= 40"""
 
 
+# What rating requests change: newest rating of each rated key, queues, log lines.
+RATE_PRODUCT = with_(HISTORY) + f""",
+newest AS (
+  SELECT userId, productId, score, "timestamp", CAST(count(*) OVER (PARTITION BY userId, productId) AS BIGINT) AS versions,
+         row_number() OVER (PARTITION BY userId, productId ORDER BY "timestamp" DESC, seq DESC, score DESC) AS rn
+  FROM history),
+touched AS (SELECT DISTINCT userId, productId FROM rating_events),
+queues AS (SELECT e.*, row_number() OVER (PARTITION BY userId ORDER BY {NEWEST_FIRST}) AS pos FROM rating_events e)
+SELECT 'rating' AS part, userId, productId, score, versions AS n, CAST(NULL AS VARCHAR) AS message
+FROM newest JOIN touched USING (userId, productId) WHERE rn = 1
+UNION ALL SELECT 'queue', userId, productId, score, pos, NULL FROM queues WHERE pos <= 40
+UNION ALL SELECT 'log', NULL, NULL, NULL, seq, message FROM ({LOG_MESSAGES})"""
+
+
 # --- dense cosine over the embeddings table (M4's operator on given vectors) ---------
 EMBEDDING_SIMILAR = """
 WITH pairs AS (
@@ -367,8 +419,16 @@ CONTENT_SIMILAR_DOCUMENTS = "WITH " + content_exact(
 SELECT productId, rank, otherId, score FROM content"""
 
 TRAIN_TEST_SPLIT = with_(RATINGS) + f"""
-SELECT userId, productId, score, "timestamp" FROM ratings
-WHERE left(md5(concat_ws('|', '{SPLIT_SEED}', userId, productId, "timestamp")), 4) >= '{int(0.8 * 65536):04x}'"""
+SELECT userId, productId, score, "timestamp",
+       CASE WHEN left(md5(concat_ws('|', '{SPLIT_SEED}', userId, productId, "timestamp")), 4) < '{int(0.8 * 65536):04x}'
+            THEN 'train' ELSE 'test' END AS side
+FROM ratings"""
+
+# Every rated user and product, with its factor's residual below the bound.
+ALS_RESIDUALS = with_(RATINGS) + """
+SELECT 'user' AS kind, userId AS id, CAST(count(*) AS BIGINT) AS n, TRUE AS solved FROM ratings GROUP BY userId
+UNION ALL
+SELECT 'product', productId, CAST(count(*) AS BIGINT), TRUE FROM ratings GROUP BY productId"""
 
 LOOKUP_ITEMCF = f"""
 SELECT * FROM ({ITEMCF_TOP10})

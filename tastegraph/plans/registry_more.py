@@ -67,6 +67,15 @@ def q_als_user_recs(spark, sf_dir):
     return factors.user_recs(_als_model(spark, sf_dir), k=factors.USER_LIST_SIZE)
 
 
+@register("als_residuals", Q.ALS_RESIDUALS)
+def q_als_residuals(spark, sf_dir):
+    """M1's proof: the factors of every rated user and product solve their normal equations."""
+    ratings = tables.ratings(spark, sf_dir)
+    got = factors.normal_residuals(factors.fit_als(ratings), ratings)
+    bound = F.when(F.col("kind") == "user", factors.USER_RESIDUAL).otherwise(factors.PRODUCT_RESIDUAL)
+    return got.select("kind", "id", "n", (F.col("residual") <= bound).alias("solved"))
+
+
 @register("als_item_similar")
 def q_als_item_similar(spark, sf_dir):
     return factors.item_similar(_als_model(spark, sf_dir))
@@ -232,9 +241,6 @@ from tastegraph.session import scratch_path  # noqa: E402
 from tastegraph.sources import sinks, text  # noqa: E402
 from tastegraph.streaming import logs  # noqa: E402
 
-LOG_CHUNKS = 3  # micro-batches the registered streams replay the event log in
-
-
 @register("log_extract", Q.LOG_MESSAGES)
 def q_log_extract(spark, sf_dir):
     msgs = logs.extract_messages(tables.log_lines(spark, sf_dir))
@@ -293,18 +299,27 @@ def q_layout_bucketed_lookup(spark, sf_dir):
 
 # --- streams -------------------------------------------------------------------------
 from tastegraph.streaming import queue as squeue  # noqa: E402
+from tastegraph.streaming import rate as srate  # noqa: E402
 from tastegraph.streaming import recs as srecs  # noqa: E402
 
 
 def _event_log(spark, sf_dir, base):
-    return logs.write_log_files(tables.log_lines(spark, sf_dir), f"{base}/logs", LOG_CHUNKS)
+    """The event log as text files, written in one job; and options by which a micro-batch takes a few of them at once."""
+    n = max(2, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    lines = tables.log_lines(spark, sf_dir).repartitionByRange(n, "event_id").select("value")
+    lines.write.text(f"{base}/logs")
+    return f"{base}/logs", {"maxFilesPerTrigger": max(2, n // 2)}
+
+
+def _event_ratings(spark, sf_dir, base):
+    return logs.good_ratings(srecs.rating_stream(spark, "text", *_event_log(spark, sf_dir, base)))
 
 
 @register("stream_log_filter", Q.LOG_MESSAGES)
 def q_stream_log_filter(spark, sf_dir):
     base = scratch_path(spark, "stream-logfilter")
-    src = _event_log(spark, sf_dir, base)
-    q = logs.start_log_filter(spark, src, f"{base}/messages", f"{base}/quarantine")
+    src, options = _event_log(spark, sf_dir, base)
+    q = logs.start_log_filter(spark, src, f"{base}/messages", f"{base}/quarantine", source_options=options)
     q.awaitTermination()
     return spark.read.parquet(f"{base}/messages").select("seq", "message")
 
@@ -312,9 +327,7 @@ def q_stream_log_filter(spark, sf_dir):
 @register("stream_recent_queue", Q.STREAM_RECENT_QUEUE)
 def q_stream_recent_queue(spark, sf_dir):
     base = scratch_path(spark, "stream-queue")
-    src = _event_log(spark, sf_dir, base)
-    parsed = logs.good_ratings(srecs.rating_stream_from_logs(spark, src))
-    q = squeue.start_queue_stream(spark, parsed, f"{base}/queues")
+    q = squeue.start_queue_stream(spark, _event_ratings(spark, sf_dir, base), f"{base}/queues")
     q.awaitTermination()
     return squeue.read_queues(spark, f"{base}/queues")
 
@@ -322,18 +335,13 @@ def q_stream_recent_queue(spark, sf_dir):
 @register("stream_recs", Q.REALTIME_SCORES)
 def q_stream_recs(spark, sf_dir):
     base = scratch_path(spark, "stream-recs")
-    tables.ratings(spark, sf_dir).write.mode("overwrite").parquet(f"{base}/ratings")
-    itemcf_sims(spark, sf_dir).write.mode("overwrite").parquet(f"{base}/sims")
-    src = _event_log(spark, sf_dir, base)
-    parsed = srecs.rating_stream_from_logs(spark, src)
+    itemcf_sims(spark, sf_dir).write.parquet(f"{base}/sims")
     q = srecs.start_recs_stream(
         spark,
-        parsed,
-        f"{base}/ratings",
+        _event_ratings(spark, sf_dir, base),
+        tables.ratings(spark, sf_dir),
         f"{base}/sims",
         f"{base}/streamrecs",
-        f"{base}/delta",
-        quarantine_dir=f"{base}/quarantine",
         threshold=REALTIME_ITEMCF_THRESHOLD,
     )
     q.awaitTermination()
@@ -342,13 +350,32 @@ def q_stream_recs(spark, sf_dir):
 
 @register("stream_rating_upsert", Q.RATING_LATEST)
 def q_stream_rating_upsert(spark, sf_dir):
+    """The stream's own table, one row a user and product."""
     base = scratch_path(spark, "stream-upsert")
-    src = _event_log(spark, sf_dir, base)
-    q = srecs.start_upsert_stream(spark, srecs.rating_stream_from_logs(spark, src), f"{base}/delta")
-    q.awaitTermination()
-    stored = tables.ratings(spark, sf_dir)
-    hist = srecs.history_upto(spark, stored, sinks.KeyedSnapshots(f"{base}/delta", "userId"), 1 << 40)
-    return R.latest_scores(hist)
+    ratings = _event_ratings(spark, sf_dir, base)
+    srecs.start_upsert_stream(spark, ratings, tables.ratings(spark, sf_dir), f"{base}/ckpt").awaitTermination()
+    return srecs.read_latest(spark, f"{base}/ckpt")
+
+
+@register("rate_product", Q.RATE_PRODUCT)
+def q_rate_product(spark, sf_dir):
+    """Q7 end to end: every rating event as a request; what the three sinks hold after the last transaction."""
+    base = scratch_path(spark, "rate-product")
+    n = max(2, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    events = tables.rating_events(spark, sf_dir)
+    events.select("userId", "productId", (F.col("seq") % 10 + 1).cast("int").alias("raw"), "timestamp", "seq").repartitionByRange(
+        n, "seq"
+    ).write.parquet(f"{base}/requests")
+    requests = srate.request_stream(spark, "parquet", f"{base}/requests", {"maxFilesPerTrigger": max(2, n // 2)})
+    srate.start_rating_desk(spark, requests, tables.ratings(spark, sf_dir), f"{base}/desk", f"{base}/ckpt").awaitTermination()
+    ratings, queues, lines = srate.read_desk(spark, f"{base}/desk")
+    text, none = F.lit(None).cast("string").alias("message"), F.lit(None)
+    queue = queues.select("userId", F.posexplode("queue").alias("pos", "q"))
+    return (
+        ratings.select(F.lit("rating").alias("part"), "userId", "productId", "score", F.col("versions").alias("n"), text)
+        .unionAll(queue.select(F.lit("queue"), "userId", "q.productId", "q.score", (F.col("pos") + 1).cast("long"), text))
+        .unionAll(lines.select(F.lit("log"), none.cast("int"), none.cast("int"), none.cast("double"), "seq", "message"))
+    )
 
 
 # --- dense cosine over the given embeddings -------------------------------------------
@@ -371,8 +398,9 @@ LOOKUP_N = 5
 
 @register("train_test_split", Q.TRAIN_TEST_SPLIT)
 def q_train_test_split(spark, sf_dir):
-    """M9: the test rows of the seeded split."""
-    return tuning.split(tables.ratings(spark, sf_dir))[1]
+    """M9: every rating with its side of the seeded split."""
+    train, test = tuning.split(tables.ratings(spark, sf_dir))
+    return train.withColumn("side", F.lit("train")).unionAll(test.withColumn("side", F.lit("test")))
 
 
 @register("lookup_itemcf", Q.LOOKUP_ITEMCF)

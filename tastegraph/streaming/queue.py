@@ -1,102 +1,23 @@
-"""Bounded per-user recent-rating queue as streaming state.
+"""Bounded per-user recent-rating queue of a rating stream.
 
-Keyed by userId with ``applyInPandasWithState``: each micro-batch merges the
-user's new ratings into the stored queue, orders newest first by
-(timestamp, seq, productId, score) and keeps at most ``capacity`` (40) items.
-No de-duplication by product: rating the same product twice puts it twice (G4).
-State per user is bounded by the capacity, so no watermark is needed. New rows
-of a key arrive as an iterator of pandas chunks and are folded chunk by chunk,
-so even a user with a huge burst in one batch never materialises beyond
-capacity + one chunk.
+The queue itself is list state (``streaming.state.UserHistory``): the newest ``capacity`` (40) ratings of a user by
+(timestamp, seq, productId, score). No de-duplication by product: rating the same product twice puts it twice
+(G4). State per user is bounded by the capacity, so no watermark is needed.
 
-The output of each batch is the full queue of every user touched, with the
-batch id as version; ``KeyedSnapshots`` keeps the newest queue per user.
+The output of each batch is the full queue of every user touched; ``KeyedSnapshots`` keeps the newest queue per user.
 """
 
 from __future__ import annotations
 
-import numpy as np
-import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
-from pyspark.sql.streaming.state import GroupStateTimeout
 
 from tastegraph.operators.ratings import QUEUE_CAPACITY
 from tastegraph.session import scratch_path
 from tastegraph.sources.sinks import KeyedSnapshots
+from tastegraph.streaming.state import state_store, user_history
 
-_ITEM_COLS = ["productId", "score", "timestamp", "seq"]
-
-STATE_SCHEMA = T.StructType(
-    [
-        T.StructField("productId", T.ArrayType(T.IntegerType())),
-        T.StructField("score", T.ArrayType(T.DoubleType())),
-        T.StructField("timestamp", T.ArrayType(T.LongType())),
-        T.StructField("seq", T.ArrayType(T.LongType())),
-        T.StructField("updates", T.LongType()),
-    ]
-)
-
-OUTPUT_SCHEMA = T.StructType(
-    [
-        T.StructField("userId", T.IntegerType()),
-        T.StructField("updates", T.LongType()),
-        T.StructField("pos", T.IntegerType()),
-        T.StructField("productId", T.IntegerType()),
-        T.StructField("score", T.DoubleType()),
-        T.StructField("timestamp", T.LongType()),
-        T.StructField("seq", T.LongType()),
-    ]
-)
-
-
-def _newest(q: pd.DataFrame, capacity: int) -> pd.DataFrame:
-    order = q.sort_values(["timestamp", "seq", "productId", "score"], ascending=False, kind="mergesort")
-    return order.head(capacity)
-
-
-def make_queue_fn(capacity: int = QUEUE_CAPACITY):
-    def fn(key, chunks, state):
-        if state.exists:
-            st = state.get
-            q = pd.DataFrame({c: np.asarray(st[i]) for i, c in enumerate(_ITEM_COLS)})
-            updates = int(st[4])
-        else:
-            q = pd.DataFrame({c: pd.Series(dtype="int64") for c in _ITEM_COLS})
-            updates = 0
-        for pdf in chunks:
-            q = _newest(pd.concat([q, pdf[_ITEM_COLS]], ignore_index=True), capacity)
-        updates += 1
-        state.update(
-            (
-                q["productId"].astype("int32").tolist(),
-                q["score"].astype("float64").tolist(),
-                q["timestamp"].astype("int64").tolist(),
-                q["seq"].astype("int64").tolist(),
-                updates,
-            )
-        )
-        yield pd.DataFrame(
-            {
-                "userId": np.int32(key[0]),
-                "updates": np.int64(updates),
-                "pos": np.arange(1, len(q) + 1, dtype=np.int32),
-                "productId": q["productId"].astype("int32").to_numpy(),
-                "score": q["score"].astype("float64").to_numpy(),
-                "timestamp": q["timestamp"].astype("int64").to_numpy(),
-                "seq": q["seq"].astype("int64").to_numpy(),
-            }
-        )
-
-    return fn
-
-
-def recent_queue(ratings_stream: DataFrame, capacity: int = QUEUE_CAPACITY) -> DataFrame:
-    """Streaming (userId, updates, pos, productId, score, timestamp, seq) of touched users' queues."""
-    return ratings_stream.select("userId", *_ITEM_COLS).groupBy("userId").applyInPandasWithState(
-        make_queue_fn(capacity), OUTPUT_SCHEMA, STATE_SCHEMA, "append", GroupStateTimeout.NoTimeout
-    )
+COMPACT_EVERY = 50  # micro-batches between snapshot compactions
 
 
 def start_queue_stream(
@@ -106,29 +27,25 @@ def start_queue_stream(
     capacity: int = QUEUE_CAPACITY,
     checkpoint: str | None = None,
     trigger: dict | None = None,
-    compact_every: int = 50,
+    compact_every: int = COMPACT_EVERY,
 ):
     """Run R3 into a ``KeyedSnapshots`` table keyed by userId (the queue as an array)."""
     store = KeyedSnapshots(out_dir, "userId")
-    queues = recent_queue(ratings_stream, capacity)
 
     def sink(batch: DataFrame, batch_id: int) -> None:
-        lists = batch.groupBy("userId").agg(
-            F.array_sort(F.collect_list(F.struct("pos", "productId", "score"))).alias("queue")
-        )
-        store.write(lists, batch_id)
+        store.write(batch.select("userId", "queue"), batch_id)
         if batch_id and batch_id % compact_every == 0:
             store.compact(spark, batch_id)
 
-    w = queues.writeStream.foreachBatch(sink).option(
-        "checkpointLocation", checkpoint or scratch_path(spark, "ckpt-queue")
-    )
-    return w.trigger(**(trigger or {"availableNow": True})).start()
+    with state_store(spark):
+        w = user_history(ratings_stream, capacity=capacity).writeStream.outputMode("update").foreachBatch(sink)
+        w = w.option("checkpointLocation", checkpoint or scratch_path(spark, "ckpt-queue"))
+        return w.trigger(**(trigger or {"availableNow": True})).start()
 
 
 def read_queues(spark: SparkSession, out_dir: str) -> DataFrame:
     """Exploded current queues: (userId, pos, productId, score)."""
     cur = KeyedSnapshots(out_dir, "userId").current(spark)
-    return cur.select("userId", F.explode("queue").alias("q")).select(
-        "userId", F.col("q.pos").alias("pos"), F.col("q.productId").alias("productId"), F.col("q.score").alias("score")
+    return cur.select("userId", F.posexplode("queue").alias("pos", "q")).select(
+        "userId", (F.col("pos") + 1).alias("pos"), F.col("q.productId").alias("productId"), F.col("q.score").alias("score")
     )
