@@ -39,14 +39,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tastegraph.llm.jaccard import components
-from tastegraph.llm.text import short_batches, take_columns
+from tastegraph.llm.text import short_batches, take_columns, written
 
 SHINGLE = 2
 THRESHOLD = (80, 100)  # least share of the union that the intersection takes
 POSITIONS = 80
 BITS = 16
 TARGET_RECALL = 0.999
-BLOCK = 512  # nodes of one side that meet in a task's group
+BLOCK = 512  # nodes of one side that meet in a cell, on average
 CELL_ROWS = 4096  # rows of small buckets that share a group, on average
 SET_ROWS = 512  # the same where rows bring their full sets
 MIX = (0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93)
@@ -119,14 +119,14 @@ def signature_keys(sigs: np.ndarray, plan: list[tuple[int, int, int]]) -> np.nda
     return np.stack(keys, 1).view(np.int64)
 
 
-def overlap_links(a: np.ndarray, b: np.ndarray) -> bool:
-    """Whether the sorted sets ``a`` and ``b`` are at least THRESHOLD similar."""
+def overlap_links(a: np.ndarray, others: list[np.ndarray]) -> np.ndarray:
+    """Which of the sorted sets ``others`` are at least THRESHOLD similar to the sorted set ``a`` (none empty)."""
+    sizes = np.array([len(b) for b in others])
+    every = np.concatenate(others)
+    hit = a[np.minimum(np.searchsorted(a, every), len(a) - 1)] == every
+    both = np.add.reduceat(hit.astype(np.int64), np.r_[0, np.cumsum(sizes)[:-1]])
     top, bottom = THRESHOLD
-    if bottom * min(len(a), len(b)) < top * max(len(a), len(b)):
-        return False
-    at = np.minimum(np.searchsorted(b, a), len(b) - 1)
-    both = int((b[at] == a).sum())
-    return bottom * both >= top * (len(a) + len(b) - both)
+    return bottom * both >= top * (len(a) + sizes - both)
 
 
 # --- functions that run in tasks ---------------------------------------------------
@@ -164,13 +164,17 @@ def _spread(plan: list[tuple[int, int, int]]):
 
 
 def _near(distance: int):
-    """Of (a, b, sig_a, sig_b) the pairs (a, b) within the distance."""
+    """Of (a, b, sketch_a, sketch_b) the pairs (a, b) of like sizes within the distance."""
+    top, bottom = THRESHOLD
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if batch.num_rows:
-                apart = (_matrix(batch.column(2)) != _matrix(batch.column(3))).sum(1)
-                yield batch.filter(pa.array(apart <= distance)).select([0, 1])
+                a, b = batch.column(2), batch.column(3)
+                apart = (_matrix(a.field("sig")) != _matrix(b.field("sig"))).sum(1)
+                sizes = np.stack([x.field("size").to_numpy() for x in (a, b)])
+                near = (apart <= distance) & (sizes.min(0) * bottom >= sizes.max(0) * top)
+                yield batch.filter(pa.array(near)).select([0, 1])
 
     return run
 
@@ -191,38 +195,44 @@ def _confirm(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Of (a, b, grams_a, grams_b) the linked pairs (a, b)."""
     for batch in batches:
         pairs = zip(batch.column(2).to_pylist(), batch.column(3).to_pylist())
-        keep = [overlap_links(np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)) for x, y in pairs]
+        keep = [overlap_links(np.frombuffer(x, np.uint64), [np.frombuffer(y, np.uint64)])[0] for x, y in pairs]
         yield batch.filter(pa.array(keep, pa.bool_())).select([0, 1])
 
 
-def _candidates(part: pd.DataFrame, distance: int) -> Iterator[tuple[int, np.ndarray]]:
-    """(row, rows): each row of the queries' side and the rows of other labels within the distance."""
+def _candidates(part: pd.DataFrame, distance: int, plan: list[tuple[int, int, int]]) -> Iterator[tuple[int, np.ndarray]]:
+    """(row, rows): each row of the queries' side and the rows of other labels within the distance, of one cell.
+
+    A pair counts in the smallest key that both share, and in no other bucket. (Of buckets with the same nodes the
+    smallest key was kept, so that key has a bucket.)"""
     sigs = np.frombuffer(b"".join(part["sig"]), np.uint16).reshape(len(part), POSITIONS)
+    keys, key = signature_keys(sigs, plan), part["key"].iloc[0]
     label, side = part["label"].to_numpy(), part["side"].to_numpy()
-    asked, all_rows = np.flatnonzero(side == 0), np.flatnonzero(side == 1)
+    asked, every = np.flatnonzero(side == 0), np.flatnonzero(side == 1)
     for i in asked:
-        apart = (sigs[all_rows] != sigs[i]).sum(1)
-        yield i, all_rows[(apart <= distance) & (label[all_rows] != label[i])]
+        near = every[(label[every] != label[i]) & ((sigs[every] != sigs[i]).sum(1) <= distance)]
+        shared = np.where(keys[near] == keys[i], keys[i], np.iinfo(np.int64).max)
+        yield i, near[shared.min(1) == key]
 
 
-def _mark_cells(distance: int):
-    """(key, x, y, node, side) of the rows of a group of cells that have a partner within the distance."""
+def _mark_cells(distance: int, plan: list[tuple[int, int, int]]):
+    """(key, x, y, node, label, side) of the rows of a group of cells that have a partner within the distance."""
+    cols = ["key", "x", "y", "node", "label", "side"]
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         found = []
         for _, part in pdf.groupby(["key", "x", "y"], sort=False):
             some = np.zeros(len(part), bool)
-            for i, partners in _candidates(part, distance):
+            for i, partners in _candidates(part, distance, plan):
                 some[partners] = True
                 some[i] |= len(partners) > 0
             if some.any():
-                found.append(part.loc[some, ["key", "x", "y", "node", "side"]])
-        return pd.concat(found) if found else pdf.loc[[], ["key", "x", "y", "node", "side"]]
+                found.append(part.loc[some, cols])
+        return pd.concat(found) if found else pdf.loc[[], cols]
 
     return run
 
 
-def _join_cells(distance: int):
+def _join_cells(distance: int, plan: list[tuple[int, int, int]]):
     """(a, b) links of a group of cells, at most one a label of partners and node: more would link the same components."""
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
@@ -230,13 +240,12 @@ def _join_cells(distance: int):
         for _, part in pdf.groupby(["key", "x", "y"], sort=False):
             sets = [np.frombuffer(g, np.uint64) for g in part["grams"]]
             node, label = part["node"].to_numpy(), part["label"].to_numpy()
-            for i, partners in _candidates(part, distance):
-                met = set()
-                for j in partners:
-                    if label[j] not in met and overlap_links(sets[i], sets[j]):
-                        met.add(label[j])
-                        a.append(node[i])
-                        b.append(node[j])
+            for i, partners in _candidates(part, distance, plan):
+                if len(partners):
+                    found = partners[overlap_links(sets[i], [sets[j] for j in partners])]
+                    _, first = np.unique(label[found], return_index=True)
+                    a += [node[i]] * len(first)
+                    b += node[found[first]].tolist()
         return pd.DataFrame({"a": a, "b": b}, dtype="int64")
 
     return run
@@ -254,14 +263,21 @@ def _buckets(rows: DataFrame) -> DataFrame:
 
 
 def _both(pairs: DataFrame, table: DataFrame, column: str) -> DataFrame:
-    """(a, b, column of a, column of b); a ``b`` with many partners is dealt over blocks, one copy of its row each."""
-    load = pairs.groupBy("b").agg(F.ceil(F.count(F.lit(1)) / BLOCK).alias("blocks"))
-    heads = load.join(table.withColumnRenamed("node", "b"), "b").select(
-        "b", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("block"), F.col(column).alias(f"{column}_b")
-    )
-    dealt = pairs.join(load, "b").withColumn("block", F.pmod(F.xxhash64("a"), F.col("blocks")))
-    left = dealt.join(table.withColumnRenamed("node", "a"), "a").select("a", "b", "block", F.col(column).alias(f"{column}_a"))
-    return left.join(heads, ["b", "block"]).select("a", "b", f"{column}_a", f"{column}_b")
+    """(a, b, column of a, column of b). A node that very many pairs name is a skewed key, which Spark's adaptive joins split."""
+    a, b = (table.select(F.col("node").alias(side), F.col(column).alias(f"{column}_{side}")) for side in "ab")
+    return pairs.join(a, "a").join(b, "b").select("a", "b", f"{column}_a", f"{column}_b")
+
+
+def _labels(linked: DataFrame, rounds: int = 1) -> DataFrame:
+    """(node, label) of linked pairs: equal labels are in one component (mostly, not always, the other way round too).
+
+    A label is the smallest node within ``rounds`` + 1 links."""
+    ends = linked.select(F.explode(F.array(F.struct("a", "b"), F.struct(F.col("b").alias("a"), F.col("a").alias("b")))).alias("e")).select("e.*")
+    labels = ends.groupBy(F.col("a").alias("node")).agg(F.least(F.min("b"), F.col("a")).alias("label"))
+    for _ in range(rounds):
+        near = ends.join(labels.select(F.col("node").alias("b"), "label"), "b")
+        labels = near.groupBy(F.col("a").alias("node")).agg(F.least(F.min("label"), F.col("a")).alias("label"))
+    return written(labels, "labels")
 
 
 def _cells(members: DataFrame, labels: DataFrame) -> DataFrame:
@@ -272,16 +288,16 @@ def _cells(members: DataFrame, labels: DataFrame) -> DataFrame:
     open_ = share.groupBy("key").agg(
         F.sum("n").alias("n"), F.max("n").alias("top"), F.max_by("label", F.struct("n", "label")).alias("common"), F.count(F.lit(1)).alias("k")
     ).where("k > 1 and n > 2")
-    tagged = tagged.join(open_, "key")
-    # Sizes of blocks are those of a fair deal: BLOCK rows on average.
-    xs, ys = F.ceil((F.col("n") - F.col("top")) / BLOCK), F.ceil(F.col("n") / BLOCK)
-    upto = lambda n: F.sequence(F.lit(0).cast("long"), n - 1)
-    own = lambda n: F.pmod(F.xxhash64("node"), n)
-    asked = tagged.where("label != common").select(
-        "key", own(xs).alias("x"), F.explode(upto(ys)).alias("y"), "node", "label", F.lit(0).alias("side")
+    # Blocks are dealt by hash: BLOCK rows on average.
+    tagged = tagged.join(open_, "key").withColumns(
+        {"xs": F.ceil((F.col("n") - F.col("top")) / BLOCK), "ys": F.ceil(F.col("n") / BLOCK), "hash": F.xxhash64("node")}
     )
-    every = tagged.select("key", F.explode(upto(xs)).alias("x"), own(ys).alias("y"), "node", "label", F.lit(1).alias("side"))
-    return asked.unionAll(every)
+    place = lambda x, y, side: F.struct(x.alias("x"), y.alias("y"), F.lit(side).alias("side"))
+    upto = lambda n: F.sequence(F.lit(0).cast("long"), F.col(n) - 1)
+    asked = F.transform(upto("ys"), lambda y: place(F.pmod("hash", "xs"), y, 0))
+    every = F.transform(upto("xs"), lambda x: place(x, F.pmod("hash", "ys"), 1))
+    places = F.when(F.col("label") == F.col("common"), every).otherwise(F.concat(asked, every))
+    return tagged.select("key", "node", "label", F.explode(places).alias("p")).select("key", "p.x", "p.y", "node", "label", "p.side")
 
 
 def near_duplicates(documents: DataFrame, target_recall: float = TARGET_RECALL) -> DataFrame:
@@ -290,44 +306,36 @@ def near_duplicates(documents: DataFrame, target_recall: float = TARGET_RECALL)
     plan = chunk_plan(POSITIONS, distance)
     docs = take_columns(short_batches(documents), {"doc_id": "bigint", "text": "string"})
     docs = docs.select("doc_id", F.col("text").cast("binary").alias("text"))
-    marked = docs.mapInArrow(_mark, "doc_id long, n_shingles long, digest binary, sig binary").checkpoint()
+    marked = written(docs.mapInArrow(_mark, "doc_id long, n_shingles long, digest binary, sig binary"), "marked")
     nodes = marked.where("doc_id is not null and n_shingles > 0").groupBy("digest").agg(
-        F.min("doc_id").alias("rep"), F.first("sig").alias("sig"), F.first("n_shingles").alias("size")
+        F.min("doc_id").alias("rep"), F.first(F.struct("sig", F.col("n_shingles").alias("size"))).alias("sketch")
     )
-    nodes = nodes.withColumn("node", F.monotonically_increasing_id()).checkpoint()  # numbers that stay
-    rows = nodes.select("node", "sig").mapInArrow(_spread(plan), "key long, node long")
-    members = rows.join(_buckets(rows), "key").select("key", "node", "pivot").checkpoint()
-
-    def far(pairs: DataFrame) -> DataFrame:
-        """Sizes too unlike for the threshold go before signatures are looked at."""
-        s = nodes.select("node", "size")
-        both = pairs.join(s.toDF("a", "size_a"), "a").join(s.toDF("b", "size_b"), "b")
-        top, bottom = THRESHOLD
-        return both.where(F.least("size_a", "size_b") * bottom >= F.greatest("size_a", "size_b") * top).select("a", "b")
+    nodes = written(nodes.withColumn("node", F.monotonically_increasing_id()), "nodes")  # numbers that stay
+    sketches = nodes.select("node", "sketch")
+    rows = nodes.select("node", "sketch.sig").mapInArrow(_spread(plan), "key long, node long")
+    members = written(rows.join(_buckets(rows), "key").select("key", "node", "pivot"), "members")
 
     star = members.where("node != pivot").select(F.col("node").alias("a"), F.col("pivot").alias("b")).distinct()
-    star = _both(far(star).checkpoint(), nodes.select("node", "sig"), "sig")
-    star = star.mapInArrow(_near(distance), "a long, b long").checkpoint()
-
+    star = written(_both(star, sketches, "sketch").mapInArrow(_near(distance), "a long, b long"), "star")
     wanted = members.select("node").distinct().join(nodes.select("node", "rep", "digest"), "node")
     texts = docs.join(wanted, docs["doc_id"] == wanted["rep"]).select("node", "digest", "text")
-    sets = texts.mapInArrow(_sets, "node long, grams binary").dropDuplicates(["node"]).checkpoint()
-    linked = _both(star, sets, "grams").mapInArrow(_confirm, "a long, b long").checkpoint()
-    labels = components(linked).toDF("node", "label").checkpoint()
+    sets = written(texts.mapInArrow(_sets, "node long, grams binary").dropDuplicates(["node"]), "sets")
+    linked = written(_both(star, sets, "grams").mapInArrow(_confirm, "a long, b long"), "linked")
+    labels = _labels(linked)
 
-    cells = _cells(members, labels)
+    cells = written(_cells(members, labels), "cells")
     groups = max(1, -(-cells.count() // CELL_ROWS))
     group = F.when((F.col("x") == 0) & (F.col("y") == 0), F.pmod(F.xxhash64("key"), F.lit(groups)))
     cells = cells.withColumn("g", F.coalesce(group, F.xxhash64("key", "x", "y")))
-    marks = cells.join(nodes.select("node", "sig"), "node").groupBy("g").applyInPandas(
-        _mark_cells(distance), "key long, x long, y long, node long, side int"
-    ).checkpoint()
-    full = marks.join(labels, "node", "left").join(nodes.select("node", "sig"), "node").join(sets, "node")
-    full = full.select("key", "x", "y", "node", "side", "sig", "grams", F.coalesce("label", "node").alias("label"))
-    groups = max(1, -(-marks.count() // SET_ROWS))
-    group = F.pmod(F.xxhash64("key", "x", "y"), F.lit(groups)).alias("g")
-    more = full.groupBy(group).applyInPandas(_join_cells(distance), "a long, b long")
-    roots = components(linked.unionAll(more).checkpoint()).toDF("node", "root")
+    marks = written(cells.join(sketches, "node").select("*", "sketch.sig").groupBy("g").applyInPandas(
+        _mark_cells(distance, plan), "key long, x long, y long, node long, label long, side int"
+    ), "marks")
+    n_marks = marks.count()
+    if n_marks:
+        group = F.pmod(F.xxhash64("key", "x", "y"), F.lit(-(-n_marks // SET_ROWS))).alias("g")
+        full = marks.join(sketches, "node").select("*", "sketch.sig").join(sets, "node")
+        linked = linked.unionAll(full.groupBy(group).applyInPandas(_join_cells(distance, plan), "a long, b long"))
+    roots = components(linked).toDF("node", "root")
 
     named = nodes.select("node", "rep", "digest").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     lowest = named.groupBy("root").agg(F.min("rep").alias("component_id"))

@@ -17,8 +17,8 @@ found with joins and pre-aggregated minima, cut by checkpoints.
 Defined results: one row per document with its class id (smallest doc_id of the class), its number of links (to other
 texts of Jaccard >= 0.8, counting each different text once) and of copies (other rows' ids with the same words). Null and
 wordless texts have no shingles, hence no links or copies, and are their own class. A document is known by its
-doc_id: rows that repeat an id share one row, by their smallest text digest; rows without an id give
-rows without a class. Other columns are ignored; an empty table gives no rows.
+doc_id and text: rows alike in both share one row; different texts under one id are judged each on its own, with a row
+each. Rows without an id give rows without a class. Other columns are ignored; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -33,7 +33,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tastegraph.llm.text import numbered, short_batches, take_columns
+from tastegraph.llm.text import numbered, short_batches, take_columns, written
 
 SHINGLE = 5
 THRESHOLD = (4, 5)  # 0.8 as a fraction, compared in whole numbers
@@ -105,10 +105,11 @@ def _signatures(bands: int):
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column("doc_id"),
+                    batch.column("h"),
                     pa.array(digests, pa.binary()),
                     pa.ListArray.from_arrays(pa.array(offsets), pa.array(values, pa.int64())),
                 ],
-                names=["doc_id", "digest", "bands"],
+                names=["doc_id", "h", "digest", "bands"],
             )
 
     return run
@@ -203,8 +204,7 @@ def components(edges: DataFrame) -> DataFrame:
     minimum among them, found by pre-aggregation; no node's neighbours are ever collected.
     """
     edges = edges.where("a != b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
-    edges = edges.checkpoint()
-    mark = None
+    edges = written(edges, "edges")
     while True:
         both = edges.unionAll(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
         low = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m"))
@@ -214,24 +214,30 @@ def components(edges: DataFrame) -> DataFrame:
         small = large.join(low, "a").select(F.col("b").alias("x"), F.col("m"), "a")
         small = small.select(F.explode(F.array(F.struct(F.col("x").alias("a"), F.col("m").alias("b")),
                                                F.struct(F.col("a"), F.col("m").alias("b")))).alias("e"))
-        edges = small.select("e.a", "e.b").where("a != b").distinct().checkpoint()
-        seen = edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
-        if tuple(seen) == mark:
+        edges = written(small.select("e.a", "e.b").where("a != b").distinct(), "edges")
+        # Done when every node has one edge and leads to a node without any.
+        own = edges.groupBy("a").agg(F.count(F.lit(1)).alias("n"))
+        up = own.select(F.col("a").alias("b"), F.lit(1).alias("on"))
+        left = edges.join(up, "b", "left_semi").select(F.lit(1)).unionAll(own.where("n > 1").select(F.lit(1)))
+        if left.isEmpty():
             return edges.select(F.col("a").alias("node"), F.col("b").alias("root"))
-        mark = tuple(seen)
 
 
-def near_duplicates(documents: DataFrame, target_recall: float = TARGET_RECALL) -> DataFrame:
-    """(doc_id, class_id, n_links, n_copies) for every document."""
+def _classes(documents: DataFrame, target_recall: float) -> DataFrame:
+    """(doc_id, h, class_id, n_links, n_copies, is_head) for every doc_id and text, known by the text's hash ``h``.
+
+    A class's head is its smallest (doc_id, h)."""
     bands = bands_for(target_recall)
     docs = take_columns(short_batches(documents), {"doc_id": "bigint", "text": "string"})
+    docs = docs.withColumn("h", F.xxhash64("text"))
     known = docs.where(F.col("doc_id").isNotNull())
-    marked = known.mapInArrow(_signatures(bands), "doc_id long, digest binary, bands array<long>")
-    marked = marked.groupBy("doc_id").agg(F.min(F.struct("digest", "bands")).alias("s"))
-    marked = marked.select("doc_id", "s.digest", "s.bands").checkpoint()
+    marked = known.mapInArrow(_signatures(bands), "doc_id long, h long, digest binary, bands array<long>")
+    marked = marked.groupBy("doc_id", "h").agg(F.min(F.struct("digest", "bands")).alias("s"))
+    marked = marked.select("doc_id", "h", "s.digest", "s.bands").checkpoint()
     reps = marked.where("digest is not null").groupBy("digest").agg(
-        F.min("doc_id").alias("rep"), F.count(F.lit(1)).alias("n"), F.first("bands").alias("bands")
+        F.min(F.struct("doc_id", "h")).alias("head"), F.count(F.lit(1)).alias("n"), F.first("bands").alias("bands")
     )
+    reps = reps.withColumn("rep", F.monotonically_increasing_id()).checkpoint()  # numbers that stay
     rows = reps.select("rep", F.explode("bands").alias("key"))
     # Buckets of two or more; of those with the same members only one.
     h = F.xxhash64("rep")
@@ -242,9 +248,10 @@ def near_duplicates(documents: DataFrame, target_recall: float = TARGET_RECALL)
     buckets = buckets.groupBy("n", "x", "y", "low", "high").agg(F.min("key").alias("key")).select("key", "n")
     members = rows.join(buckets, "key").groupBy("rep").agg(F.collect_list(F.struct("key", "n")).alias("in"))
     members = members.checkpoint()  # at most ``bands`` buckets a representative
-    keys = members.select("rep", F.transform("in", lambda b: b["key"]).alias("keys"), "in")
-    texts = docs.join(keys, docs["doc_id"] == keys["rep"]).select("rep", "text", "keys", "in")
-    sets = texts.select("rep", "keys", "text").mapInArrow(_sets, "rep long, keys array<long>, grams binary")
+    keys = members.select("rep", F.transform("in", lambda b: b["key"]).alias("keys"))
+    keys = keys.join(reps.select("rep", F.col("head.doc_id").alias("doc_id"), F.col("head.h").alias("h")), "rep")
+    texts = docs.join(keys, ["doc_id", "h"]).select("rep", "keys", "text")
+    sets = texts.mapInArrow(_sets, "rep long, keys array<long>, grams binary")
     sizes = members.select("rep", F.explode("in").alias("b")).select("rep", "b.key", "b.n")
     n_rows = sizes.count()
     groups = max(1, -(-n_rows // CELL_ROWS))
@@ -267,26 +274,39 @@ def near_duplicates(documents: DataFrame, target_recall: float = TARGET_RECALL)
     checked = full.groupBy("c", "i", "j").applyInPandas(_verify, "rep long, links long, root long").checkpoint()
     links = checked.groupBy("rep").agg(F.sum("links").alias("links"))
     roots = components(checked.select(F.col("rep").alias("a"), F.col("root").alias("b")))
-    classes = reps.select("digest", "rep", "n").join(links, "rep", "left")
-    classes = classes.join(roots.withColumnRenamed("node", "rep"), "rep", "left")
-    classes = classes.select("digest", F.coalesce("root", "rep").alias("class_id"), "links", "n")
-    out = marked.select("doc_id", "digest").join(classes, "digest", "left").select(
+    classes = reps.select("digest", "rep", "n", "head").join(links, "rep", "left")
+    classes = classes.join(roots.withColumnRenamed("node", "rep"), "rep", "left").withColumn("root", F.coalesce("root", "rep"))
+    first = classes.groupBy("root").agg(F.min("head").alias("first"))
+    classes = classes.join(first, "root").select("digest", "first", "links", "n")
+    out = marked.select("doc_id", "h", "digest").join(classes, "digest", "left")
+    return out.select(
         "doc_id",
-        F.coalesce("class_id", "doc_id").alias("class_id"),
+        "h",
+        F.coalesce("first.doc_id", "doc_id").alias("class_id"),
         F.coalesce("links", F.lit(0).cast("long")).alias("n_links"),
         F.coalesce(F.col("n") - 1, F.lit(0).cast("long")).alias("n_copies"),
+        F.coalesce(F.col("first") == F.struct("doc_id", "h"), F.lit(True)).alias("is_head"),
     )
-    lost = docs.where(F.col("doc_id").isNull()).select(
-        "doc_id", F.lit(None).cast("long").alias("class_id"), F.lit(0).cast("long").alias("n_links"),
-        F.lit(0).cast("long").alias("n_copies"),
+
+
+def near_duplicates(documents: DataFrame, target_recall: float = TARGET_RECALL) -> DataFrame:
+    """(doc_id, class_id, n_links, n_copies) for every document."""
+    cols = ["doc_id", "class_id", "n_links", "n_copies"]
+    none = F.lit(0).cast("long")
+    lost = take_columns(documents, {"doc_id": "bigint"}).where(F.col("doc_id").isNull()).select(
+        "doc_id", F.lit(None).cast("long").alias("class_id"), none.alias("n_links"), none.alias("n_copies")
     )
-    return out.unionAll(lost)
+    return _classes(documents, target_recall).select(*cols).unionAll(lost)
 
 
-def keep_one(documents: DataFrame) -> DataFrame:
-    """One row of ``documents`` for each class: that of the class id. Rows without an id stay."""
+def keep_one(documents: DataFrame, target_recall: float = TARGET_RECALL) -> DataFrame:
+    """One row of ``documents`` for each class: its head's. Rows without an id stay."""
     cols = documents.columns
-    rows, key = numbered(documents), f"c{cols.index('doc_id')}"
-    heads = near_duplicates(documents).where("doc_id = class_id").select(F.col("doc_id").alias("head"))
-    kept = rows.join(heads, F.col(key).cast("bigint") == F.col("head")).drop("head")
-    return kept.dropDuplicates([key]).unionAll(rows.where(F.col(key).isNull())).toDF(*cols)
+    rows, key, text = numbered(documents), f"c{cols.index('doc_id')}", f"c{cols.index('text')}"
+    heads = _classes(documents, target_recall).where("is_head").select(F.col("doc_id").alias("head"), "h")
+    named = rows.withColumns({"head": F.col(key).cast("bigint"), "h": F.xxhash64(F.col(text).cast("string"))})
+    kept = named.join(heads, ["head", "h"])
+    # Rows alike in id and text: the one of the smallest hash of all columns.
+    row = F.struct(*rows.columns)
+    kept = kept.groupBy("head", "h").agg(F.min_by(row, F.xxhash64(*rows.columns)).alias("row")).select("row.*")
+    return kept.unionAll(rows.where(F.col(key).isNull())).toDF(*cols)
