@@ -406,10 +406,11 @@ def q_train_test_split(spark, sf_dir):
 @register("lookup_itemcf", Q.LOOKUP_ITEMCF)
 def q_lookup_itemcf(spark, sf_dir):
     """The first n entries of stored lists, for the products of one size."""
-    path = scratch_path(spark, "itemcf-lists")
-    sinks.write_overwrite(itemcf.itemcf_top(tables.ratings(spark, sf_dir), k=10), path)
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    lists = itemcf.itemcf_top(tables.ratings(spark, sf_dir), k=10)
+    stored = serving.store_lists(lists, scratch_path(spark, "itemcf-lists"), "productId", buckets)
     keys = tables.read_table(spark, sf_dir, "part").where("p_size = 1").select(F.col("p_partkey").cast("int").alias("productId"))
-    return serving.lookup(spark.read.parquet(path), keys, "productId", LOOKUP_N)
+    return serving.lookup(spark.table(stored), keys, "productId", LOOKUP_N)
 
 
 def _with_bad_rows(spark, sf_dir, path):
