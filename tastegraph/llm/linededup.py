@@ -12,8 +12,8 @@ repeated pairs, and pair texts only for the comparison. A pair with very many
 copies is counted by partial aggregation, and its copies meet the one first place in joins that
 Spark can split.
 
-Defined results: null and empty texts come back unchanged; a document is known by its doc_id, so rows that repeat an
-id lose the same lines; rows without an id come after all others and never lose lines; an
+Defined results: null and empty texts come back unchanged; a document is known by its doc_id and text: different texts
+under one id are judged each on its own (the smaller hash counts as earlier), rows alike in both lose the same lines; rows without an id come after all others and never lose lines; an
 empty table gives an empty one; other columns pass through ``dedup_lines`` untouched.
 """
 
@@ -32,11 +32,6 @@ from tastegraph.llm.text import numbered, short_batches, take_columns
 SLOTS = 1 << 25  # bits of the bitmap that keeps texts without repeated pairs out of a shuffle
 
 
-def chunks(lines: list[str]) -> list[tuple[int, int]]:
-    """(first line, line after the last) of each unit that goes or stays: single lines."""
-    return [(i, i + 1) for i in range(len(lines))]
-
-
 def _pairs(lines: list[str]) -> Iterator[int]:
     """The first line of each pair of adjacent lines that may be removed."""
     blank = [not line or line.isspace() for line in lines]
@@ -45,23 +40,6 @@ def _pairs(lines: list[str]) -> Iterator[int]:
             yield i
 
 
-def _multi_line(text: str) -> Iterator[tuple[int, str]]:
-    """The rule line by line: (line, claim), where a line goes if one of its claims was made at an earlier place.
-
-    Both lines of a pair make claims of their own; of a pair that overlaps its first place in the text, the third of
-    three equal lines claims what the first place claims where no third line follows."""
-    lines, first = text.split("\n"), {}
-    for i in _pairs(lines):
-        body = f"{lines[i]}\n{lines[i + 1]}"
-        at = first.setdefault(body, i)
-        if at == i - 1:
-            continue
-        yield i, f"upper\n{body}"
-        yield i + 1, f"lower\n{body}"
-        if at == i and lines[i] == lines[i + 1]:
-            yield (i + 2 if lines[i + 2 : i + 3] == [lines[i]] else i), f"third\n{body}"
-
-
 def _digests(lines: list[str]) -> list[bytes]:
     """The digest of each line and the next, rolled from the digests of both."""
     own = [hashlib.blake2b(line.encode(), digest_size=16).digest() for line in lines]
@@ -69,41 +47,41 @@ def _digests(lines: list[str]) -> list[bytes]:
 
 
 def _places(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(digest, doc_id, no) of pairs of lines."""
+    """(digest, doc_id, h, no) of pairs of lines."""
     for batch in batches:
-        digests, ids, nos = [], [], []
-        for i, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+        digests, ids, texts, nos = [], [], [], []
+        for i, h, text in zip(*(batch.column(k).to_pylist() for k in range(3))):
             lines = text.split("\n")
             named = _digests(lines)
             for no in _pairs(lines):
                 digests.append(named[no])
                 ids.append(i)
+                texts.append(h)
                 nos.append(no)
         yield pa.RecordBatch.from_arrays(
-            [pa.array(digests, pa.binary()), pa.array(ids, pa.int64()), pa.array(nos, pa.int32())],
-            names=["digest", "doc_id", "no"],
+            [pa.array(digests, pa.binary()), pa.array(ids, pa.int64()), pa.array(texts, pa.int64()), pa.array(nos, pa.int32())],
+            names=["digest", "doc_id", "h", "no"],
         )
 
 
 def _bodies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(digest, doc_id, no, is_first, body) of the marked pairs of each text."""
+    """(digest, doc_id, h, no, is_first, body) of the marked pairs of each text."""
     for batch in batches:
         rows = []
-        for i, text, marks in zip(*(batch.column(k).to_pylist() for k in range(3))):
+        for i, h, text, marks in zip(*(batch.column(k).to_pylist() for k in range(4))):
             lines = text.split("\n")
             for m in marks:
                 pair = lines[m["no"] : m["no"] + 2]
-                if len(pair) == 2:
-                    rows.append((_digests(pair)[0], i, m["no"], m["is_first"], "\n".join(pair)))
-        cols = list(zip(*rows)) if rows else [()] * 5
-        kinds = [pa.binary(), pa.int64(), pa.int32(), pa.bool_(), pa.string()]
+                rows.append((_digests(pair)[0], i, h, m["no"], m["is_first"], "\n".join(pair)))
+        cols = list(zip(*rows)) if rows else [()] * 6
+        kinds = [pa.binary(), pa.int64(), pa.int64(), pa.int32(), pa.bool_(), pa.string()]
         yield pa.RecordBatch.from_arrays(
-            [pa.array(c, k) for c, k in zip(cols, kinds)], names=["digest", "doc_id", "no", "is_first", "body"]
+            [pa.array(c, k) for c, k in zip(cols, kinds)], names=["digest", "doc_id", "h", "no", "is_first", "body"]
         )
 
 
 def _among(docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """The (doc_id, text) rows whose doc_id is in ``wanted``, and few others: what a bitmap of fixed size lets
+    """The (doc_id, h, text) rows whose doc_id is in ``wanted``, and few others: what a bitmap of fixed size lets
     through. The join that follows is exact; the bitmap spares it the shuffle of all other texts."""
     slot = lambda: F.pmod(F.xxhash64("doc_id"), F.lit(SLOTS))
     words = wanted.select(slot().alias("s")).groupBy(F.expr("s div 64").alias("at")).agg(
@@ -115,32 +93,33 @@ def _among(docs: DataFrame, wanted: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            s = batch.column(2).to_numpy()
-            yield batch.filter(pa.array((shared.value[s >> 6] >> (s & 63)) & 1 == 1)).select([0, 1])
+            s = batch.column(3).to_numpy()
+            yield batch.filter(pa.array((shared.value[s >> 6] >> (s & 63)) & 1 == 1)).select([0, 1, 2])
 
     return docs.withColumn("slot", slot()).mapInArrow(run, docs.schema)
 
 
 def repeated_chunks(documents: DataFrame) -> DataFrame:
-    """(doc_id, nos): the first lines of the pairs to remove from each document that has any, bytes compared."""
+    """(doc_id, h, nos): the first lines of the pairs to remove from each doc_id and text (of hash ``h``), bytes compared."""
     docs = take_columns(short_batches(documents), {"doc_id": "bigint", "text": "string"}).dropna()
-    docs = docs.where(F.instr("text", "\n") > 0)
+    docs = docs.where(F.instr("text", "\n") > 0).select("doc_id", F.xxhash64("text").alias("h"), "text")
     # Read twice rather than kept: a place takes more room than its share of the text is worth.
-    places = docs.mapInArrow(_places, "digest binary, doc_id long, no int")
-    place = F.struct("doc_id", "no")
+    places = docs.mapInArrow(_places, "digest binary, doc_id long, h long, no int")
+    place = F.struct("doc_id", "h", "no")
     firsts = places.groupBy("digest").agg(F.count(F.lit(1)).alias("n"), F.min(place).alias("first"))
     firsts = firsts.where(F.col("n") > 1).select("digest", "first")
-    overlaps = (F.col("doc_id") == F.col("first.doc_id")) & (F.col("no") == F.col("first.no") + 1)
-    marks = places.join(firsts, "digest").where(~overlaps).select("doc_id", "no", (place == F.col("first")).alias("is_first"))
-    marks = marks.distinct().groupBy("doc_id").agg(F.collect_list(F.struct("no", "is_first")).alias("marks"))
+    after_first = F.struct(F.col("first.doc_id"), F.col("first.h"), (F.col("first.no") + 1).alias("no"))
+    marks = places.join(firsts, "digest").where(place != after_first)
+    marks = marks.select("doc_id", "h", "no", (place == F.col("first")).alias("is_first"))
+    marks = marks.distinct().groupBy("doc_id", "h").agg(F.collect_list(F.struct("no", "is_first")).alias("marks"))
     marks = marks.checkpoint()
-    bodies = _among(docs, marks).join(marks, "doc_id").select("doc_id", "text", "marks").mapInArrow(
-        _bodies, "digest binary, doc_id long, no int, is_first boolean, body string"
+    bodies = _among(docs, marks).join(marks, ["doc_id", "h"]).select("doc_id", "h", "text", "marks").mapInArrow(
+        _bodies, "digest binary, doc_id long, h long, no int, is_first boolean, body string"
     )
     bodies = bodies.checkpoint()  # both sides of the comparison come from it
     first = bodies.where("is_first").select("digest", F.col("body").alias("first_body")).distinct()
     copies = bodies.where("not is_first").join(first, "digest").where(F.col("body") == F.col("first_body"))
-    return copies.select("doc_id", "no").distinct().groupBy("doc_id").agg(F.collect_list("no").alias("nos"))
+    return copies.select("doc_id", "h", "no").distinct().groupBy("doc_id", "h").agg(F.collect_list("no").alias("nos"))
 
 
 def without_chunks(text: str, nos: list[int]) -> str:
@@ -149,13 +128,20 @@ def without_chunks(text: str, nos: list[int]) -> str:
     return "\n".join(line for no, line in enumerate(text.split("\n")) if no not in gone)
 
 
-def dedup_lines(documents: DataFrame, text_col: str = "text") -> DataFrame:
+def _with_repeats(documents: DataFrame) -> tuple[DataFrame, str]:
+    """``documents`` with columns c0, c1, ... and the lines to remove in ``nos`` (null: none); and the column of the text."""
+    cols = documents.columns
+    key, text = f"c{cols.index('doc_id')}", f"c{cols.index('text')}"
+    gone = repeated_chunks(documents).select(F.col("doc_id").alias("gone_id"), F.col("h").alias("gone_h"), "nos")
+    same = (F.col(key).cast("bigint") == F.col("gone_id")) & (F.xxhash64(F.col(text).cast("string")) == F.col("gone_h"))
+    return numbered(documents).join(gone, same, "left").drop("gone_id", "gone_h"), text
+
+
+def dedup_lines(documents: DataFrame) -> DataFrame:
     """``documents`` with repeated runs of lines taken out of ``text`` (same columns and rows)."""
     cols = documents.columns
-    at, key = cols.index(text_col), f"c{cols.index('doc_id')}"
-    gone = repeated_chunks(documents).select(F.col("doc_id").alias("gone_id"), "nos")
-    rows = numbered(documents)
-    joined = rows.join(gone, F.col(key).cast("bigint") == F.col("gone_id"), "left").drop("gone_id")
+    joined, text = _with_repeats(documents)
+    at = int(text[1:])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -179,14 +165,27 @@ def dedup_documents(documents: DataFrame) -> DataFrame:
 
 
 def line_report(documents: DataFrame) -> DataFrame:
-    """(doc_id, n_lines, n_removed, kept_sha256) for every document; null text: 0 lines, null digest."""
+    """(doc_id, n_lines, n_removed, kept_sha256) for every document; null text: 0 lines, null digest.
+
+    What follows a last line break is a line, but when it goes with the text before, it is not counted as removed."""
     docs = take_columns(short_batches(documents), {"doc_id": "bigint", "text": "string"})
-    docs = docs.withColumn("n_lines", F.coalesce(F.size(F.split("text", "\n")), F.lit(0)).cast("long"))
-    out = dedup_lines(docs)
-    left = F.when(F.col("text").isNull() | (F.col("text") == ""), F.lit(0)).otherwise(F.size(F.split("text", "\n")))
-    return out.select(
-        "doc_id",
-        "n_lines",
-        F.when(F.col("n_lines") <= 1, F.lit(0)).otherwise(F.col("n_lines") - left).cast("long").alias("n_removed"),
-        F.sha2("text", 256).alias("kept_sha256"),
-    )
+    joined, text = _with_repeats(docs)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = []
+            for t, nos in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist()):
+                kept = t if t is None else without_chunks(t, nos or [])
+                n = 0 if t is None else t.count("\n") + 1
+                gone = {*(nos or []), *(no + 1 for no in nos or [])}
+                if t and t.endswith("\n"):
+                    gone.discard(n - 1)
+                rows.append((n, len(gone), kept if kept is None else hashlib.sha256(kept.encode()).hexdigest()))
+            cols = list(zip(*rows)) if rows else [()] * 3
+            kinds = [pa.int64(), pa.int64(), pa.string()]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), *(pa.array(c, k) for c, k in zip(cols, kinds))],
+                names=["doc_id", "n_lines", "n_removed", "kept_sha256"],
+            )
+
+    return joined.select("c0", text, "nos").mapInArrow(run, "doc_id long, n_lines long, n_removed long, kept_sha256 string")
