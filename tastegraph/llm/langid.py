@@ -107,7 +107,11 @@ def identify(
     """(doc_id, held_out, lang_pred, score) for every document."""
     docs = take_columns(short_batches(documents), {"doc_id": "bigint", "text": "string"})
     some = training_sample(documents, per_language, sample_rows)
-    taught = docs.join(F.broadcast(some), "doc_id").select("lang", "text")
+    taught = docs.join(F.broadcast(some), "doc_id")
+    # Ids that repeat bring more rows than ids: the bounds hold for rows, before any reaches the driver.
+    own = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id", "text"))
+    taught = taught.withColumn("turn", F.row_number().over(own)).where(F.col("turn") <= per_language)
+    taught = taught.orderBy("turn", "lang").limit(sample_rows).select("lang", "text")
     sample = taught.mapInArrow(_bits, "lang string, bits binary").toPandas()
     # A fixed order that deals the languages in turn, whatever order Spark returned.
     sample = sample.sort_values(["lang", "bits"], kind="stable")

@@ -1,8 +1,11 @@
 """Language id and toxicity: held-out accuracy and defined results."""
 
 import itertools
+import math
 import zlib
+from collections import Counter, defaultdict
 
+import numpy as np
 import pytest
 
 from tastegraph.llm import langid, toxicity
@@ -104,3 +107,99 @@ def test_large_models_are_joined(spark, model, monkeypatch):
     a, b = (sorted(((r.doc_id or -1, r.score) for r in toxicity.score(rows, m).collect())) for m in (local, joined))
     assert [i for i, _ in a] == [i for i, _ in b]
     assert [x for _, x in a] == pytest.approx([x for _, x in b], abs=1e-6)
+
+
+def test_language_id_equals_kernel_ridge_on_sets(spark):
+    """Kernel, Nystroem map and ridge regression recomputed from sets of n-grams."""
+    words = {"en": "the cat and dog of house with", "de": "der hund und die katze das haus mit", "fr": "le chat et la maison avec un"}
+    rng = np.random.default_rng(3)
+    rows = [(i, " ".join(rng.choice(w.split(), 8)), k) for i, (k, w) in enumerate(list(words.items()) * 30)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    got = {r.doc_id: r for r in langid.identify(df).collect()}
+    grams = lambda t: frozenset(langid.presence(t).tolist())
+    kernel = lambda a, b: len(a & b) / math.sqrt(len(a) * len(b))
+    taught = [(k, grams(t)) for i, t, k in rows if zlib.crc32(str(i).encode()) % 3 != 1]
+    bits = lambda s: bytes(np.packbits(np.isin(np.arange(1 << langid.BITS), list(s))))
+    turns, order = Counter(), []
+    for k, s in sorted(taught, key=lambda r: (r[0], bits(r[1]))):
+        order.append((turns[k], k, s))
+        turns[k] += 1
+    taught = [(k, s) for _, k, s in sorted(order, key=lambda r: r[:2])]
+    marks = [s for _, s in taught[: langid.LANDMARKS]]
+    kzz = np.array([[kernel(a, b) for b in marks] for a in marks])
+    values, vectors = np.linalg.eigh(kzz)
+    ok = values > 1e-6 * values.max()
+    root = vectors[:, ok] / np.sqrt(values[ok])
+    phi = np.array([[kernel(s, z) for z in marks] for _, s in taught]) @ root
+    kinds = sorted(words)
+    y = np.array([[1.0 if k == kind else -1.0 for kind in kinds] for k, _ in taught])
+    beta = np.linalg.solve(phi.T @ phi + langid.RIDGE * len(taught) * np.eye(phi.shape[1]), phi.T @ (y - y.mean(0)))
+    for i, t, _ in rows:
+        score = np.array([kernel(grams(t), z) for z in marks]) @ root @ beta + y.mean(0)
+        assert got[i].lang_pred == kinds[int(score.argmax())]
+        assert got[i].score == pytest.approx(min(1, max(0, (score.max() + 1) / 2)), abs=2e-3)
+
+
+def test_the_sample_is_bounded_in_rows(spark, monkeypatch):
+    rows = [(1, f"the cat and dog {i}", "en") for i in range(400)] + [(4, "der hund und die katze", "de")] * 300
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    seen, fit = [], langid.fit
+    monkeypatch.setattr(langid, "fit", lambda bits, langs: seen.append(Counter(langs)) or fit(bits, langs))
+    assert langid.identify(df, per_language=20, sample_rows=30).count() == 700
+    assert all(n <= 20 for n in seen[0].values()) and sum(seen[0].values()) <= 30
+
+
+def kneser_ney(plain, toxic):
+    """log(p_toxic / p_plain) of a word, by the textbook recursion over all counts."""
+    d, counts = toxicity.DISCOUNT, {5: defaultdict(lambda: [0, 0])}
+    for cls, texts in enumerate((plain, toxic)):
+        for w in " ".join(texts).lower().split():
+            for g in toxicity._grams(w):
+                counts[5][g][cls] += 1
+    for n in (5, 4):
+        counts[n - 1] = defaultdict(lambda: [0, 0])
+        for g, c in counts[n].items():
+            for cls in (0, 1):
+                counts[n - 1][g[1:]][cls] += c[cls] > 0
+    both = {3: Counter(list(counts[3]))}
+    for n in (3, 2):
+        both[n - 1] = Counter(g[1:] for g in both[n])
+
+    def shared(g):
+        if len(g) == 1:
+            return (both[1][g] + 1) / (sum(both[1].values()) + len(both[1]) + 1)
+        follow = [c for h, c in both[2].items() if h[0] == g[0]]
+        return max(both[2][g] - d, 0) / sum(follow) + d * len(follow) / sum(follow) * shared(g[1:])
+
+    def rest(ctx, cls):
+        follow = [c[cls] for h, c in counts[len(ctx) + 1].items() if h[:-1] == ctx and c[cls]]
+        return (sum(follow), d * len(follow) / sum(follow)) if follow else (0, 1.0)
+
+    def p(g, cls):
+        if len(g) == toxicity.SHARED:
+            return shared(g)
+        n, left = rest(g[:-1], cls)
+        return (max(counts[len(g)][g][cls] - d, 0) / n if n else 0.0) + left * p(g[1:], cls)
+
+    def ratio(g):
+        if len(g) == toxicity.SHARED:
+            return 0.0
+        if g in counts[len(g)]:
+            return math.log(p(g, 1) / p(g, 0))
+        return math.log(rest(g[:-1], 1)[1] / rest(g[:-1], 0)[1]) + ratio(g[1:])
+
+    return lambda word: sum(map(ratio, toxicity._grams(word)))
+
+
+def test_word_ratios_equal_kneser_ney_by_hand(spark):
+    rng = np.random.default_rng(7)
+    plain = [" ".join(rng.choice("good calm word text hello there worded".split(), 6)) for _ in range(40)]
+    toxic = [" ".join(rng.choice("vile word trash texts there mean wording".split(), 6)) for _ in range(25)]
+    rows = list(enumerate(plain)) + [(1000 + i, t) for i, t in enumerate(toxic)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, int(i >= 1000)) for i, _ in rows], "doc_id long, toxic int")
+    learned = [(i, t) for i, t in rows if zlib.crc32(str(i).encode()) % 3 != 1]
+    truth = kneser_ney([t for i, t in learned if i < 1000], [t for i, t in learned if i >= 1000])
+    scorer = toxicity._Scorer(toxicity.train(df, labels))
+    for w in "good calm word text vile trash wording unseen zzz words vi textile thermal é".split():
+        assert scorer[w] == pytest.approx(truth(w), abs=1e-9), w
