@@ -240,6 +240,19 @@ SELECT CAST(event_id AS BIGINT) AS event_id, CAST(event_id % 10 + 1 AS INTEGER)
 FROM events"""
 
 
+TIMESTAMPS_IN_SECONDS = with_(RATING_EVENTS) + """
+SELECT seq, CASE WHEN seq % 2 = 0 THEN "timestamp" * 1000 + seq % 1000 ELSE "timestamp" END AS raw, "timestamp" FROM rating_events"""
+
+ITEMCF_RECS_MAP = with_(HISTORY, COOC, itemcf_lists(10)) + f""",
+newest AS (SELECT userId, max(productId) FILTER (WHERE pos = 1) AS productId,
+                  coalesce(max(productId) FILTER (WHERE pos = 2), max(productId) FILTER (WHERE pos = 1)) AS otherId
+           FROM (SELECT h.*, row_number() OVER (PARTITION BY userId ORDER BY {NEWEST_FIRST}) AS pos FROM history h)
+           WHERE pos <= 2 GROUP BY userId)
+SELECT n.userId, n.productId, n.otherId, i.score AS sim
+FROM newest n JOIN (SELECT DISTINCT productId FROM ratings) r ON r.productId = n.productId
+LEFT JOIN itemcf i ON i.productId = n.productId AND i.otherId = n.otherId"""
+
+
 # --- real-time scoring over ItemCF top-20 lists ------------------------------------
 def realtime_ctes(threshold: float, recent_k: int = 21, limit: int = 20) -> str:
     return f"""

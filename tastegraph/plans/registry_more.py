@@ -152,7 +152,7 @@ def itemcf_sims(spark, sf_dir, k: int = REALTIME_SIM_LIST):
 @register("candidates", Q.CANDIDATES)
 def q_candidates(spark, sf_dir):
     trig = realtime.newest_event_per_user(tables.rating_events(spark, sf_dir))
-    hist = tables.rating_history(spark, sf_dir)
+    hist = tables.rating_history(spark, sf_dir, of_users=trig)
     return realtime.candidates(trig, itemcf_sims(spark, sf_dir), hist).select(
         "userId", "rank", "productId", round6("sim").alias("sim")
     )
@@ -161,10 +161,28 @@ def q_candidates(spark, sf_dir):
 @register("realtime_scores", Q.REALTIME_SCORES)
 def q_realtime_scores(spark, sf_dir):
     trig = realtime.newest_event_per_user(tables.rating_events(spark, sf_dir))
-    hist = tables.rating_history(spark, sf_dir)
+    hist = tables.rating_history(spark, sf_dir, of_users=trig)
     return realtime.recommend(trig, itemcf_sims(spark, sf_dir), hist, threshold=REALTIME_ITEMCF_THRESHOLD)
 
 
+@register("timestamps_in_seconds", Q.TIMESTAMPS_IN_SECONDS)
+def q_timestamps_in_seconds(spark, sf_dir):
+    """epoch values of which every other one is in milliseconds."""
+    events = tables.rating_events(spark, sf_dir)
+    raw = F.when(F.col("seq") % 2 == 0, F.col("timestamp") * 1000 + F.col("seq") % 1000).otherwise(F.col("timestamp"))
+    return events.select("seq", raw.alias("raw")).select("seq", "raw", S.seconds("raw").alias("timestamp"))
+
+
+@register("itemcf_recs_map", Q.ITEMCF_RECS_MAP)
+def q_itemcf_recs_map(spark, sf_dir):
+    """stored lists as maps, looked up for every rated pair of products of a user's newest two ratings."""
+    lists = itemcf.itemcf_recs(tables.ratings(spark, sf_dir), k=10).select("productId", S.recs_to_map("recs").alias("sims"))
+    newest = R.recent_k(tables.rating_history(spark, sf_dir), 2).groupBy("userId").agg(
+        F.max_by("productId", -F.col("pos")).alias("productId"), F.max_by("productId", "pos").alias("otherId")
+    )
+    return newest.join(lists, "productId").select("userId", "productId", "otherId", F.col("sims")[F.col("otherId")].alias("sim"))
+
+
 # --- served queries -------------------------------------------------------------
 from tastegraph.operators import stats  # noqa: E402
 from tastegraph.plans import serving  # noqa: E402

@@ -43,9 +43,13 @@ def _epoch(df: DataFrame, c: str):
     return S.epoch_seconds(F.col(c), df.schema[c].dataType)
 
 
-def ratings(spark: SparkSession, base: str) -> DataFrame:
-    """Stored ratings (userId, productId, score, timestamp)."""
+def ratings(spark: SparkSession, base: str, of_users: DataFrame | None = None) -> DataFrame:
+    """Stored ratings (userId, productId, score, timestamp); with ``of_users`` (userId) those of these users only, so that
+    other users' orders never reach the join with their lines."""
     orders = read_table(spark, base, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
+    if of_users is not None:
+        wanted = of_users.select(F.col("userId").alias("wanted_user")).distinct()
+        orders = orders.join(wanted, F.col("o_custkey").cast("int") == F.col("wanted_user"), "left_semi")
     lines = read_table(spark, base, "lineitem").select("l_orderkey", "l_partkey", "l_quantity")
     return lines.join(orders, lines.l_orderkey == orders.o_orderkey).select(
         F.col("o_custkey").cast("int").alias("userId"),
@@ -91,9 +95,9 @@ def rating_events(spark: SparkSession, base: str) -> DataFrame:
     )
 
 
-def rating_history(spark: SparkSession, base: str) -> DataFrame:
-    """Stored ratings plus rating events, with an arrival sequence (-1 for stored rows)."""
-    stored = ratings(spark, base).withColumn("seq", F.lit(-1).cast("long"))
+def rating_history(spark: SparkSession, base: str, of_users: DataFrame | None = None) -> DataFrame:
+    """Stored ratings plus rating events, with an arrival sequence (-1 for stored rows); of some users only, if given."""
+    stored = ratings(spark, base, of_users).withColumn("seq", F.lit(-1).cast("long"))
     return stored.unionByName(rating_events(spark, base))
 
 
