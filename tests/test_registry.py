@@ -5,6 +5,7 @@ from conftest import SF_SMALL
 
 import __spark_entry__ as E
 from oracle_check import compare, duck
+from tastegraph.plans import registry
 
 
 def test_entry_smoke(spark):
@@ -19,26 +20,7 @@ def test_register_consistent():
     assert len(qs) >= 40
 
 
-@pytest.mark.parametrize(
-    "name",
-    [
-        "rate_more_products",
-        "rate_more_recently_products",
-        "average_products",
-        "cooccurrence_counts",
-        "itemcf_top10",
-        "itemcf_recs_array",
-        "content_similar_exact",
-        "candidates",
-        "realtime_scores",
-        "served_hot",
-        "served_stream",
-        "user_ids",
-        "rating_latest",
-        "queue_items",
-        "load_products_text",
-    ],
-)
+@pytest.mark.parametrize("name", sorted(registry.oracle_sql()))
 def test_oracle_sf0001(spark, name):
     res = compare(spark, SF_SMALL, name, duck(SF_SMALL))
     assert res["status"] == "OK", res
