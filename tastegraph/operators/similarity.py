@@ -33,7 +33,8 @@ from tastegraph.session import cut_lineage
 
 # Defaults sized for a large cluster; tests pass small values to make many cells.
 PAIRS_PER_TASK = 2_000_000  # join rows one task may produce; a key whose pairs exceed it is split into cells
-PAIRS_PER_CELL = 4_096  # candidate pairs that one cell of the verifying join holds, on average
+CELL_ENTRIES = 2_000_000  # vector entries that one cell of the verifying join is sent, at most on average
+MOST_PAIRS = 65_536  # candidate pairs that it holds, on average
 BOUND_SLACK = 1e-9  # bounds are sums of rounded doubles; pairs this close below the threshold are verified too
 DENSE_BLOCK_ROWS = 2_048  # vectors per block in the dense strategy
 DENSE_CLUSTERS = 256  # centres whose radii decide which blocks meet, at most
@@ -174,30 +175,33 @@ def _exact_products(key, pairs: pd.DataFrame, vectors: pd.DataFrame) -> pd.DataF
     weights, ends = np.concatenate(vectors["ws"].to_list()), np.cumsum(sizes)
     dense, out = np.zeros(int(terms.max()) + 1), np.zeros(len(pairs))
     span = lambda i: slice(ends[i] - sizes[i], ends[i])
-    a, b = pairs["a"].map(at).to_numpy(), pairs["b"].map(at).to_numpy()
+    a, b = (pairs[c].map(at).to_numpy() for c in "ab")
     order = np.argsort(a, kind="stable")
     for block in np.split(order, np.flatnonzero(np.diff(a[order])) + 1):
         own = span(a[block[0]])
         dense[terms[own]] = weights[own]
-        for i in block:
-            other = span(b[i])
-            out[i] = dense[terms[other]] @ weights[other]
+        n = sizes[b[block]]  # the partners' entries, one after the other
+        stops = np.cumsum(n)
+        entries = np.arange(stops[-1]) + np.repeat(ends[b[block]] - stops, n)
+        out[block] = np.add.reduceat(dense[terms[entries]] * weights[entries], stops - n)
         dense[terms[own]] = 0
     return pd.DataFrame({"a": pairs["a"], "b": pairs["b"], "sim": out})
 
 
-def verified_pairs(candidates: DataFrame, index: DataFrame, pairs_per_cell: int = PAIRS_PER_CELL) -> DataFrame:
+def verified_pairs(candidates: DataFrame, index: DataFrame, cell_entries: int = CELL_ENTRIES) -> DataFrame:
     """(a, b, sim) with the exact product of each candidate pair.
 
     Pairs are dealt over a grid of cells by the hashes of both ids; a cell is sent each vector once, however many of
     its pairs name it, and a vector that very many pairs name is spread over a row of cells."""
     candidates = cut_lineage(candidates)
+    entries, distinct = index.agg(F.count(F.lit(1)), F.approx_count_distinct("vid")).first()
+    pairs_per_cell = max(1, min(MOST_PAIRS, cell_entries * max(1, distinct) // (2 * max(1, entries))))
     side = max(1, int(np.ceil(np.sqrt(candidates.count() / pairs_per_cell))))
     cell = [F.pmod(F.xxhash64(c), F.lit(side)).cast("int").alias(n) for c, n in (("a", "i"), ("b", "j"))]
     dealt = candidates.select("a", "b", *cell)
-    named = F.explode(F.array("a", "b")).alias("vid")
+    sides = [dealt.select(F.col("i").alias("to_i"), F.col("j").alias("to_j"), F.col(c).alias("vid")).distinct() for c in "ab"]
     vectors = index.groupBy("vid").agg(F.collect_list("tid").alias("tids"), F.collect_list("w").alias("ws"))
-    sent = dealt.select(F.col("i").alias("to_i"), F.col("j").alias("to_j"), named).distinct().join(vectors, "vid")
+    sent = sides[0].unionAll(sides[1]).distinct().join(vectors, "vid")
     kind = dict(candidates.dtypes)["a"]
     return dealt.groupBy("i", "j").cogroup(sent.groupBy("to_i", "to_j")).applyInPandas(_exact_products, f"a {kind}, b {kind}, sim double")
 

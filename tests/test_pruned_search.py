@@ -39,7 +39,7 @@ def sparse_truth(vectors, threshold):
 
 @pytest.mark.parametrize("threshold,pairs_per_task", [(0.4, 2_000_000), (0.75, 60), (0.0, 500)])
 def test_sparse_cosine_equals_all_pairs(spark, threshold, pairs_per_task, monkeypatch):
-    monkeypatch.setattr(similarity, "PAIRS_PER_CELL", 50)
+    monkeypatch.setattr(similarity, "MOST_PAIRS", 50)
     vectors = postings(random.Random(5), 120, 40, repeat=25)
     rows = [(f"t{t}", i, w) for i, v in vectors.items() for t, w in v.items()]
     df = spark.createDataFrame(rows, "term string, productId int, w double")
