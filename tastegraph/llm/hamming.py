@@ -46,7 +46,8 @@ THRESHOLD = (80, 100)  # least share of the union that the intersection takes
 POSITIONS = 80
 BITS = 16
 TARGET_RECALL = 0.999
-BLOCK = 512  # nodes of one side that meet in a cell, on average
+BLOCK = 512  # nodes of each side that meet in a cell, on average, if both are many
+LONGEST = 8  # times BLOCK: the longest block that fewer nodes than BLOCK meet
 CELL_ROWS = 4096  # rows of small buckets that share a group, on average
 SET_ROWS = 512  # the same where rows bring their full sets
 MIX = (0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93)
@@ -180,15 +181,17 @@ def _near(distance: int):
 
 
 def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(node, grams) of rows (node, digest, text as bytes) whose text has that digest."""
+    """(node, sig, grams) of rows (node, digest, sig, text as bytes) whose text has that digest."""
     for batch in batches:
-        nodes, grams = [], []
-        for node, digest, text in zip(*(batch.column(i).to_pylist() for i in range(3))):
+        nodes, sigs, grams = [], [], []
+        for node, digest, sig, text in zip(*(batch.column(i).to_pylist() for i in range(4))):
             s = shingle_set(text or b"").tobytes()
             if hashlib.blake2b(s, digest_size=16).digest() == digest:
                 nodes.append(node)
+                sigs.append(sig)
                 grams.append(s)
-        yield pa.RecordBatch.from_arrays([pa.array(nodes, pa.int64()), pa.array(grams, pa.binary())], names=["node", "grams"])
+        columns = [pa.array(nodes, pa.int64()), pa.array(sigs, pa.binary()), pa.array(grams, pa.binary())]
+        yield pa.RecordBatch.from_arrays(columns, names=["node", "sig", "grams"])
 
 
 def _confirm(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -288,10 +291,11 @@ def _cells(members: DataFrame, labels: DataFrame) -> DataFrame:
     open_ = share.groupBy("key").agg(
         F.sum("n").alias("n"), F.max("n").alias("top"), F.max_by("label", F.struct("n", "label")).alias("common"), F.count(F.lit(1)).alias("k")
     ).where("k > 1 and n > 2")
-    # Blocks are dealt by hash: BLOCK rows on average.
-    tagged = tagged.join(open_, "key").withColumns(
-        {"xs": F.ceil((F.col("n") - F.col("top")) / BLOCK), "ys": F.ceil(F.col("n") / BLOCK), "hash": F.xxhash64("node")}
-    )
+    # Blocks are dealt by hash. A cell compares BLOCK * BLOCK pairs on average: few asked nodes meet longer blocks, so that
+    # they are copied less.
+    asked, every = F.col("n") - F.col("top"), F.col("n")
+    ys = F.ceil(F.greatest(every * F.least(asked, F.lit(BLOCK)) / BLOCK**2, every / (LONGEST * BLOCK)))
+    tagged = tagged.join(open_, "key").withColumns({"xs": F.ceil(asked / BLOCK), "ys": ys, "hash": F.xxhash64("node")})
     place = lambda x, y, side: F.struct(x.alias("x"), y.alias("y"), F.lit(side).alias("side"))
     upto = lambda n: F.sequence(F.lit(0).cast("long"), F.col(n) - 1)
     asked = F.transform(upto("ys"), lambda y: place(F.pmod("hash", "xs"), y, 0))
@@ -317,9 +321,9 @@ def near_duplicates(documents: DataFrame, target_recall: float = TARGET_RECALL)
 
     star = members.where("node != pivot").select(F.col("node").alias("a"), F.col("pivot").alias("b")).distinct()
     star = written(_both(star, sketches, "sketch").mapInArrow(_near(distance), "a long, b long"), "star")
-    wanted = members.select("node").distinct().join(nodes.select("node", "rep", "digest"), "node")
-    texts = docs.join(wanted, docs["doc_id"] == wanted["rep"]).select("node", "digest", "text")
-    sets = written(texts.mapInArrow(_sets, "node long, grams binary").dropDuplicates(["node"]), "sets")
+    wanted = members.select("node").distinct().join(nodes.select("node", "rep", "digest", "sketch.sig"), "node")
+    texts = docs.join(wanted, docs["doc_id"] == wanted["rep"]).select("node", "digest", "sig", "text")
+    sets = written(texts.mapInArrow(_sets, "node long, sig binary, grams binary").dropDuplicates(["node"]), "sets")
     linked = written(_both(star, sets, "grams").mapInArrow(_confirm, "a long, b long"), "linked")
     labels = _labels(linked)
 
@@ -333,7 +337,7 @@ def near_duplicates(documents: DataFrame, target_recall: float = TARGET_RECALL)
     n_marks = marks.count()
     if n_marks:
         group = F.pmod(F.xxhash64("key", "x", "y"), F.lit(-(-n_marks // SET_ROWS))).alias("g")
-        full = marks.join(sketches, "node").select("*", "sketch.sig").join(sets, "node")
+        full = marks.join(sets, "node")  # signatures and full sets in one join
         linked = linked.unionAll(full.groupBy(group).applyInPandas(_join_cells(distance, plan), "a long, b long"))
     roots = components(linked).toDF("node", "root")
 

@@ -268,3 +268,10 @@ def test_fewer_dimensions_repeated_ids_and_other_columns(spark):
     got = whitening.whiten(df, whitening.fit(df)).orderBy(F.col("vec_id").asc_nulls_last(), "deviation").collect()
     assert [(r.vec_id, r.component, r.n) for r in got] == [(1, 1, 4), (1, 1, 4), (2, 1, 4), (None, 1, 4)]
     assert all(abs(r.explained - 1) < 1e-12 for r in got)
+
+
+def test_few_open_nodes_of_a_large_bucket_are_sent_once(spark):
+    members = spark.range(2000).select(F.lit(1).cast("long").alias("key"), F.col("id").alias("node"))
+    labels = spark.range(1900).select(F.col("id").alias("node"), F.lit(0).cast("long").alias("label"))
+    cells = hamming._cells(members, labels).groupBy("side").count().collect()
+    assert dict(tuple(r) for r in cells) == {0: 100, 1: 2000}  # asked nodes: 400 copies before

@@ -68,7 +68,7 @@ def test_baskets_cut_and_hot_products_dealt_equal_brute_force(spark):
         for (v, q), y in m.items():
             if u == v and u is not None and p != q and None not in (p, q):
                 want[p, q] += x * y
-    got = itemcf.cooccurrence(df, pairs_per_task=40, basket_items=7).collect()
+    got = itemcf.cooccurrence(df, pairs_per_task=200, basket_items=7).collect()
     assert {(r.product1, r.product2): (r.cocount, r.count1, r.count2) for r in got} == {k: (c, n[k[0]], n[k[1]]) for k, c in want.items()}
     assert len(got) == len(want)
 
