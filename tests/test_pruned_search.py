@@ -106,6 +106,45 @@ def test_dense_blocks_too_far_apart_are_skipped(spark):
     assert got == want and len(want) > 3000
 
 
+@pytest.mark.parametrize("dim,threshold,cell_rows", [(5, 0.4, 60), (16, 0.4, 25), (5, None, 4000)])
+def test_dense_queries_and_targets_meet_in_cells(spark, dim, threshold, cell_rows):
+    rng = np.random.default_rng(dim)
+    x = rng.standard_normal((700, dim))
+    x[:40] = x[40:80]  # ties at the cut
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "id int, vec array<double>")
+    edges = similarity.dense_cosine_topk(df, 6, threshold, block_rows=50, cell_rows=cell_rows)
+    got = {(r.productId, r["rank"]): r.otherId for r in topk.rank_per_key(edges, "productId", "sim", "otherId", 6).collect()}
+    unit = x / np.linalg.norm(x, axis=1, keepdims=True)
+    sims = unit @ unit.T
+    want = {}
+    for i in range(len(x)):
+        near = sorted((-innerproduct.score_keys(sims[i, j]), j) for j in range(len(x)) if j != i and (threshold is None or sims[i, j] > threshold))
+        want |= {(i, n + 1): j for n, (_, j) in enumerate(near[:6])}
+    assert got == want and len(want) > 3000
+
+
+def test_dense_queries_are_sent_to_few_blocks(spark):
+    """In few dimensions the k-th best of the own block keeps a vector from nearly all other blocks, whatever the threshold."""
+    x = np.random.default_rng(1).standard_normal((6000, 5))
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "id int, vec array<double>")
+    sent = []
+    keep = similarity._sent
+
+    def spy(*args):
+        out = keep(*args)
+        if args[-1] is None:
+            sent.append((out.agg(F.sum("n")).first()[0], len(args[3][2])))
+        return out
+
+    similarity._sent = spy
+    try:
+        similarity.dense_cosine_topk(df, 5, 0.4, block_rows=100, cell_rows=100)
+    finally:
+        similarity._sent = keep
+    (copies, blocks), = sent
+    assert blocks > 50 and copies < 0.35 * len(x) * blocks
+
+
 def test_dense_plan_skips_nothing_without_a_threshold(spark):
     df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(clustered(200))], "id int, vec array<double>")
     assert similarity.dense_plan(df, None, 30)[0].skipped == 0
