@@ -106,3 +106,61 @@ def test_grid_copies_stay_linear_in_its_side(spark):
     df = spark.range(d).selectExpr("0 as k", "cast(id as int) item", "1.0 as w")
     copies = sum(s.count() for s in similarity.grid_sides(df, "k", "item", "w", budget))
     assert copies <= 2 * d * -(-d // int(budget**0.5))
+
+
+def ranked_by_hand(edges):
+    """Every product's edges (productId, otherId, sim) by rounded score, then id."""
+    lists = {}
+    for a, b, s in edges:
+        lists.setdefault(a, []).append((-math.floor(s * 1e6 + 0.5 + 1e-6), b))
+    return sorted((a, i + 1, b, -key / 1e6) for a, x in lists.items() for i, (key, b) in enumerate(sorted(x)))
+
+
+def test_lists_of_copies_are_ranked_once_a_vector(spark):
+    """Twins, ties of twins with other vectors' products, a list read by several blocks, cut lists."""
+    rows = [(i, f"t{i % 3}|u{i % 5}|v{i % 2}") for i in range(90)] + [(i, "t0|u0|v0|rare") for i in range(90, 94)]
+    df = spark.createDataFrame(rows, "productId int, tags string")
+    want = ranked_by_hand(map(tuple, content.content_edges(df, "exact", 0.3).collect()))
+    for budget in (50, 2_000_000):
+        got = content.content_similar(df, "exact", 0.3, pairs_per_task=budget).collect()
+        assert sorted(map(tuple, got)) == want
+        got = content.content_similar(df, "exact", 0.3, k=3, pairs_per_task=budget).collect()
+        assert sorted(map(tuple, got)) == [r for r in want if r[1] <= 3]
+
+
+def test_a_product_without_id_has_lists_of_other_vectors_only(spark):
+    df = spark.createDataFrame([(1, "a|b"), (2, "a|b"), (None, "a|b"), (4, "a|b|c"), (5, "q")], "productId int, tags string")
+    got = {(r.productId, r.rank, r.otherId) for r in content.content_similar(df, "exact", 0.1).collect()}
+    edges = content.content_edges(df, "exact", 0.1).collect()
+    assert {(a, b) for a, _, b in got} == {(r.productId, r.otherId) for r in edges}
+    assert {(None, 1, 4), (1, 1, 2), (2, 1, 1)} <= got
+
+
+def test_lists_of_copies_shuffle_no_pairs_of_copies(spark):
+    """200 copies of two near vectors: list rows are dealt once a vector, 2 * 400 of them, and not once a product."""
+    rows = [(i, "a|b|c" if i % 2 else "a|b|c|d") for i in range(400)] + [(900 + i, "x") for i in range(9)]
+    lists = content.content_similar(spark.createDataFrame(rows, "productId int, tags string"), "exact", 0.0)
+    assert lists.count() == 400 * 399 + 9 * 8
+    lists.collect()
+    dealt = []
+
+    def walk(node):
+        if node.nodeName() == "AdaptiveSparkPlan":
+            return walk(node.executedPlan())
+        if "QueryStage" in node.nodeName():
+            return walk(node.plan())
+        if node.nodeName() == "Exchange":
+            dealt.append(node.metrics().get("shuffleRecordsWritten").get().value())
+        for i in range(node.children().size()):
+            walk(node.children().apply(i))
+
+    walk(lists._jdf.queryExecution().executedPlan())
+    assert dealt and max(dealt) <= 2 * 400 + 9
+
+
+def test_brought_columns_keep_ranks_and_repeat_rows(spark):
+    """As ranking first and joining afterwards: unknown neighbours drop out and leave a gap, repeated rows repeat."""
+    df = spark.createDataFrame([(i, "a|b" if i < 5 else "q") for i in range(8)], "productId int, tags string")
+    info = spark.createDataFrame([(0, "n0"), (2, "n2"), (2, "n2 again"), (7, "n7")], "otherId int, name string")
+    want = sorted(map(tuple, content.content_similar(df).join(info, "otherId").select("productId", "rank", "otherId", "score", "name").collect()))
+    assert sorted(map(tuple, content.content_similar(df, info=info).collect())) == want and len(want) > 8
