@@ -20,7 +20,9 @@ from pyspark.sql import functions as F
 from tastegraph.operators import topk
 from tastegraph.session import cut_lineage
 
-BLOCK_ROWS = 2_048  # users or items of one block, on average
+BLOCK_ROWS = 8_192  # users or items of one block, on average
+LEAST_ROWS = 512  # users of one block, about, where more blocks only serve to occupy tasks
+SLICE_ENTRIES = 4_000_000  # scores held at once
 FIRST_ROUND = 4_096  # items of the first round, at least
 CLASS_RATIO = 1.1
 CLASSES = 64  # the last one takes every shorter item
@@ -39,21 +41,28 @@ def _cell(k: int):
         if users.empty or items.empty:
             return pd.DataFrame({"id": [], "other": [], "score": []})
         u, v = (np.stack(df["vec"].to_numpy()).astype(np.float64) for df in (users, items))
-        scores = u @ v.T
-        keys = score_keys(scores)
         uid, vid = users["id"].to_numpy(), items["id"].to_numpy()
+        row = col = np.zeros(0, int)
         if len(seen):
             row = pd.Series(np.arange(len(uid)), uid).reindex(seen["user"].to_numpy()).to_numpy()
             col = pd.Series(np.arange(len(vid)), vid).reindex(seen["id"].to_numpy()).to_numpy()
             both = ~(np.isnan(row) | np.isnan(col))
-            keys[row[both].astype(int), col[both].astype(int)] = -np.inf
-        keys[scores <= 0] = -np.inf
+            row, col = row[both].astype(int), col[both].astype(int)
         # What rounds before have reached: anything below can't enter the user's list.
-        cut = users["reached"].fillna(-np.inf).to_numpy()
-        if keys.shape[1] > k:
-            cut = np.maximum(cut, -np.partition(-keys, k - 1, axis=1)[:, k - 1])
-        rows, cols = np.nonzero((keys >= cut[:, None]) & np.isfinite(keys))
-        return pd.DataFrame({"id": uid[rows], "other": vid[cols], "score": scores[rows, cols]})
+        reached = users["reached"].fillna(-np.inf).to_numpy()
+        step, outs = max(1, SLICE_ENTRIES // len(vid)), []
+        for at in range(0, len(uid), step):
+            scores = u[at : at + step] @ v.T
+            keys = score_keys(scores)
+            here = (row >= at) & (row < at + step)
+            keys[row[here] - at, col[here]] = -np.inf
+            keys[scores <= 0] = -np.inf
+            cut = reached[at : at + step]
+            if keys.shape[1] > k:
+                cut = np.maximum(cut, -np.partition(-keys, k - 1, axis=1)[:, k - 1])
+            rows, cols = np.nonzero((keys >= cut[:, None]) & np.isfinite(keys))
+            outs.append(pd.DataFrame({"id": uid[rows + at], "other": vid[cols], "score": scores[rows, cols]}))
+        return pd.concat(outs, ignore_index=True)
 
     return run
 
@@ -90,6 +99,7 @@ def top_inner_products(
     sizes = items.groupBy("class").agg(F.count(F.lit(1)), F.max("length")).orderBy("class").collect()  # CLASSES rows at most
     users = cut_lineage(users.select("id", "vec", length.alias("length")).where("length > 0"))
     open_ = users.withColumn("reached", F.lit(None).cast("double"))
+    cells = int(users.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     best = None
     rounds = _rounds([tuple(r) for r in sizes])
     for at, (first, last, n, _) in enumerate(rounds):
@@ -97,6 +107,7 @@ def top_inner_products(
         if not n_users:
             break
         u_blocks, i_blocks = max(1, -(-n_users // block_rows)), max(1, -(-n // block_rows))
+        u_blocks = max(u_blocks, min(-(-cells // i_blocks), -(-n_users // LEAST_ROWS)))  # enough cells for all tasks
         u_block = lambda c: F.pmod(F.xxhash64(c), F.lit(u_blocks)).cast("int").alias("i")
         i_block = lambda c: F.pmod(F.xxhash64(c), F.lit(i_blocks)).cast("int").alias("j")
         own = items.where(F.col("class").between(first, last))

@@ -4,6 +4,7 @@ import math
 import random
 
 import numpy as np
+import pandas as pd
 import pytest
 from conftest import SF_SMALL
 from pyspark.ml.feature import HashingTF
@@ -189,6 +190,24 @@ def test_top_inner_products_equal_brute_force(spark, first_round, monkeypatch):
     assert innerproduct.top_inner_products(frame(users), frame(items).limit(0), 3).count() == 0
 
 
+def test_a_block_of_users_is_scored_in_slices(spark, monkeypatch):
+    """Blocks are large so that few copies move; a cell holds the scores of a slice of its users at once."""
+    rng = np.random.default_rng(8)
+    users, items = ({i: rng.standard_normal(3) for i in range(n)} for n in (90, 40))
+    monkeypatch.setattr(innerproduct, "SLICE_ENTRIES", 300)
+    cell = innerproduct._cell(5)
+    frame = lambda d: pd.DataFrame({"id": list(d), "vec": list(d.values())})
+    out = {(3, 7), (89, 0), (89, 39)}
+    left_out = pd.DataFrame({"id": [i for _, i in out], "vec": None, "user": [float(u) for u, _ in out]})
+    right = pd.concat([frame(items).assign(user=np.nan), left_out], ignore_index=True)
+    largest = []
+    monkeypatch.setattr(innerproduct, "score_keys", lambda x, f=innerproduct.score_keys: largest.append(x.size) or f(x))
+    got = cell(None, frame(users).assign(reached=np.nan), right)
+    ranked = got.sort_values(["score"], ascending=False).groupby("id")["other"].apply(lambda x: x.tolist()[:5]).to_dict()
+    assert ranked == {u: w for u, w in inner_truth(users, items, 5, out).items() if w}
+    assert max(largest) <= 300 and innerproduct.BLOCK_ROWS > innerproduct.FIRST_ROUND
+
+
 def test_rounds_grow_and_end():
     sizes = [(c, 1000, 2.0**-c) for c in range(40)]
     rounds = innerproduct._rounds(sizes)
