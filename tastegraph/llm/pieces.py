@@ -19,9 +19,9 @@ from __future__ import annotations
 
 import hashlib
 import re
+from array import array
 from collections.abc import Iterator
 from dataclasses import dataclass
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -123,6 +123,11 @@ def _char_bytes(lead: int) -> int:
     return 1 if lead < 0x80 else 2 if lead < 0xE0 else 3 if lead < 0xF0 else 4
 
 
+def _packed(ids: list[int]) -> bytes:
+    """Ids as 32-bit integers, so that a text's are joined a stretch at a time and not id by id."""
+    return array("i", ids).tobytes()
+
+
 class Encoder:
     def __init__(self, pieces: Pieces, trie: DoubleArray):
         self.p, self.trie, self.memo, self.old = pieces, trie, {}, {}
@@ -226,13 +231,11 @@ class Encoder:
         short = sorted((s for s in new if len(s) <= SHORT), key=len)
         for a in range(0, len(short), 4096):
             part = short[a : a + 4096]
-            memo.update(zip(part, self.many(part)))
+            memo.update(zip(part, map(_packed, self.many(part))))
         for s in new:
             if len(s) > SHORT:
-                memo[s] = self.one(s)
-        return [
-            None if c is None else np.fromiter(chain.from_iterable(map(memo.__getitem__, c)), np.int32) for c in cut
-        ]
+                memo[s] = _packed(self.one(s))
+        return [None if c is None else np.frombuffer(b"".join(map(memo.__getitem__, c)), np.int32) for c in cut]
 
 
 def _list_array(rows: list[np.ndarray | None]) -> pa.Array:

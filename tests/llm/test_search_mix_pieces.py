@@ -222,3 +222,14 @@ def test_encode_and_decode_frames(spark):
     report = pieces.digests(enc).collect()
     assert all(r.round_trip for r in report) and {r.n_pieces for r in report if r.doc_id == 50} == {0}
     assert pieces.encode(df.drop("ids").limit(0)).count() == 0
+
+
+def test_remembered_paths_are_joined_packed(vocabulary):
+    """Ids of a stretch are kept as 32-bit integers and joined whole; texts give the ids of their stretches in order."""
+    _, enc = vocabulary
+    texts = ["two words", "", None, "words two words", "é" * 60 + " x"]
+    got = enc.texts(texts)
+    assert got[2] is None and got[1].tolist() == [] and all(g.dtype == np.int32 for g in got if g is not None)
+    for text, ids in ((t, i) for t, i in zip(texts, got) if t):
+        assert ids.tolist() == [i for s in pieces.STRETCH.findall(b" " + text.encode()) for i in enc.one(s)]
+    assert all(isinstance(path, bytes) for path in enc.memo.values())
