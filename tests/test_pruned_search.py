@@ -266,3 +266,13 @@ def test_residuals_sum_where_rows_lie(spark):
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     lines = plan.splitlines()
     assert not [x for x, y in zip(lines, lines[1:]) if "Exchange" in x and "Aggregate" in y and "partial_sum" in y]
+
+
+def test_many_pairs_of_long_vectors_meet_in_few_cells():
+    """A cell's vectors are bounded by its pairs or by its row and column, whichever is less."""
+    cells, most = similarity.CELL_ENTRIES, similarity.MOST_PAIRS
+    for pairs, vectors, entries in ((2_636_586, 9_295, 2_505_791), (68_000_000, 48_000, 13_000_000), (500, 10**6, 10**9), (10**9, 10**6, 10**7)):
+        side = similarity.verifying_side(pairs, vectors, entries)
+        held = entries / vectors * min(2 * pairs / side**2, 2 * vectors / side)
+        assert pairs / side**2 <= most and held <= cells * (1 + 1e-9)
+    assert similarity.verifying_side(2_636_586, 9_295, 2_505_791) <= 7  # 27 if every pair counted two vectors
