@@ -7,9 +7,9 @@ compares the two log-likelihoods, normalised by length: a character over the who
 word over its four most telling words; a logistic curve over these two turns them into 0..1.
 
 Spark counts the n-grams of every labelled training text and computes all statistics, keyed by the
-n-gram or context itself, at every size. Tables of at most ``LOCAL_KEYS`` keys are sent to the tasks, which look words up in
-them; larger ones stay distributed: the distinct words' n-grams are joined to them for one ratio a word,
-and word ratios are joined to the texts' counted words. Both ways give the same evidence. The logistic curve is fitted on at
+n-gram or context itself, at every size. Tables of at most ``LOCAL_KEYS`` keys are sent to the tasks packed, 16 bytes a key
+(``Packed``), and words are looked up in them by the thousand; larger ones stay distributed: the distinct words' n-grams are
+joined to them for one ratio a word, and word ratios are joined to the texts' counted words. Both ways give the same evidence. The logistic curve is fitted on at
 most ``fit_rows`` labelled rows, each judged by the counts of the half it is not in.
 
 Defined results: null and wordless texts get the curve's value at zero evidence; a label
@@ -36,7 +36,8 @@ from tastegraph.llm.text import held_out, numbered, short_batches, take_columns
 
 ORDER = 5
 SHARED = 2  # orders up to this one are pooled over both classes
-LOCAL_KEYS = 1_000_000  # n-grams and contexts that tasks look up in memory; more are joined
+LOCAL_KEYS = 8_000_000  # n-grams and contexts that tasks look up in memory, 16 bytes each; more are joined
+TRIPLES = (1 << 22) - 1  # different last three characters of them: they are numbered in 22 bits
 DISCOUNT = 0.75
 TELLING = 4  # words that the second comparison looks at
 MOST = 15.0  # log-ratio that counts for one of them at most
@@ -44,18 +45,89 @@ THRESHOLD = 0.7
 FIT_ROWS = 20_000
 FLUSH = 500_000  # n-grams a task holds before it hands them on
 MEMO = 500_000  # words whose ratio a task remembers
+SLICE_CHARS = 1_000_000  # characters of the texts whose words are looked up at once, or one text
+WINDOWS = 250_000  # n-grams that are looked up at once
 COUNTS = ["plain0", "toxic0", "plain1", "toxic1"]
 
 
 @dataclass
 class Model:
-    """Log-ratios (key, r) by n-gram seen and by context, as Arrow tables or as DataFrames, and the logistic weights."""
+    """Log-ratios (key, r) by n-gram seen and by context, packed or as DataFrames, and the logistic weights."""
 
-    grams: pa.Table | DataFrame
-    contexts: pa.Table | DataFrame
+    grams: Packed | DataFrame
+    contexts: Packed | DataFrame
     weights: np.ndarray  # intercept, whole text, telling words
 
 
+class Packed:
+    """Log-ratios of keys of two to five characters, sorted by an exact 64-bit code for each length.
+
+    ``triples`` are the different last three characters of keys (21 bits a character, sorted); a triple's number, from 1
+    on, and the characters before it are the code of a longer key."""
+
+    def __init__(self, keys: dict[int, np.ndarray], ratios: dict[int, np.ndarray], triples: np.ndarray):
+        self.triples, self.tables = triples, {}
+        for n, chars in keys.items():
+            codes = _code(chars.T, n, _numbers(_triple(chars.T, n - 3), triples) if n > 2 else None)
+            order = np.argsort(codes)
+            self.tables[n] = codes[order], ratios[n][order]
+
+    def find(self, n: int, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(r, found) of codes of n characters; r is 0 where there is none."""
+        known, r = self.tables.get(n, (np.zeros(0, np.uint64), np.zeros(0)))
+        if not len(known):
+            return np.zeros(len(codes)), np.zeros(len(codes), bool)
+        at = np.minimum(np.searchsorted(known, codes), len(known) - 1)
+        found = known[at] == codes
+        return np.where(found, r[at], 0.0), found
+
+
+def _triple(chars: np.ndarray, at: int) -> np.ndarray:
+    a, b, c = (chars[at + i].astype(np.uint64) for i in range(3))
+    return a << np.uint64(42) | b << np.uint64(21) | c
+
+
+def _numbers(triples: np.ndarray, known: np.ndarray) -> np.ndarray:
+    """The numbers of triples, 0 for one that no key ends with."""
+    if not len(known):
+        return np.zeros(len(triples), np.uint64)
+    at = np.minimum(np.searchsorted(known, triples), len(known) - 1)
+    return np.where(known[at] == triples, at + 1, 0).astype(np.uint64)
+
+
+def _code(chars: np.ndarray, n: int, last: np.ndarray | None) -> np.ndarray:
+    """Codes of keys whose n characters are the first rows of ``chars`` and whose last three have the numbers ``last``."""
+    if n == 2:
+        return chars[0].astype(np.uint64) << np.uint64(21) | chars[1].astype(np.uint64)
+    if n == 3:
+        return last
+    if n == 4:
+        return chars[0].astype(np.uint64) << np.uint64(22) | last
+    return chars[0].astype(np.uint64) << np.uint64(43) | chars[1].astype(np.uint64) << np.uint64(22) | last
+
+
+def _by_length(table: pa.Table) -> tuple[dict[int, np.ndarray], dict[int, np.ndarray]]:
+    """The keys of (key, r) rows as a matrix of characters for each length, and their ratios."""
+    keys, ratios = {}, {}
+    for part in table.to_batches(max_chunksize=WINDOWS):
+        text = part.column(0).to_pylist()
+        lengths, chars = np.fromiter(map(len, text), np.int64, len(text)), np.frombuffer("".join(text).encode("utf-32-le"), np.uint32)
+        ends = np.cumsum(lengths)
+        for n in np.unique(lengths).tolist():
+            own = np.flatnonzero(lengths == n)
+            keys.setdefault(n, []).append(chars[(ends[own] - n)[:, None] + np.arange(n)])
+            ratios.setdefault(n, []).append(part.column(1).to_numpy()[own])
+    return {n: np.concatenate(c) for n, c in keys.items()}, {n: np.concatenate(r) for n, r in ratios.items()}
+
+
+def packed(*tables: pa.Table) -> list[Packed]:
+    """Tables (key, r) packed with common triples."""
+    parts = [_by_length(t) for t in tables]
+    found = [_triple(chars.T, n - 3) for keys, _ in parts for n, chars in keys.items() if n > 2]
+    triples = np.unique(np.concatenate([np.zeros(0, np.uint64), *found]))
+    return [Packed(*p, triples) for p in parts]
+
+
 def _grams(word: str) -> list[str]:
     padded = " " * (ORDER - 1) + word + " "
     return [padded[i : i + ORDER] for i in range(len(word) + 1)]
@@ -153,31 +225,68 @@ def _log_ratios(grams: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 
 class _Scorer(dict):
-    """Log-ratio of each word seen so far; ``evidence`` of a text from them."""
+    """Log-ratio of each word seen so far; ``evidences`` of texts from them."""
 
     def __init__(self, model: Model):
         super().__init__()
-        self.grams, self.contexts = (dict(zip(t["key"].to_pylist(), t["r"].to_pylist())) for t in (model.grams, model.contexts))
+        self.grams, self.contexts = model.grams, model.contexts
 
     def __missing__(self, w: str) -> float:
-        grams, contexts, total = self.grams, self.contexts, 0.0
-        for g in _grams(w):
-            while len(g) > SHARED:
-                r = grams.get(g)
-                if r is not None:
-                    total += r
-                    break
-                # Unseen: back off, in the end to what both classes share.
-                total += contexts.get(g[:-1], 0.0)
-                g = g[1:]
-        if len(self) >= MEMO:
+        self._learn({w})
+        return self[w]
+
+    def _learn(self, words: set[str]) -> None:
+        """Look up the ratios of those of ``words`` that are not remembered."""
+        new = words.difference(self)
+        if len(self) + len(new) > MEMO:
             self.clear()
-        self[w] = total
+            new = words
+        if new:
+            new = list(new)
+            self.update(zip(new, self._ratios(new).tolist()))
+
+    def _ratios(self, words: list[str]) -> np.ndarray:
+        """The sum of each word's n-grams' log-ratios."""
+        pad = " " * (ORDER - 1)
+        chars = np.frombuffer("".join(f"{pad}{w} " for w in words).encode("utf-32-le"), np.uint32)
+        ends = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)) + ORDER)
+        starts = np.r_[0, ends[:-1]]
+        r, inside = np.zeros(len(chars)), np.ones(len(chars), bool)
+        for i in range(1, ORDER):
+            inside[ends - i] = False  # an n-gram that began there would reach into the next word
+        for at in range(0, len(chars), WINDOWS):
+            begins = at + np.flatnonzero(inside[at : at + WINDOWS])
+            r[begins] = self._windows(chars[begins[:, None] + np.arange(ORDER)].T)
+        return np.add.reduceat(r, starts)
+
+    def _windows(self, chars: np.ndarray) -> np.ndarray:
+        """The log-ratio of each n-gram of the highest order, a column of characters; unseen ones back off, in the end to what both classes share."""
+        total, left = np.zeros(chars.shape[1]), np.arange(chars.shape[1])
+        last = _numbers(_triple(chars, ORDER - 3), self.grams.triples)
+        for n in range(ORDER, SHARED, -1):
+            own = chars[ORDER - n :, left]
+            r, found = self.grams.find(n, _code(own, n, last[left]))
+            total[left] += r
+            left, own = left[~found], own[:, ~found]
+            if not len(left):
+                break
+            before = _numbers(_triple(own, n - 4), self.contexts.triples) if n > 3 else None
+            total[left] += self.contexts.find(n - 1, _code(own, n - 1, before))[0]
         return total
 
-    def evidence(self, text: str | None) -> tuple[float, float]:
-        """(whole, telling): length-normalised log-ratios."""
-        words = (text or "").lower().split()
+    def evidences(self, texts: list[str | None]) -> list[tuple[float, float]]:
+        """(whole, telling) of each text: length-normalised log-ratios."""
+        out, part, size = [], [], 0
+        for i, text in enumerate(texts):
+            part.append((text or "").lower().split())
+            size += len(text or "")
+            if size >= SLICE_CHARS or i + 1 == len(texts):
+                self._learn(set().union(*part))
+                out += map(self._evidence, part)
+                part, size = [], 0
+        return out
+
+    def _evidence(self, words: list[str]) -> tuple[float, float]:
         n = len(words)
         if not n:
             return 0.0, 0.0
@@ -240,7 +349,7 @@ def _joined_evidence(rows: DataFrame, model: Model, keep: list[str], text_col: s
 
 def _evidence(rows: DataFrame, model: Model, keep: list[str], text_col: str = "text") -> DataFrame:
     """(``keep`` columns, whole, telling) for every row."""
-    if not isinstance(model.grams, pa.Table):
+    if not isinstance(model.grams, Packed):
         return _joined_evidence(rows, model, keep, text_col)
     shared = rows.sparkSession.sparkContext.broadcast(model)  # at most LOCAL_KEYS keys
     names = [*keep, "whole", "telling"]
@@ -249,7 +358,7 @@ def _evidence(rows: DataFrame, model: Model, keep: list[str], text_col: str = "t
     def run(batches):
         scorer = _Scorer(shared.value)
         for batch in batches:
-            got = [scorer.evidence(t) for t in batch.column("_text").to_pylist()]
+            got = scorer.evidences(batch.column("_text").to_pylist())
             extra = [pa.array([g[i] for g in got], pa.float64()) for i in (0, 1)]
             yield pa.RecordBatch.from_arrays([*(batch.column(k) for k in keep), *extra], names=names)
 
@@ -300,7 +409,7 @@ def train(documents: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS) ->
         share = 0.0 if not by_class.get(1) else 1.0
         bias = math.log((share + 1e-9) / (1 - share + 1e-9))
         nothing = pa.table({"key": pa.array([], pa.string()), "r": pa.array([], pa.float64())})
-        return Model(nothing, nothing, np.array([bias, 0.0, 0.0]))
+        return Model(*packed(nothing, nothing), np.array([bias, 0.0, 0.0]))
     half = F.pmod(F.xxhash64(F.lit("half"), "doc_id"), F.lit(2)).cast("int")
     grams = (
         docs.join(marks.hint("shuffle_hash"), "doc_id").select("text", "toxic", half.alias("half"))
@@ -319,8 +428,9 @@ def train(documents: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS) ->
 
     def model_of(v: int) -> Model:
         own = [t.where(F.col("v") == v).select("key", "r") for t in tables]
-        if sum(t.count() for t in own) <= LOCAL_KEYS:
-            own = [t.toArrow() for t in own]
+        n = sum(t.count() for t in own)
+        if n <= LOCAL_KEYS and (n <= TRIPLES or reduce(DataFrame.unionAll, own).select(F.right("key", F.lit(3))).distinct().count() <= TRIPLES):
+            own = packed(*(t.toArrow() for t in own))
         return Model(*own, np.zeros(3))
 
     # At most fit_rows ids by a fixed shuffle of the ids: bounded, so broadcast. Each half of them is judged by
