@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tastegraph.session import scratch_path
+from tastegraph.session import written  # noqa: F401
 
 DOCUMENT_COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
@@ -63,11 +63,3 @@ def short_batches(df: DataFrame, rows: int = 1000) -> DataFrame:
     if now <= 0 or now > rows:
         conf.set(key, str(rows))
     return df
-
-
-def written(df: DataFrame, label: str) -> DataFrame:
-    """``df`` written once to the shared scratch folder and read back: a cut in the lineage that, unlike an eager
-    checkpoint, computes the rows only once."""
-    path = scratch_path(df.sparkSession, label)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
